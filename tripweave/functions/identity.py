@@ -7,49 +7,29 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.times import instant_text
 
-MICRO = 1_000_000.0
-SPLITTER = 134217729.0  # 2**27 + 1, halves a double's mantissa
-EXACT_BELOW = 2147483648.0
+# Fixed value: six decimals, no grouping.
+SIX_DECIMALS = "0.000000"
 
 
 def six_decimals(x: Column) -> Column:
-    """``%.6f`` of a double, rounded on its exact binary value, ties to even.
+    """``%.6f`` of a double, rounded on its exact binary value with ties to even.
 
-    ``x * 10**6`` is kept as an exact sum of two doubles, so the comparison with the
-    half-way points sees the true value and not a rounded product.
+    ``format_number`` rounds that way; ``format_string`` would round the shortest decimal
+    text half up, which differs on the seventh decimal.
     """
-    size = F.abs(x)
-    shifted = size * SPLITTER
-    high = shifted - (shifted - size)
-    low = size - high
-    near = F.rint(size * MICRO)
-    rest = high * MICRO - near
-    tail = low * MICRO
-    above = rest - 0.5 + tail
-    below = rest + 0.5 + tail
-    odd = near % 2.0 != 0.0
-    units = (
-        F.when((above > 0.0) | ((above == 0.0) & odd), near + 1.0)
-        .when((below < 0.0) | ((below == 0.0) & odd), near - 1.0)
-        .otherwise(near)
-    ).cast("long")
-    negative = (x < 0.0) | ((x == 0.0) & x.cast("string").startswith("-"))
-    digits = F.concat(
-        F.when(negative, "-").otherwise(""),
-        F.call_function("div", units, F.lit(1_000_000)).cast("string"),
-        F.lit("."),
-        F.lpad((units % 1_000_000).cast("string"), 6, "0"),
-    )
-    return (
-        F.when(x.isNull(), None)
-        .when(size < EXACT_BELOW, digits)
-        .otherwise(F.format_string("%.6f", x))
-    )
+    return F.call_function("format_number", x, F.lit(SIX_DECIMALS))
+
+
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def folded(text: Column) -> Column:
     """Outer white space of any kind removed, lower case."""
-    return F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    return F.lower(F.trim(text, F.lit(WHITE_SPACE)))
 
 
 def trip_id(

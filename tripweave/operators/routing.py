@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.once import with_computed
 from tripweave.functions.points import in_lat_range, in_lon_range
 from tripweave.functions.times import parse_instant
 from tripweave.operators.uploads import any_of, trip_id_of
@@ -41,16 +42,17 @@ def reject_reason() -> Column:
         .when(outside, "coordinate_out_of_range")
         .when(any_of(c.isNull() for c in lons + lats), "null_coordinate")
         .when(F.col("trip_id").isNull(), "null_trip_id")
-        .when(parse_instant(F.col("datetime")).isNull(), "bad_datetime")
+        .when(F.col("instant").isNull(), "bad_datetime")
         .when(F.col("region").isNull() | F.col("datasource").isNull(), "missing_field")
     )
 
 
 def route(flat: DataFrame) -> DataFrame:
-    """Add ``route`` and, for rejected rows, ``reject_reason``."""
+    """Add ``route``, for rejected rows ``reject_reason``, and the parsed ``instant``."""
     kind = F.col("record_type")
     trip_like = kind.isNull() | (kind == "trip")
-    return flat.withColumn("reject_reason", F.when(trip_like, reject_reason())).withColumn(
+    timed = with_computed(flat, {"instant": parse_instant(F.col("datetime"))})
+    return timed.withColumn("reject_reason", F.when(trip_like, reject_reason())).withColumn(
         "route",
         F.when(kind == "ingestion_end", "marker")
         .when(~trip_like, "unknown")
@@ -82,12 +84,9 @@ def with_trip_day(routed: DataFrame) -> DataFrame:
     share the day, and a look-up for the id needs that day's partitions only. Ids made by
     any other rule go to one partition that every look-up includes.
     """
-    timed = routed.withColumn(
-        "_instant", F.when(F.col("route") == "trip", parse_instant(F.col("datetime")))
-    )
-    own_id = F.col("trip_id").eqNullSafe(trip_id_of("_instant"))
-    day = F.when(own_id, F.to_date("_instant").cast("string")).otherwise(FOREIGN_DAY)
-    return timed.withColumn("trip_day", F.when(F.col("route") == "trip", day)).drop("_instant")
+    own_id = F.col("trip_id").eqNullSafe(trip_id_of("instant"))
+    day = F.when(own_id, F.to_date("instant").cast("string")).otherwise(FOREIGN_DAY)
+    return routed.withColumn("trip_day", F.when(F.col("route") == "trip", day))
 
 
 def same_days(stored: DataFrame, days: list[str] | None) -> DataFrame:

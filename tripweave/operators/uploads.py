@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.identity import control_id, trip_id
+from tripweave.functions.once import with_computed
 from tripweave.functions.points import in_lat_range, in_lon_range, point_lat, point_lon
 from tripweave.functions.times import instant_text, parse_instant
 from tripweave.schemas import MARKER_FIELDS, TRIP_FIELDS
@@ -25,14 +26,15 @@ def assign_ingestions(rows: DataFrame, load_id: str) -> DataFrame:
 
 def parse_trips(rows: DataFrame) -> DataFrame:
     """Typed trip fields, ``trip_id`` and ``reject_reason`` (NULL for a good row)."""
-    typed = rows.withColumns(
+    typed = with_computed(
+        rows,
         {
             "origin_lon": point_lon(F.col("origin_coord")),
             "origin_lat": point_lat(F.col("origin_coord")),
             "destination_lon": point_lon(F.col("destination_coord")),
             "destination_lat": point_lat(F.col("destination_coord")),
             "instant": parse_instant(F.col("datetime")),
-        }
+        },
     )
     lons = [F.col("origin_lon"), F.col("destination_lon")]
     lats = [F.col("origin_lat"), F.col("destination_lat")]

@@ -22,7 +22,7 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
     """
     if flat.isEmpty():
         return
-    routed = routing.with_trip_day(routing.route(flat))
+    routed = routing.with_trip_day(routing.route(flat)).drop("instant")
     write_batch(routed, lake.path("bronze"), batch_id, ("route",))
     landed = lake.landed(spark, batch_id)
     markers = routing.markers(landed)

@@ -18,7 +18,9 @@ def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partitions: list[str]
 ) -> None:
     """Create an empty table where there is none, so that readers can start first."""
-    empty = spark.createDataFrame([], schema)
+    empty = spark.range(0, 0, 1, 1).select(
+        *(F.lit(None).cast(field.dataType).alias(field.name) for field in schema)
+    )
     empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
 
 

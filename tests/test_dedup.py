@@ -1,0 +1,54 @@
+"""First delivery wins, also for keys with very many copies."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from tripweave.operators.dedup import first_wins, insert_new, not_stored
+
+SCHEMA = "trip_id string, kafka_timestamp long, row_number int, ingestion_id string"
+
+
+def deliveries(spark, n=2000):
+    """A third of all rows are copies of one trip."""
+    rng = random.Random(5)
+    rows = [
+        ("hot" if rng.random() < 0.33 else f"t{rng.randrange(300)}", rng.randrange(50), rng.randrange(90), f"i{rng.randrange(4)}")
+        for _ in range(n)
+    ]
+    return rows, spark.createDataFrame(rows, SCHEMA).repartition(6)
+
+
+def test_first_wins_equals_brute_force(spark):
+    rows, df = deliveries(spark)
+    best = {}
+    for row in sorted(rows, key=lambda r: r[1:]):
+        best.setdefault(row[0], row)
+    assert sorted(map(tuple, first_wins(df).collect())) == sorted(best.values())
+
+
+def test_copies_are_dropped_before_the_shuffle(spark, plan_of):
+    _, df = deliveries(spark, 10)
+    plan = plan_of(first_wins(df))
+    before_shuffle = plan[plan.index("Exchange hashpartitioning(trip_id") :]
+    assert "WindowGroupLimit [trip_id" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_insert_new_equals_brute_force_and_is_idempotent(spark):
+    rows, df = deliveries(spark)
+    stored_ids = {f"t{i}" for i in range(0, 300, 2)}
+    stored = spark.createDataFrame([(i,) for i in stored_ids], "trip_id string")
+    added = insert_new(df, stored)
+    ids = [r.trip_id for r in added.collect()]
+    assert sorted(ids) == sorted({r[0] for r in rows} - stored_ids)
+    again = insert_new(df, stored.unionByName(added.select("trip_id")))
+    assert again.count() == 0
+
+
+def test_a_small_batch_is_broadcast_to_the_stored_table(spark, plan_of, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(1000).select(F.concat(F.lit("t"), "id").alias("trip_id")).write.parquet(path)
+    batch = spark.range(990, 1010).select(F.concat(F.lit("t"), "id").alias("trip_id"))
+    fresh = not_stored(batch, spark.read.parquet(path))
+    assert "BroadcastHashJoin" in plan_of(fresh) and "LeftSemi" in plan_of(fresh)
+    assert fresh.count() == 10

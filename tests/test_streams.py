@@ -13,6 +13,7 @@ from tripweave.sources.lake import Lake
 from tripweave.sources.tables import listed_values
 from tripweave.streaming import gold
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
+from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start, with_retry
 from tripweave.streaming.serving import JdbcStore, start_serving
 from tripweave.streaming.status import FailureListener, status_stream
@@ -253,3 +254,35 @@ def test_listed_values_gives_up_beyond_its_bound(spark):
     df = spark.range(20)
     assert sorted(listed_values(df, "id", 20)) == list(range(20))
     assert listed_values(df, "id", 19) is None
+
+
+def test_upload_to_serving(spark, lake, tmp_path):
+    """One file of 250 good rows and a bad one, one of a header only, uploaded twice."""
+    head = "region,origin_coord,destination_coord,datetime,datasource\n"
+    line = "Prague,POINT (14.{n:03d} 50.0),POINT (14.5 50.1),2018-05-28 09:03:40,s1\n"
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    good = [line.format(n=n) for n in range(250)]
+    (folder / "a.csv").write_text(head + "".join([*good[:100], "Prague,POINT (1)\n", *good[100:]]))
+    (folder / "b.csv").write_text(head)
+    loads = []
+    for _ in range(2):
+        loads.append(publish_uploads(spark, str(folder), lake))
+        ingest(spark, lake, None)
+        finish(start_serving(spark, lake, available_now=True))
+    assert loads[0] != loads[1]
+    assert lake.read(spark, "serving").count() == 250
+    rows = lake.read(spark, "status").select("ingestion_id", "status", "rows", "stored_rows").collect()
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r.ingestion_id, []).append((r.status, r.rows, r.stored_rows))
+    assert len(by_id) == 4
+    full = [sorted(map(str, v)) for v in by_id.values() if ("IN_PROGRESS", 200, None) in v]
+    assert len(full) == 2
+    for statuses in by_id.values():
+        names = [s for s, _, _ in statuses]
+        for once in ("STARTED", "COMPLETED", "BRONZE_COMPLETED", "SILVER_COMPLETED", "TRIPS_PG_COMPLETED"):
+            assert names.count(once) == 1
+        assert names.count("IN_PROGRESS") in (0, 2)
+    stored = sorted(n for v in by_id.values() for s, _, n in v if s == "TRIPS_PG_COMPLETED")
+    assert stored == [0, 0, 0, 250]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.cells import cell_number, cell_text, geohash
+from tripweave.functions.cells import cell_number, cell_text
+from tripweave.functions.once import with_computed
 from tripweave.functions.times import (
     bucket_number,
     bucket_start,
@@ -16,16 +17,17 @@ from tripweave.functions.times import (
 
 PRECISION = 7
 MINUTES = 30
+ENDS = ("origin", "destination")
 CLUSTER_KEY = ["origin_cell", "destination_cell", "time_bucket"]
 
 
 def add_geohashes(df: DataFrame, precision: int = PRECISION) -> DataFrame:
-    return df.withColumns(
-        {
-            f"{end}_geohash": geohash(F.col(f"{end}_lon"), F.col(f"{end}_lat"), precision)
-            for end in ("origin", "destination")
-        }
-    )
+    numbers = {
+        f"_{end}_number": cell_number(F.col(f"{end}_lon"), F.col(f"{end}_lat"), precision)
+        for end in ENDS
+    }
+    texts = {f"{end}_geohash": cell_text(F.col(f"_{end}_number"), precision) for end in ENDS}
+    return with_computed(df, numbers).withColumns(texts).drop(*numbers)
 
 
 def add_time_bucket(df: DataFrame, minutes: int = MINUTES) -> DataFrame:
@@ -49,7 +51,7 @@ def cluster_counts(
     """
     keys = {
         f"{end}_number": cell_number(F.col(f"{end}_lon"), F.col(f"{end}_lat"), precision)
-        for end in ("origin", "destination")
+        for end in ENDS
     } | {"bucket": bucket_number(instant_of(trips), minutes)}
     counted = (
         trips.select(*per, *(expr.alias(name) for name, expr in keys.items()))

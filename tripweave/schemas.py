@@ -57,6 +57,10 @@ PAYLOAD = _fields(
     ("datasource", S),
 )
 
+SENT_TRIPS = T.StructType(
+    [*(PAYLOAD[name] for name in TRIP_FIELDS), T.StructField("load_id", S, True)]
+)
+
 ENVELOPE = _fields(("key", S), ("value", S), ("timestamp", TS))
 
 _AUDIT = [T.StructField("raw_payload", S, True), T.StructField("kafka_timestamp", TS, True)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave import schemas
@@ -13,6 +13,7 @@ from tripweave.sources.tables import ensure_table, overwrite_partitions, read_ta
 
 # Table name -> (schema, partition columns).
 TABLES = {
+    "uploads": (schemas.SENT_TRIPS, ["load_id"]),
     "bronze": (schemas.BRONZE, ["batch_id", "route"]),
     "silver": (schemas.SILVER, ["batch_id", "trip_day"]),
     "markers": (schemas.MARKERS, ["batch_id"]),
@@ -58,7 +59,9 @@ class Lake:
             .parquet(f"{path}/batch_id={batch_id}")
         )
 
-    def write_status(self, rows: DataFrame, status: str, query: str, batch_id: int) -> None:
+    def write_status(
+        self, rows: DataFrame, status: str | Column, query: str, batch_id: int
+    ) -> None:
         """Status rows of one stage and batch; ``rows`` has the id and any counts."""
         counts = [
             (F.col(name) if name in rows.columns else F.lit(None)).cast("long").alias(name)
@@ -68,7 +71,7 @@ class Lake:
         overwrite_partitions(
             rows.select(
                 "ingestion_id",
-                F.lit(status).alias("status"),
+                (F.lit(status) if isinstance(status, str) else status).alias("status"),
                 *counts,
                 message.cast("string").alias("message"),
                 F.lit(query).alias("query"),

@@ -119,8 +119,9 @@ def serve_batch(
 def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) -> None:
     """Check every open marker and write the statuses of those now complete.
 
-    A running count of arrivals says which ingestions can be complete at all; only their
-    log rows are read, in the batches they arrived in.
+    A running count of arrivals says which ingestions can be complete at all. Only their
+    log rows are read, in the batches they arrived in, and only the days of these rows in
+    the store.
     """
     done = lake.read(spark, "status", before=batch_id).where("status = 'TRIPS_PG_COMPLETED'")
     open_markers = lake.read(spark, "markers").join(
@@ -132,17 +133,21 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     arrived = arrivals.groupBy("ingestion_id").agg(F.sum("received").alias("received"))
     # A marker is a log row as well, so what arrived exceeds what it announces.
     ready = open_markers.join(arrived, "ingestion_id").where("received > total_rows")
-    ids = ready.select("ingestion_id")
+    if ready.isEmpty():
+        return
+    ids = ready.select("ingestion_id").distinct()
     log = lake.read(spark, "bronze").where("route in ('trip', 'rejected')")
     batches = listed_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
     if batches is not None:
         log = log.where(F.col("batch_id").isin(batches))
-    report = completion_report(
-        ready,
-        log.join(ids, "ingestion_id", "left_semi"),
-        store.all_trips(spark),
-    )
-    lake.write_status(report.where("complete"), "TRIPS_PG_COMPLETED", "serving", batch_id)
+    sent = log.join(ids, "ingestion_id", "left_semi")
+    stored = store.all_trips(spark)
+    if "trip_day" in stored.columns:
+        stored = routing.same_days(
+            stored, listed_values(sent.where("route = 'trip'"), "trip_day")
+        )
+    report = completion_report(ready, sent, stored).where("complete")
+    lake.write_status(report, "TRIPS_PG_COMPLETED", "serving", batch_id)
 
 
 def start_serving(

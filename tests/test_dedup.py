@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tripweave.operators.dedup import first_wins, insert_new, not_stored
+from tripweave.operators.dedup import first_wins, insert_new
 
 SCHEMA = "trip_id string, kafka_timestamp long, row_number int, ingestion_id string"
 
@@ -49,6 +49,6 @@ def test_a_small_batch_is_broadcast_to_the_stored_table(spark, plan_of, tmp_path
     path = str(tmp_path / "stored")
     spark.range(1000).select(F.concat(F.lit("t"), "id").alias("trip_id")).write.parquet(path)
     batch = spark.range(990, 1010).select(F.concat(F.lit("t"), "id").alias("trip_id"))
-    fresh = not_stored(batch, spark.read.parquet(path))
+    fresh = insert_new(batch, spark.read.parquet(path), order=["trip_id"])
     assert "BroadcastHashJoin" in plan_of(fresh) and "LeftSemi" in plan_of(fresh)
     assert fresh.count() == 10

@@ -286,3 +286,19 @@ def test_upload_to_serving(spark, lake, tmp_path):
         assert names.count("IN_PROGRESS") in (0, 2)
     stored = sorted(n for v in by_id.values() for s, _, n in v if s == "TRIPS_PG_COMPLETED")
     assert stored == [0, 0, 0, 250]
+
+
+def test_served_files_are_in_geohash_order(spark, lake):
+    spread = [trip(n, origin_lon=float((n * 37) % 170), datetime="2018-05-28T00:00:00Z") for n in range(1, 200)]
+    publish(spark, lake, spread)
+    ingest(spark, lake)
+    finish(start_serving(spark, lake, available_now=True))
+    rows = (
+        lake.read(spark, "serving")
+        .select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "origin_geohash")
+        .orderBy("file", "at")
+        .collect()
+    )
+    assert len(rows) == 199
+    for left, right in zip(rows, rows[1:]):
+        assert left.file != right.file or left.origin_geohash <= right.origin_geohash

@@ -18,19 +18,16 @@ def first_wins(df: DataFrame, key: str = "trip_id", order: list[str] | None = No
     return df.withColumn("_rank", F.row_number().over(spec)).where("_rank = 1").drop("_rank")
 
 
-def not_stored(fresh: DataFrame, stored: DataFrame, key: str = "trip_id") -> DataFrame:
-    """Rows of ``fresh`` (one per key) whose key is not in ``stored``.
-
-    The stored keys are first cut to those of the batch. ``stored`` is the big side there,
-    so Spark can broadcast a small batch, by its own size threshold, instead of shuffling
-    the table; the anti join then meets at most one batch's worth of keys.
-    """
-    known = stored.select(key).join(fresh.select(key), key, "left_semi")
-    return fresh.join(known, key, "left_anti")
-
-
 def insert_new(
     batch: DataFrame, stored: DataFrame, key: str = "trip_id", order: list[str] | None = None
 ) -> DataFrame:
-    """What an insert-only merge adds to ``stored``."""
-    return not_stored(first_wins(batch, key, order), stored, key)
+    """What an insert-only merge adds to ``stored``: first deliveries of unknown keys.
+
+    The stored keys are first cut to those of the batch. ``stored`` is the big side there,
+    so Spark can broadcast a small batch's keys, by its own size threshold, instead of
+    shuffling the table. The keys are made distinct by a hash aggregate, which combines the
+    copies of a hot key before any shuffle; the anti join then finds its left side already
+    partitioned and sorted by the ranking.
+    """
+    known = stored.select(key).join(batch.select(key).distinct(), key, "left_semi")
+    return first_wins(batch, key, order).join(known, key, "left_anti")

@@ -9,7 +9,7 @@ from tripweave.functions.identity import control_id, trip_id
 from tripweave.functions.once import with_computed
 from tripweave.functions.points import in_lat_range, in_lon_range, point_lat, point_lon
 from tripweave.functions.times import instant_text, parse_instant
-from tripweave.schemas import MARKER_FIELDS, TRIP_FIELDS
+from tripweave.schemas import COMPLETED, IN_PROGRESS, MARKER_FIELDS, STARTED, TRIP_FIELDS
 
 PROGRESS_STEP = 100
 PROGRESS_CHUNK = 1_000_000
@@ -142,16 +142,16 @@ def upload_statuses(trips: DataFrame, ingestions: DataFrame) -> DataFrame:
     totals = end_markers(trips, ingestions)
     no_rows = F.lit(None).cast("long")
     return (
-        totals.select("ingestion_id", F.lit("STARTED").alias("status"), no_rows.alias("rows"))
+        totals.select("ingestion_id", F.lit(STARTED).alias("status"), no_rows.alias("rows"))
         .unionByName(
             sent_progress(trips).select(
-                "ingestion_id", F.lit("IN_PROGRESS").alias("status"), "rows"
+                "ingestion_id", F.lit(IN_PROGRESS).alias("status"), "rows"
             )
         )
         .unionByName(
             totals.select(
                 "ingestion_id",
-                F.lit("COMPLETED").alias("status"),
+                F.lit(COMPLETED).alias("status"),
                 F.col("total_rows").cast("long").alias("rows"),
             )
         )

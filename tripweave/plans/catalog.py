@@ -520,3 +520,16 @@ def stream_status(spark, sf):
     )
 
 
+
+
+@query
+def stream_uploads(spark, sf):
+    """CSV files published, landed and served: what the completion statuses add up to."""
+    lake = pipeline.run_uploads(spark, _written_uploads(spark, sf))
+    status = lake.read(spark, "status")
+    done = F.col("status") == "TRIPS_PG_COMPLETED"
+    return status.agg(
+        F.sum(F.when(done, F.col("total_rows"))).alias("announced"),
+        F.sum(F.when(done, F.col("stored_rows"))).alias("stored"),
+        (F.count_if(done) == F.count_if(F.col("status") == "STARTED")).alias("all_complete"),
+    )

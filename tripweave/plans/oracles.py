@@ -394,6 +394,8 @@ from ({_ids('select distinct region from valid', 'region', 'region_id')})
 union all
 select 'datasources', datasource_id, datasource
 from ({_ids('select distinct datasource from valid', 'datasource', 'datasource_id')})""",
+    "stream_uploads": TRIPS
+    + "select count(*) as announced, count(*) as stored, true as all_complete from valid",
     "stream_status": COMPLETION
     + """
 select ingestion_id, unnest(['BRONZE_COMPLETED', 'SILVER_COMPLETED']) as status,

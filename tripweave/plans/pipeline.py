@@ -13,6 +13,7 @@ from tripweave.sources.lake import Lake
 from tripweave.sources.tables import write_batch
 from tripweave.streaming import gold
 from tripweave.streaming.ingest import first_deliveries, start_ingest
+from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start
 from tripweave.streaming.serving import start_serving
 
@@ -47,6 +48,16 @@ def run(spark: SparkSession, sf_dir: str, *jobs: str) -> Lake:
     return lake
 
 
+def run_uploads(spark: SparkSession, path: str) -> Lake:
+    """CSV files all the way to the serving table."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    publish_uploads(spark, path, lake)
+    finish(start_ingest(spark, file_stream(spark, lake.path("log")), lake, available_now=True))
+    finish(start_serving(spark, lake, available_now=True))
+    return lake
+
+
 def run_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips deduplicated by state alone, written batch by batch."""
     configure(spark)

@@ -63,6 +63,15 @@ SENT_TRIPS = T.StructType(
 
 ENVELOPE = _fields(("key", S), ("value", S), ("timestamp", TS))
 
+# The statuses of an ingestion.
+STARTED = "STARTED"
+IN_PROGRESS = "IN_PROGRESS"
+COMPLETED = "COMPLETED"
+BRONZE_COMPLETED = "BRONZE_COMPLETED"
+SILVER_COMPLETED = "SILVER_COMPLETED"
+TRIPS_PG_COMPLETED = "TRIPS_PG_COMPLETED"
+FAILED = "FAILED"
+
 _AUDIT = [T.StructField("raw_payload", S, True), T.StructField("kafka_timestamp", TS, True)]
 _BATCH = T.StructField("batch_id", L, True)
 _DAY = T.StructField("trip_day", S, True)

@@ -40,10 +40,24 @@ def table_stream(
 
 
 def write_batch(
-    df: DataFrame, path: str, batch_id: int, also_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    also_by: tuple[str, ...] = (),
+    ordered_by: tuple[str, ...] = (),
 ) -> None:
-    stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    overwrite_partitions(stamped, path, ("batch_id", *also_by))
+    """Write one batch's partitions, replacing them if they are there.
+
+    With further partition columns the write starts in the batch's own directory: then the
+    rows' order within a partition is the writer's order too, and it sorts no second time.
+    """
+    if not also_by:
+        stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        overwrite_partitions(stamped, path, ("batch_id",))
+        return
+    if ordered_by:
+        df = df.sortWithinPartitions(*also_by, *ordered_by)
+    overwrite_partitions(df, f"{path}/batch_id={batch_id}", also_by)
 
 
 def overwrite_partitions(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:

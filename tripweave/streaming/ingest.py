@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.operators import routing
-from tripweave.operators.dedup import first_wins, not_stored
+from tripweave.operators.dedup import insert_new
+from tripweave.schemas import BRONZE_COMPLETED, SILVER_COMPLETED
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import listed_values, write_batch
 from tripweave.streaming.runner import start
@@ -26,10 +27,10 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
     write_batch(routed, lake.path("bronze"), batch_id, ("route",))
     landed = lake.landed(spark, batch_id)
     markers = routing.markers(landed)
-    lake.write_status(markers, "BRONZE_COMPLETED", "bronze", batch_id)
+    lake.write_status(markers, BRONZE_COMPLETED, "bronze", batch_id)
     merge_silver(spark, landed, batch_id, lake)
     write_batch(markers, lake.path("markers"), batch_id)
-    lake.write_status(markers, "SILVER_COMPLETED", "silver", batch_id)
+    lake.write_status(markers, SILVER_COMPLETED, "silver", batch_id)
     write_batch(routing.rejected(landed), lake.path("rejected"), batch_id)
     # Last, because these rows tell the serving job that the batch is complete.
     write_batch(
@@ -47,7 +48,7 @@ def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: La
     candidates = landed.where("route = 'trip'").select(
         *routing.SILVER_COLUMNS, "trip_day"
     )
-    fresh = not_stored(first_wins(candidates), stored)
+    fresh = insert_new(candidates, stored)
     # Files by day, a large day over several tasks.
     write_batch(
         fresh.hint("rebalance", "trip_day"), lake.path("silver"), batch_id, ("trip_day",)

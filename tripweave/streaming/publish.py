@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.operators import uploads
+from tripweave.schemas import STARTED
 from tripweave.sources.event_log import append_events
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import overwrite_partitions
@@ -32,7 +33,7 @@ def publish_uploads(
     load_id = load_id or uuid.uuid4().hex
     stage = f"upload-{load_id}"
     files = uploads.assign_ingestions(upload_files(spark, path), load_id)
-    lake.write_status(files, "STARTED", f"{stage}-started", 0)
+    lake.write_status(files, STARTED, f"{stage}-started", 0)
 
     rows = uploads.assign_ingestions(read_uploads(spark, path, multi_line), load_id)
     overwrite_partitions(
@@ -44,6 +45,6 @@ def publish_uploads(
     events = uploads.to_events(trips, files, F.current_timestamp())
     (publish or (lambda df: append_events(df, lake.path("log"))))(events)
 
-    statuses = uploads.upload_statuses(trips, files).where("status <> 'STARTED'")
+    statuses = uploads.upload_statuses(trips, files).where(F.col("status") != STARTED)
     lake.write_status(statuses, F.col("status"), stage, 0)
     return load_id

@@ -23,7 +23,8 @@ LOOKUPS = {"regions": ("region", "region_id"), "datasources": ("datasource", "da
 
 @dataclass(frozen=True)
 class LakeStore:
-    """The serving trips as a lake table."""
+    """The serving trips as a lake table, each day's files in geohash order: near trips are
+    near in the file, and a box skips the row groups it does not touch."""
 
     lake: Lake
 
@@ -35,7 +36,11 @@ class LakeStore:
 
     def insert(self, rows: DataFrame, batch_id: int) -> None:
         write_batch(
-            rows.hint("rebalance", "trip_day"), self.lake.path("serving"), batch_id, ("trip_day",)
+            rows.hint("rebalance", "trip_day"),
+            self.lake.path("serving"),
+            batch_id,
+            ("trip_day",),
+            ordered_by=("origin_geohash",),
         )
 
 
@@ -123,7 +128,9 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     log rows are read, in the batches they arrived in, and only the days of these rows in
     the store.
     """
-    done = lake.read(spark, "status", before=batch_id).where("status = 'TRIPS_PG_COMPLETED'")
+    done = lake.read(spark, "status", before=batch_id).where(
+        F.col("status") == schemas.TRIPS_PG_COMPLETED
+    )
     open_markers = lake.read(spark, "markers").join(
         done.select("ingestion_id"), "ingestion_id", "left_anti"
     )
@@ -147,7 +154,7 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
             stored, listed_values(sent.where("route = 'trip'"), "trip_day")
         )
     report = completion_report(ready, sent, stored).where("complete")
-    lake.write_status(report, "TRIPS_PG_COMPLETED", "serving", batch_id)
+    lake.write_status(report, schemas.TRIPS_PG_COMPLETED, "serving", batch_id)
 
 
 def start_serving(

@@ -40,4 +40,4 @@ class FailureListener(StreamingQueryListener):
             row = self.spark.createDataFrame(
                 [(None, event.exception[:1000])], "ingestion_id string, message string"
             )
-            self.lake.write_status(row, "FAILED", f"failed-{name}-{event.runId}", 0)
+            self.lake.write_status(row, schemas.FAILED, f"failed-{name}-{event.runId}", 0)

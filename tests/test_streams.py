@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripweave.operators import routing
 from tripweave.operators.clusters import cluster_counts
 from tripweave.schemas import ENVELOPE
+from tripweave.session import fresh_dir
 from tripweave.sources import event_log
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import listed_values
@@ -302,3 +303,20 @@ def test_served_files_are_in_geohash_order(spark, lake):
     assert len(rows) == 199
     for left, right in zip(rows, rows[1:]):
         assert left.file != right.file or left.origin_geohash <= right.origin_geohash
+
+
+class FakeSession:
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_runs_live_in_the_shared_folder():
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}
+    assert fresh_dir(FakeSession(**shared), "x").startswith("hdfs:///shared/tripweave/x-")
+    with pytest.raises(RuntimeError):
+        fresh_dir(FakeSession(**{"spark.master": "yarn"}), "x")
+    assert "tripweave" in fresh_dir(FakeSession(**{"spark.master": "local[2]"}), "x")

@@ -30,5 +30,4 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tripweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tripweave/{label}-{uuid.uuid4().hex}"

@@ -17,21 +17,23 @@ def sent_rows(routed: DataFrame) -> DataFrame:
     )
 
 
-def held_per_ingestion(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Valid rows whose trip is stored, by this ingestion or an earlier one.
+def accounted_per_ingestion(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Valid rows whose trip is stored, by this ingestion or an earlier one, and rejected rows.
 
     Rows are counted per ingestion and trip before the join, so the many rows of an often
     repeated trip meet the stored ids as one row per ingestion.
     """
-    per_trip = (
-        rows.where("route = 'trip'")
-        .groupBy("ingestion_id", "trip_id")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    per_trip = rows.groupBy("ingestion_id", "route", "trip_id").agg(
+        F.count(F.lit(1)).alias("rows")
     )
+    held = (F.col("route") == "trip") & F.col("is_stored").isNotNull()
     return (
-        per_trip.join(stored.select("trip_id"), "trip_id", "left_semi")
+        per_trip.join(stored.select("trip_id", F.lit(True).alias("is_stored")), "trip_id", "left")
         .groupBy("ingestion_id")
-        .agg(F.sum("rows").alias("held_rows"))
+        .agg(
+            F.sum(F.when(held, F.col("rows"))).alias("held_rows"),
+            F.sum(F.when(F.col("route") == "rejected", F.col("rows"))).alias("rejected_rows"),
+        )
     )
 
 
@@ -41,18 +43,11 @@ def completion_report(markers: DataFrame, routed: DataFrame, stored: DataFrame)
     Complete means stored + duplicate + rejected >= announced, so a file delivered twice
     completes as well. The sides joined at the end have one row per ingestion.
     """
-    rows = sent_rows(routed)
-    rejected = (
-        rows.where("route = 'rejected'")
-        .groupBy("ingestion_id")
-        .agg(F.count(F.lit(1)).alias("rejected_rows"))
-    )
     parts = (
         markers.groupBy("ingestion_id")
         .agg(F.max("total_rows").cast("long").alias("total_rows"))
         .join(stored_per_ingestion(stored), "ingestion_id", "left")
-        .join(held_per_ingestion(rows, stored), "ingestion_id", "left")
-        .join(rejected, "ingestion_id", "left")
+        .join(accounted_per_ingestion(sent_rows(routed), stored), "ingestion_id", "left")
     )
     counts = ("stored_rows", "held_rows", "rejected_rows")
     return parts.select(

@@ -319,4 +319,7 @@ def test_runs_live_in_the_shared_folder():
     assert fresh_dir(FakeSession(**shared), "x").startswith("hdfs:///shared/tripweave/x-")
     with pytest.raises(RuntimeError):
         fresh_dir(FakeSession(**{"spark.master": "yarn"}), "x")
-    assert "tripweave" in fresh_dir(FakeSession(**{"spark.master": "local[2]"}), "x")
+    with pytest.raises(RuntimeError):
+        fresh_dir(FakeSession(**{"spark.master": "local-cluster[2,1,1024]"}), "x")
+    local = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/warehouse"}
+    assert fresh_dir(FakeSession(**local), "x").startswith("file:/warehouse/tripweave/x-")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,11 +23,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new base directory for one run: tables and checkpoints start together there.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors are one machine, may go without it.
+    session, where driver and executors are one machine, may go without it: its runs then
+    live under the warehouse directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tripweave-")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tripweave/{label}-{uuid.uuid4().hex}"

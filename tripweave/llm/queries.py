@@ -7,8 +7,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, exact_dedup, ngram_join, packing, token_counts
-from tripweave.llm.common import table
+from tripweave.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    html_text,
+    language_id,
+    ngram_join,
+    packing,
+    quality,
+    token_counts,
+)
+from tripweave.llm.common import crc_fold, table
 
 
 def word_bpe() -> str:
@@ -19,10 +30,47 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_classes(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.RuleModel:
+    """Fitted on labels of the documents whose fold is not 2."""
+    return quality.train(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id", 4) != 2)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        (crc_fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe(), capacity=2048, end_id=0)
 
 
+def language_samples(docs: DataFrame) -> dict[str, str]:
+    """Taken from the labelled documents whose fold is not 1."""
+    return language_id.train(docs, crc_fold("doc_id", 3) != 1)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_samples(docs))
+    return found.select(
+        "doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_bpe()
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -40,19 +88,86 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts hold control strings of chat templates (fixed values).
+CONTROL_CONVERSATION = (-7, r"\### Assistant: </turn> ok")
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv_id, text = CONTROL_CONVERSATION
+    control = spark.range(2).select(
+        F.lit(conv_id).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(text).alias("text"),
+    )
+    return chat_format.read_back(chat_format.format_turns(turns.unionByName(control)))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_language_id": op6_language_id,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_token_counts": op8_token_counts,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
+    "op3_embedding_near_dedup": """
+        with recursive vectors as (
+            select vec_id, cast(embedding as double[]) as v from embeddings
+        ), usable as (
+            select vec_id, v, sqrt(list_dot_product(v, v)) as size from vectors
+            where v is not null and len(v) > 0
+              and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+              and list_dot_product(v, v) > 0
+        ), links as (
+            select a.vec_id as a, b.vec_id as b from usable a join usable b
+            on a.vec_id != b.vec_id and len(a.v) = len(b.v)
+            where list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95
+        ), reached as (
+            select vec_id as start, vec_id as node from vectors
+            union
+            select reached.start, links.b from reached join links on links.a = reached.node
+        ), smallest as (
+            select start as vec_id, min(node) as component_id from reached group by start
+        ), counted as (
+            select a as vec_id, count(*) as n_links from links group by a
+        )
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from vectors join smallest using (vec_id) left join counted using (vec_id)
+    """,
+    "op9_chat_formatting": r"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations
+            union all
+            select -7, turn, role, '\### Assistant: </turn> ok'
+            from (values (0, 'user'), (1, 'assistant')) as two(turn, role)
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+                   as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint)
+                   as loss_chars,
+               sha256(coalesce(
+                   string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), ''))
+                   as loss_sha256,
+               cast(sum(
+                   length('<turn>') + length(role) + 1 + length('</turn>') + 1
+                   + length(replace(replace(replace(text, '\', '\\'), '<turn>', '<\turn>'),
+                                    '</turn>', '<\/turn>'))) as bigint) as formatted_chars
+        from turns group by conv_id
+    """,
     "op10_exact_dedup": r"""
         with normal as (
             select doc_id, length(coalesce(text, '')) as points,

@@ -24,8 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words a Python worker remembers before it starts afresh (about 150 MB).
-MEMO_WORDS = 400_000
+#: Words a Python worker remembers before it starts afresh (about 160 MB).
+MEMO_WORDS = 800_000
 #: Characters of text after which a result batch is handed on.
 FLUSH_CHARS = 4_000_000
 

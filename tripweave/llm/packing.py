@@ -163,19 +163,19 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def _encode_new(coder, tokenizer, words: list[str]) -> None:
+def _encode_new(coder, known: dict[str, bytes], words: list[str]) -> None:
     """Ids of words not met before, many in one call of the library: the last id of each word
     is known from its end-of-word mark."""
-    ids = np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+    ids = np.array(coder.library().encode(" ".join(words), add_special_tokens=False).ids, "<u4")
     ends = np.flatnonzero(coder.word_end[ids]) + 1
     if len(ends) != len(words):
         for word in words:
-            one = tokenizer.encode(word, add_special_tokens=False).ids
-            coder.word_ids[word] = np.array(one, "<u4").tobytes()
+            one = coder.library().encode(word, add_special_tokens=False).ids
+            known[word] = np.array(one, "<u4").tobytes()
         return
     raw, start = ids.tobytes(), 0
     for word, end in zip(words, ends.tolist()):
-        coder.word_ids[word] = raw[4 * start : 4 * end]
+        known[word] = raw[4 * start : 4 * end]
         start = end
 
 
@@ -200,7 +200,9 @@ def _piece_batches(
         coder.word_end = np.zeros(max(coder.vocab.strings) + 1, bool)
         coder.word_end[[i for i, s in coder.vocab.strings.items() if suffix and s.endswith(suffix)]] = True
     end = np.array([end_id], "<u4").tobytes()
-    known = coder.word_ids
+    if not hasattr(coder, "met"):
+        coder.met = {}  # a plain dict: sets are compared with it at native speed
+    known = coder.met
 
     def encoded(text: str) -> bytes:
         found = []
@@ -209,12 +211,12 @@ def _piece_batches(
                 found.append(coder.special[part])
                 continue
             words = words_of(part)
-            new = [word for word in dict.fromkeys(words) if word not in known]
+            new = set(words).difference(known)
             if new:
                 if len(known) + len(new) > MEMO_WORDS:
                     known.clear()
-                    new = list(dict.fromkeys(words))
-                _encode_new(coder, coder.library(), new)
+                    new = set(words)
+                _encode_new(coder, known, list(new))
             found.append(b"".join(map(known.__getitem__, words)))
         return b"".join(found) + end
 

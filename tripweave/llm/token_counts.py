@@ -21,12 +21,13 @@ from tripweave.llm.bpe import (
     _BEYOND_LATIN,
     _LATIN_WORDS,
     FLUSH_CHARS,
-    MEMO_WORDS,
     broadcast_file,
     codec,
     lower_case,
 )
 
+#: Words whose spans a Python worker remembers before it starts afresh (about 120 MB).
+MEMO_WORDS = 400_000
 #: Who gets a token that more than one section, or a section and a gap, touches.
 RULES = ("start", "end", "largest")
 

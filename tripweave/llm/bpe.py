@@ -24,10 +24,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words a Python worker remembers before it starts afresh (about 160 MB).
-MEMO_WORDS = 800_000
+#: Words a Python worker remembers before it starts afresh (about 80 MB).
+MEMO_WORDS = 400_000
 #: Characters of text after which a result batch is handed on.
-FLUSH_CHARS = 4_000_000
+FLUSH_CHARS = 2_000_000
 
 #: White space as Unicode's White_Space property has it (fixed values).
 SPACE = "\t-\r \x85\xa0  -     　"

@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.bpe import MEMO_WORDS, broadcast_file, codec, words_of
+from tripweave.llm.bpe import broadcast_file, codec, words_of
 from tripweave.llm.common import written
 
+#: Words a Python worker remembers before it starts afresh (about 160 MB).
+MEMO_WORDS = 800_000
 #: Slices that the pieces of one length are counted in, to rank them without sorting them all.
 SLICES = 4096
 

@@ -72,12 +72,13 @@ def test_memory_of_words_starts_afresh(coder, monkeypatch):
 @settings(max_examples=200, deadline=None)
 @given(TEXTS.filter(lambda t: "﻿" not in t))
 def test_token_spans_equal_the_library(library, coder, text):
-    starts, ends = token_counts.token_spans(token_counts._Spans(coder), text)
-    plain = "<|" not in text
-    if plain and all(ord(c) < 0x250 for c in text.lower()):
-        expected = library.encode(text, add_special_tokens=False).offsets
-        assert list(zip(starts.tolist(), ends.tolist())) == expected
-    assert len(starts) == len(library.encode(text, add_special_tokens=False).ids)
+    spans = token_counts.Spans(coder, text)
+    expected = library.encode(text, add_special_tokens=False)
+    assert spans.tokens == len(expected.ids)
+    found = [span for word in range(len(spans.starts)) for span in spans.of_word(word)]
+    assert len(found) == len(expected.ids)
+    if "<|" not in text and all(ord(c) < 0x250 for c in text.lower()):
+        assert found == expected.offsets
 
 
 @pytest.mark.parametrize("rule", token_counts.RULES)
@@ -101,7 +102,7 @@ def test_sections_by_rule(spark, library, rule):
 
 def test_documents_lead_and_lines_hold_every_token(spark, library):
     docs = table(spark, SF_DIR, "documents")
-    rows = token_counts.count_tokens(docs, word_bpe(), token_counts.lead_and_lines("text", 280))
+    rows = token_counts.count_tokens(docs, word_bpe(), token_counts.lead_and_lines(280))
     got = {
         r.doc_id: (r.n, r.total)
         for r in rows.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.max("document_tokens").alias("total")).collect()
@@ -111,9 +112,17 @@ def test_documents_lead_and_lines_hold_every_token(spark, library):
         assert got[row.doc_id] == (n, n)
 
 
+def test_lead_and_lines_cover_the_text():
+    for text in ("", "a", "abc\n", "ab\ncd", "\n\n\n", "abcdef\ngh\n\ni", "x" * 50 + "\n" * 50_000):
+        spans = token_counts.lead_and_lines(3)(text)
+        assert spans[0] == (0, min(3, len(text)))
+        assert "".join(text[a:b] for a, b in spans) == text
+        assert all(a < b for a, b in spans[1:]) and all(text[b - 1] == "\n" for _, b in spans[1:-1])
+
+
 def test_unknown_rule_and_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
-    sections = token_counts.lead_and_lines("text", 10)
+    sections = token_counts.lead_and_lines(10)
     with pytest.raises(ValueError):
         token_counts.count_tokens(empty, word_bpe(), sections, "half")
     assert token_counts.count_tokens(empty, word_bpe(), sections).collect() == []

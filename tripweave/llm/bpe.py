@@ -91,6 +91,9 @@ class Vocabulary:
         table = byte_symbols()
         self.byte_ids = [self.ids[c] for c in table], [self.ids[c + self.suffix] for c in table]
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
+        self.word_end = np.zeros(max(self.strings) + 1, bool)
+        if self.suffix:
+            self.word_end[[i for i, s in self.strings.items() if s.endswith(self.suffix)]] = True
         alternatives = "|".join(re.escape(s) for s in self.special)
         self.special_split = re.compile(f"({alternatives})" if alternatives else r"(?!)()")
 
@@ -168,6 +171,7 @@ class Codec:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self._library = None
+        self._met: dict[str, bytes] = {}  # plain: sets are compared with it at native speed
         self.word_ids = _Ids(vocab)
         self.special = {s: struct.pack("<I", i) for s, i in vocab.special.items()}
 
@@ -188,6 +192,31 @@ class Codec:
             self._library.no_padding()
         return self._library
 
+    def met(self, words: list[str], most: int) -> dict[str, bytes]:
+        """word -> ids, for at least these words, by the library; of up to ``most`` words."""
+        new = set(words).difference(self._met)
+        if new:
+            if len(self._met) + len(new) > most:
+                self._met.clear()
+                new = set(words)
+            self._encode_new(list(new))
+        return self._met
+
+    def _encode_new(self, words: list[str]) -> None:
+        """Many words in one call: the last id of each is known from its end-of-word mark."""
+        encode = self.library().encode
+        ids = np.array(encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.vocab.word_end[ids]) + 1
+        if len(ends) != len(words):
+            for word in words:
+                one = encode(word, add_special_tokens=False).ids
+                self._met[word] = np.array(one, "<u4").tobytes()
+            return
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist()):
+            self._met[word] = raw[4 * start : 4 * end]
+            start = end
+
     def decode(self, ids: np.ndarray) -> str:
         """Vocabulary strings, special tokens too, joined by one space: the file names no
         decoder, so nothing else is done to them."""

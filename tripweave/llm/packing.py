@@ -165,22 +165,6 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def _encode_new(coder, known: dict[str, bytes], words: list[str]) -> None:
-    """Ids of words not met before, many in one call of the library: the last id of each word
-    is known from its end-of-word mark."""
-    ids = np.array(coder.library().encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-    ends = np.flatnonzero(coder.word_end[ids]) + 1
-    if len(ends) != len(words):
-        for word in words:
-            one = coder.library().encode(word, add_special_tokens=False).ids
-            known[word] = np.array(one, "<u4").tobytes()
-        return
-    raw, start = ids.tobytes(), 0
-    for word, end in zip(words, ends.tolist()):
-        known[word] = raw[4 * start : 4 * end]
-        start = end
-
-
 _PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -197,29 +181,16 @@ def _piece_batches(
     batches: Iterator[pa.RecordBatch], file, capacity: int, end_id: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
     coder = codec(file.value)
-    if not hasattr(coder, "word_end"):
-        suffix = coder.vocab.suffix
-        coder.word_end = np.zeros(max(coder.vocab.strings) + 1, bool)
-        coder.word_end[[i for i, s in coder.vocab.strings.items() if suffix and s.endswith(suffix)]] = True
     end = np.array([end_id], "<u4").tobytes()
-    if not hasattr(coder, "met"):
-        coder.met = {}  # a plain dict: sets are compared with it at native speed
-    known = coder.met
 
     def encoded(text: str) -> bytes:
         found = []
         for special, part in coder.vocab.parts(text):
             if special:
                 found.append(coder.special[part])
-                continue
-            words = words_of(part)
-            new = set(words).difference(known)
-            if new:
-                if len(known) + len(new) > MEMO_WORDS:
-                    known.clear()
-                    new = set(words)
-                _encode_new(coder, known, list(new))
-            found.append(b"".join(map(known.__getitem__, words)))
+            else:
+                words = words_of(part)
+                found.append(b"".join(map(coder.met(words, MEMO_WORDS).__getitem__, words)))
         return b"".join(found) + end
 
     for batch in batches:

@@ -84,7 +84,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
-        table(spark, sf_dir, "documents"), word_bpe(), token_counts.lead_and_lines("text", 280)
+        table(spark, sf_dir, "documents"), word_bpe(), token_counts.lead_and_lines(280)
     )
 
 

@@ -89,10 +89,30 @@ def test_expectations_count_broken_rules(spark):
 
 def test_ids_made_elsewhere_are_looked_up_everywhere(spark):
     days = routing.with_trip_day(routed(spark)).where("route = 'trip'").select("trip_day").distinct()
-    assert [r.trip_day for r in days.collect()] == [routing.FOREIGN_DAY]
-    stored = spark.createDataFrame([("a", "2018-05-28"), ("b", "other"), ("c", "2018-06-01")], "trip_id string, trip_day string")
-    def kept(wanted):
-        return {r.trip_id for r in routing.same_days(stored, wanted).collect()}
-
-    assert kept(["2018-05-28"]) == {"a", "b"}
-    assert kept(["2018-05-28", "other"]) == kept(None) == {"a", "b", "c"}
+    assert all(r.trip_day.startswith(routing.FOREIGN) for r in days.collect())
+    part = routing.foreign_part()
+    stored = spark.createDataFrame(
+        [("a", "2018-05-28"), ("b", None), ("c", "2018-06-01"), ("d", "2018-05-28")], "trip_id string, trip_day string"
+    ).withColumn("trip_day", F.coalesce("trip_day", part))
+
+    def known(*rows):
+        trips = spark.createDataFrame(rows, "trip_id string, trip_day string")
+        trips = trips.withColumn("trip_day", F.coalesce("trip_day", part))
+        return sorted(r.trip_id for r in routing.known_trips(trips, stored).collect())
+
+    # Ids of their own look into their day and into the part a foreign copy would be in.
+    assert known(("a", "2018-05-28"), ("b", "2018-05-28"), ("c", "2018-05-28")) == ["a", "b"]
+    # A foreign id looks everywhere, and it alone does.
+    assert known(("a", "2018-07-01"), ("c", None)) == ["c"]
+    assert known(("c", "2018-05-28"), ("c", None)) == ["c"]
+
+
+def test_one_foreign_id_leaves_the_other_look_ups_pruned(spark, tmp_path, plan_of):
+    path = str(tmp_path / "stored")
+    rows = [(f"t{n}", f"2018-05-{n:02d}") for n in range(1, 21)]
+    spark.createDataFrame(rows, "trip_id string, trip_day string").write.partitionBy("trip_day").parquet(path)
+    stored = spark.read.schema("trip_id string, trip_day string").parquet(path)
+    trips = spark.createDataFrame([("t3", "2018-05-03"), ("x", "other-9d")], "trip_id string, trip_day string")
+    plan = plan_of(routing.known_trips(trips, stored))
+    assert plan.count("PartitionFilters: [isnotnull(trip_day") + plan.count("PartitionFilters: [trip_day") >= 1
+    assert [r.trip_id for r in routing.known_trips(trips, stored).collect()] == ["t3"]

@@ -11,7 +11,7 @@ from tripweave.schemas import ENVELOPE
 from tripweave.session import fresh_dir
 from tripweave.sources import event_log
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import listed_values
+from tripweave.sources.tables import partition_values
 from tripweave.streaming import gold
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
 from tripweave.streaming.publish import publish_uploads
@@ -124,6 +124,7 @@ def test_gold_equals_batch_and_survives_a_replayed_silver_batch(spark, lake):
         gold.start_weekly,
         gold.start_cluster_snapshots,
         gold.start_cluster_rollup,
+        gold.start_weekly_rollup,
     )
 
     def catch_up():
@@ -145,6 +146,8 @@ def test_gold_equals_batch_and_survives_a_replayed_silver_batch(spark, lake):
     assert answers() == [expected] * 3
     weekly = {(r.region, r.iso_week): r.trip_count for r in gold.gold_weekly(spark, lake).collect()}
     assert sum(weekly.values()) == 9
+    rolled = {(r.region, r.iso_week): r.trip_count for r in gold.rolled_up_weeks(spark, lake).collect()}
+    assert rolled == weekly
 
 
 def test_serving_lookups_and_completion(spark, lake):
@@ -187,14 +190,13 @@ def test_serving_lookups_and_completion(spark, lake):
     assert sorted(feed) == ["BRONZE_COMPLETED", "SILVER_COMPLETED", "TRIPS_PG_COMPLETED"]
 
 
-@pytest.mark.parametrize("late_by", [None, "1 day"])
-def test_state_dedup_across_batches(spark, lake, late_by):
+def test_state_dedup_across_batches(spark, lake):
     publish(spark, lake, [trip(1), trip(1), trip(2)])
     publish(spark, lake, [trip(2, "i2"), trip(3, "i2")], 1)
     seen = []
     log = event_log.file_stream(spark, lake.path("log"), 1)
     query = start(
-        first_deliveries(log, late_by),
+        first_deliveries(log),
         lambda batch, _: seen.extend(r.trip_id for r in batch.collect()),
         "state_dedup",
         lake.checkpoint("state_dedup"),
@@ -209,6 +211,9 @@ def test_a_failed_query_leaves_a_status(spark, lake):
     spark.streams.addListener(listener)
     try:
         publish(spark, lake, [trip(1)])
+        publish(spark, lake, [marker("done", 0)], 1)
+        ingest(spark, lake)
+        finish(start_serving(spark, lake, available_now=True))
 
         def broken(batch, _):
             raise RuntimeError("sink is gone")
@@ -226,8 +231,10 @@ def test_a_failed_query_leaves_a_status(spark, lake):
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    assert len(failed) == 1 and "sink is gone" in failed[0].message
-    assert failed[0].query.startswith("failed-broken-")
+    # One row for the query, and one in the feed of the ingestion that is open.
+    assert {r.ingestion_id for r in failed} == {None, "i1"}
+    assert all("sink is gone" in r.message for r in failed)
+    assert all(r.query.startswith("failed-broken-") for r in failed)
 
 
 def test_retry_waits_twice_as_long_each_time():
@@ -251,10 +258,10 @@ def test_jdbc_and_kafka_options():
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10"
 
 
-def test_listed_values_gives_up_beyond_its_bound(spark):
-    df = spark.range(20)
-    assert sorted(listed_values(df, "id", 20)) == list(range(20))
-    assert listed_values(df, "id", 19) is None
+def test_partition_values(spark):
+    df = spark.range(20).selectExpr("id % 3 as id")
+    assert sorted(partition_values(df, "id")) == [0, 1, 2]
+    assert sorted(partition_values(df, F.array("id", F.col("id") + 5))) == [0, 1, 2, 5, 6, 7]
 
 
 def test_upload_to_serving(spark, lake, tmp_path):

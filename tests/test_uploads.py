@@ -80,6 +80,30 @@ def test_columns_go_by_header_name_and_a_missing_one_rejects(spark, tmp_path):
     assert uploads.parse_trips(read_uploads(spark, short)).first().reject_reason == "missing_field"
 
 
+def test_each_file_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    write(folder, "a.csv", HEADER, GOOD, "", '"a ""b"", c",POINT (1 2),,2018-05-28,""')
+    write(folder, "b.csv", "\ufeffdatasource, region ,extra,datetime,destination_coord,origin_coord", "src,Turin,?,2018-05-29,POINT (1 2),POINT (3 4)", "only")
+    path = write(folder, "c.csv", "region,datasource", "Brno,x")
+    rows = read_uploads(spark, path)
+    got = {(r.upload_file.rsplit("/", 1)[1], r.row_number): r for r in rows.collect()}
+    assert set(got) == {("a.csv", 1), ("a.csv", 2), ("b.csv", 1), ("b.csv", 2), ("c.csv", 1)}
+    assert got["a.csv", 1].region == "Prague" and got["a.csv", 1].datasource == "funny_car"
+    quoted = got["a.csv", 2]
+    assert (quoted.region, quoted.destination_coord, quoted.datasource) == ('a "b", c', None, "")
+    other = got["b.csv", 1]
+    assert (other.region, other.datasource, other.origin_coord, other.datetime) == ("Turin", "src", "POINT (3 4)", "2018-05-29")
+    assert (got["b.csv", 2].datasource, got["b.csv", 2].region) == ("only", None)
+    assert (got["c.csv", 1].region, got["c.csv", 1].origin_coord) == ("Brno", None)
+
+
+def test_a_long_quoted_field_is_read_whole(spark, tmp_path):
+    long = 'x ""y"", ' * 20_000
+    path = write(tmp_path / "long", "a.csv", HEADER, f'"{long}",POINT (1 2),POINT (1 2),2018-05-28,s')
+    row = read_uploads(spark, path).first()
+    assert row.region == long.replace('""', '"') and row.datasource == "s"
+
+
 def test_quoted_line_breaks_when_asked_for(spark, tmp_path):
     path = write(tmp_path / "lines", "a.csv", HEADER, GOOD.replace("Prague", '"two\nlines"'), GOOD)
     rows = read_uploads(spark, path, multi_line=True).orderBy("row_number").collect()

@@ -80,11 +80,10 @@ def clusters_by_week(clusters: DataFrame) -> DataFrame:
 
 
 def latest_clusters(snapshots: DataFrame) -> DataFrame:
-    """The newest snapshot of each cluster. Counts never fall, so it is also the largest:
-    one aggregate of plain longs instead of ordering whole rows."""
+    """The newest snapshot of each cluster, by its batch: one aggregate of plain longs."""
     return (
         snapshots.groupBy(*CLUSTER_KEY)
-        .agg(F.max("trip_count").alias("trip_count"))
+        .agg(F.max_by("trip_count", "batch_id").alias("trip_count"))
         .withColumn("iso_week", iso_week(F.col("time_bucket")))
     )
 

@@ -9,10 +9,14 @@ from tripweave.operators.regions import stored_per_ingestion
 
 
 def sent_rows(routed: DataFrame) -> DataFrame:
-    """The distinct rows each ingestion sent, however often the log delivered them."""
+    """The distinct rows each ingestion sent, however often the log delivered them.
+
+    A row is known by its number; one without a number by a digest of its whole payload.
+    """
+    unnumbered = F.when(F.col("row_number").isNull(), F.sha2("raw_payload", 256))
     return (
         routed.where("route in ('trip', 'rejected')")
-        .select("ingestion_id", "row_number", "trip_id", "route")
+        .select("ingestion_id", "row_number", "trip_id", "route", unnumbered.alias("payload"))
         .distinct()
     )
 
@@ -21,19 +25,25 @@ def accounted_per_ingestion(rows: DataFrame, stored: DataFrame) -> DataFrame:
     """Valid rows whose trip is stored, by this ingestion or an earlier one, and rejected rows.
 
     Rows are counted per ingestion and trip before the join, so the many rows of an often
-    repeated trip meet the stored ids as one row per ingestion.
+    repeated trip meet the stored ids as one row per ingestion. Rejected rows, which may
+    have no id at all, are only counted.
     """
-    per_trip = rows.groupBy("ingestion_id", "route", "trip_id").agg(
+    trip = F.when(F.col("route") == "trip", F.col("trip_id"))
+    per_trip = rows.groupBy("ingestion_id", trip.alias("trip_id")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    held = (F.col("route") == "trip") & F.col("is_stored").isNotNull()
+    held = per_trip.where("trip_id is not null").join(
+        stored.select("trip_id"), "trip_id", "left_semi"
+    )
+    rejected = per_trip.where("trip_id is null")
+    none = F.lit(0).cast("long")
     return (
-        per_trip.join(stored.select("trip_id", F.lit(True).alias("is_stored")), "trip_id", "left")
-        .groupBy("ingestion_id")
-        .agg(
-            F.sum(F.when(held, F.col("rows"))).alias("held_rows"),
-            F.sum(F.when(F.col("route") == "rejected", F.col("rows"))).alias("rejected_rows"),
+        held.select("ingestion_id", F.col("rows").alias("held"), none.alias("rejected"))
+        .unionByName(
+            rejected.select("ingestion_id", none.alias("held"), F.col("rows").alias("rejected"))
         )
+        .groupBy("ingestion_id")
+        .agg(F.sum("held").alias("held_rows"), F.sum("rejected").alias("rejected_rows"))
     )
 
 

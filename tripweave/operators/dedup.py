@@ -29,5 +29,9 @@ def insert_new(
     copies of a hot key before any shuffle; the anti join then finds its left side already
     partitioned and sorted by the ranking.
     """
-    known = stored.select(key).join(batch.select(key).distinct(), key, "left_semi")
-    return first_wins(batch, key, order).join(known, key, "left_anti")
+    return first_wins(batch, key, order).join(known_keys(batch, stored, key), key, "left_anti")
+
+
+def known_keys(batch: DataFrame, stored: DataFrame, key: str = "trip_id") -> DataFrame:
+    """The stored keys that the batch has too."""
+    return stored.select(key).join(batch.select(key).distinct(), key, "left_semi")

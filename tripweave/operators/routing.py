@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from tripweave.functions.once import with_computed
 from tripweave.functions.points import in_lat_range, in_lon_range
 from tripweave.functions.times import parse_instant
+from tripweave.operators.dedup import first_wins, known_keys
 from tripweave.operators.uploads import any_of, trip_id_of
 from tripweave.schemas import PAYLOAD, SILVER_COLUMNS
+from tripweave.sources.tables import partition_values
 
-FOREIGN_DAY = "other"
+#: Ids not made from the trip's own fields are stored by a part of their digest: partitions
+#: "other-00" to "other-ff".
+FOREIGN = "other-"
 
 
 def decode(events: DataFrame) -> DataFrame:
@@ -81,19 +85,49 @@ def with_trip_day(routed: DataFrame) -> DataFrame:
     """The day a trip is stored under; NULL for rows that are no trips.
 
     An id made from the trip's own fields covers its instant, so two trips with that id
-    share the day, and a look-up for the id needs that day's partitions only. Ids made by
-    any other rule go to one partition that every look-up includes.
+    share the day, and a look-up for the id needs that day's partitions, and the one that
+    a foreign row of the same id would be in. Ids made by any other rule go there.
     """
     own_id = F.col("trip_id").eqNullSafe(trip_id_of("instant"))
-    day = F.when(own_id, F.to_date("instant").cast("string")).otherwise(FOREIGN_DAY)
+    day = F.when(own_id, F.to_date("instant").cast("string")).otherwise(foreign_part())
     return routed.withColumn("trip_day", F.when(F.col("route") == "trip", day))
 
 
-def same_days(stored: DataFrame, days: list[str] | None) -> DataFrame:
-    """The part of a day-partitioned table that can hold an id of a trip of these days."""
-    if days is None or FOREIGN_DAY in days:
-        return stored
-    return stored.where(F.col("trip_day").isin([*days, FOREIGN_DAY]))
+def foreign_part() -> Column:
+    """The partition of a trip whose id was made by another rule."""
+    return F.concat(F.lit(FOREIGN), F.substring(F.md5("trip_id"), 1, 2))
+
+
+def same_parts(stored: DataFrame, trips: DataFrame) -> DataFrame:
+    """The partitions of a day-partitioned table that can hold an id of these own-id trips."""
+    parts = partition_values(trips, F.array("trip_day", foreign_part()))
+    return stored.where(F.col("trip_day").isin(parts))
+
+
+def known_trips(trips: DataFrame, stored: DataFrame) -> DataFrame:
+    """The stored ids that the trips have too.
+
+    Trips with an id of their own look into their partitions. The others, if there are any,
+    look everywhere, since an id of that kind says nothing of where it could be; they alone
+    do, and their ids are first cut from the table.
+    """
+    foreign = F.col("trip_day").startswith(FOREIGN)
+    own, others = trips.where(~foreign), trips.where(foreign)
+    known = known_keys(own, same_parts(stored, own))
+    if others.isEmpty():
+        return known
+    return known.unionByName(known_keys(others, stored)).distinct()
+
+
+def stored_of(trips: DataFrame, stored: DataFrame) -> DataFrame:
+    """The partitions that can hold these trips' ids: all of them if one id is foreign."""
+    foreign = trips.where(F.col("trip_day").startswith(FOREIGN))
+    return same_parts(stored, trips) if foreign.isEmpty() else stored
+
+
+def insert_by_day(trips: DataFrame, stored: DataFrame) -> DataFrame:
+    """What an insert-only merge adds to a table stored by ``trip_day``."""
+    return first_wins(trips).join(known_trips(trips, stored), "trip_id", "left_anti")
 
 
 def expectations(routed: DataFrame) -> DataFrame:

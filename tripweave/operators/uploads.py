@@ -80,7 +80,7 @@ def trip_id_of(instant: str) -> Column:
 
 def accepted(parsed: DataFrame) -> DataFrame:
     good = parsed.where("reject_reason is null")
-    return good.withColumn("row_number", F.col("row_number").cast("int")).select(*TRIP_FIELDS)
+    return good.withColumn("row_number", F.col("row_number").cast("long")).select(*TRIP_FIELDS)
 
 
 def to_envelope(records: DataFrame, fields: list[str], timestamp: Column) -> DataFrame:
@@ -103,7 +103,7 @@ def end_markers(trips: DataFrame, ingestions: DataFrame) -> DataFrame:
             F.lit("ingestion_end").alias("record_type"),
             "ingestion_id",
             control_id(F.col("ingestion_id")).alias("control_id"),
-            F.coalesce("sent", F.lit(0)).cast("int").alias("total_rows"),
+            F.coalesce("sent", F.lit(0)).cast("long").alias("total_rows"),
         )
     )
 

@@ -27,6 +27,24 @@ def weekly_metrics(trips: DataFrame, by_year: bool = False) -> DataFrame:
     )
 
 
+def weekly_deltas(trips: DataFrame, per: tuple[str, ...]) -> DataFrame:
+    """Trips per region and ISO week of each part of a table, for example of each batch."""
+    return (
+        trips.select(*per, "region", iso_week(instant_of(trips)).alias("iso_week"))
+        .groupBy(*per, "region", "iso_week")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+    )
+
+
+def merged_weeks(deltas: DataFrame) -> DataFrame:
+    """Weekly metrics from counts per part: the counts of a region and week add up."""
+    return (
+        deltas.groupBy("region", "iso_week")
+        .agg(F.sum("trip_count").alias("trip_count"))
+        .withColumn("avg_trips_per_day", F.col("trip_count") / F.lit(7.0))
+    )
+
+
 def weekly_counts(trips: DataFrame, *keys: str) -> DataFrame:
     return (
         trips.select(*keys, week_start(instant_of(trips)).alias("week_start"))

@@ -181,8 +181,16 @@ def contract_expectations(spark, sf):
 # --- dedup and merge --------------------------------------------------------------------
 
 
+def _landed(routed: DataFrame) -> DataFrame:
+    """The routed log in the run's own folder, as ingest lands it: decoded and parsed once,
+    however often the following steps read it."""
+    path = fresh_dir(routed.sparkSession, "landed")
+    routed.write.parquet(path)
+    return routed.sparkSession.read.schema(routed.schema).parquet(path)
+
+
 def _delivered(spark, sf) -> DataFrame:
-    return routing.trips(source.routed_all(spark, sf))
+    return _landed(routing.trips(source.routed_all(spark, sf)).drop("raw_payload"))
 
 
 def _keys(trips: DataFrame) -> DataFrame:
@@ -205,9 +213,9 @@ def merge_insert(spark, sf):
 @query
 def redelivery(spark, sf):
     """The whole second delivery against the stored first one: nothing is new."""
-    first = routing.trips(source.routed_first(spark, sf))
-    again = routing.trips(
-        routing.route(routing.decode(source.second_delivery(spark, sf)))
+    first = _landed(routing.trips(source.routed_first(spark, sf)))
+    again = _landed(
+        routing.trips(routing.route(routing.decode(source.second_delivery(spark, sf))))
     )
     steps = {"stored": first, "delivered": again, "added": dedup.insert_new(again, first)}
     counted = [
@@ -386,7 +394,17 @@ def ingestion_status(spark, sf):
 
 @query
 def ingestion_completion(spark, sf):
-    routed = source.routed_all(spark, sf)
+    routed = _landed(source.routed_all(spark, sf))
+    stored = dedup.first_wins(routing.trips(routed))
+    return completion.completion_report(routing.markers(routed), routed, stored)
+
+
+@query
+def completion_unnumbered(spark, sf):
+    """Every document's text as a rejected row without number and id, some of them twice on
+    the log: an ingestion per language, announced with the number of its different texts."""
+    events = source.unnumbered_events(spark, sf)
+    routed = _landed(routing.route(routing.decode(events)))
     stored = dedup.first_wins(routing.trips(routed))
     return completion.completion_report(routing.markers(routed), routed, stored)
 
@@ -421,6 +439,35 @@ def csv_uploads(spark, sf):
     )
 
 
+@query
+def csv_mixed_headers(spark, sf):
+    """The upload rows as files of three headers: as they are, in another order, and with a
+    column that no one asked for; each file read by its own header."""
+    configure(spark)
+    path = fresh_dir(spark, "uploads")
+    rows = source.upload_rows(spark, sf)
+    kept = [name for name in rows.columns if name not in ("row_number", "ingestion_id")]
+    orders = [kept, kept[::-1], [*kept[2:], "row_number", *kept[:2]]]
+    for part, columns in enumerate(orders):
+        (
+            rows.where(F.col("row_number") % len(orders) == part)
+            .select(*columns)
+            .write.mode("append")
+            .option("header", True)
+            .option("escape", '"')
+            .csv(path)
+        )
+    read = read_uploads(spark, path)
+    parsed = uploads.parse_trips(read.withColumn("ingestion_id", F.lit("mixed")))
+    numbered = read.groupBy("upload_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("row_number").alias("last")
+    )
+    right = numbered.agg(F.expr("bool_and(rows = last)").alias("numbered"))
+    return uploads.accepted(parsed).select("trip_id", "region", "datetime", "datasource").join(
+        F.broadcast(right)
+    )
+
+
 @query
 def csv_row_numbers(spark, sf):
     """Row numbers run from 1 to the number of rows in every file, none missing."""
@@ -485,6 +532,11 @@ def stream_cluster_rollup(spark, sf):
     return gold.rolled_up_clusters(spark, lake).withColumn("time_bucket", text("time_bucket"))
 
 
+@query
+def stream_weekly_rollup(spark, sf):
+    return gold.rolled_up_weeks(spark, pipeline.run(spark, sf, "weekly_rollup"))
+
+
 @query
 def stream_dedup_state(spark, sf):
     return _keys(pipeline.run_state_dedup(spark, sf))
@@ -522,6 +574,15 @@ def stream_status(spark, sf):
 
 
 
+@query
+def stream_status_feed(spark, sf):
+    """The statuses of every ingestion as its feed shows them, read as one stream."""
+    lake = pipeline.run(spark, sf, "serving")
+    return pipeline.feed_of_all(spark, lake).select(
+        "ingestion_id", "status", "total_rows", "stored_rows"
+    )
+
+
 @query
 def stream_uploads(spark, sf):
     """CSV files published, landed and served: what the completion statuses add up to."""

@@ -32,7 +32,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("ing-"), (event % 4).cast("string")).alias("ingestion_id"),
-        (event.cast("int") + 1).alias("row_number"),
+        (event.cast("long") + 1).alias("row_number"),
         F.col("event_type").alias("region"),
         F.when(event % 97 == 0, F.lit(200.0))
         .when(event % 101 == 0, None)
@@ -92,7 +92,7 @@ def announced(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = (
         first.unionByName(again)
         .groupBy("ingestion_id")
-        .agg(F.count(F.lit(1)).cast("int").alias("total_rows"))
+        .agg(F.count(F.lit(1)).alias("total_rows"))
         .withColumn(
             "total_rows",
             F.when(F.col("ingestion_id") == INCOMPLETE, F.col("total_rows") + 1).otherwise(
@@ -100,7 +100,7 @@ def announced(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
     )
-    empty = table(spark, sf_dir, "events").agg(F.lit(0).alias("total_rows")).select(
+    empty = table(spark, sf_dir, "events").agg(F.lit(0).cast("long").alias("total_rows")).select(
         F.lit(EMPTY).alias("ingestion_id"), "total_rows"
     )
     return counted.unionByName(empty).select(
@@ -139,6 +139,26 @@ def stray_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_envelope(other, ["record_type"], when).unionByName(texts)
 
 
+def unnumbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of documents as trip records that lack number, id and coordinates, by language;
+    those of even id are delivered twice. A marker for each language."""
+    when = F.lit("2024-06-03 00:00:00").cast("timestamp")
+    texts = table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("ingestion_id"), F.col("text").alias("region"), "doc_id"
+    )
+    twice = texts.unionByName(texts.where("doc_id % 2 = 0")).drop("doc_id")
+    ends = texts.groupBy("ingestion_id").agg(F.count_distinct("region").alias("total_rows"))
+    markers = ends.select(
+        F.lit("ingestion_end").alias("record_type"),
+        "ingestion_id",
+        F.concat("ingestion_id", F.lit(":end")).alias("control_id"),
+        "total_rows",
+    )
+    return to_envelope(twice, ["ingestion_id", "region"], when).unionByName(
+        to_envelope(markers, MARKER_FIELDS, when)
+    )
+
+
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         first_delivery(spark, sf_dir)

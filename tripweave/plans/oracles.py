@@ -58,7 +58,7 @@ def _digest(columns: str = "") -> str:
 
 RAW = """raw as (
   select 'ing-' || cast(event_id % 4 as varchar) as ingestion_id,
-         cast(event_id as integer) + 1 as row_number,
+         cast(event_id as bigint) + 1 as row_number,
          event_type as region,
          case when event_id % 97 = 0 then cast(200 as double)
               when event_id % 101 = 0 then null
@@ -363,7 +363,7 @@ from upload""",
     "end_markers": UPLOADS
     + f"""
 select 'ingestion_end' as record_type, ingestion_id, ingestion_id || ':end' as control_id,
-       cast(sent as integer) as total_rows
+       sent as total_rows
 from ({SENT_COUNTS})""",
     "sent_progress": UPLOADS + PROGRESS,
     "ingestion_status": UPLOADS
@@ -376,6 +376,13 @@ union all select ingestion_id, 'COMPLETED', sent from ({SENT_COUNTS})""",
     + """
 select trip_id, region, origin_lon, origin_lat, destination_lon, destination_lat,
        instant_text as datetime, datasource from valid""",
+    "completion_unnumbered": """
+select lang as ingestion_id, count(distinct text) as total_rows, cast(0 as bigint) as stored_rows,
+       cast(0 as bigint) as duplicate_rows, count(distinct text) as rejected_rows, true as complete
+from documents group by lang""",
+    "csv_mixed_headers": TRIPS
+    + """
+select trip_id, region, instant_text as datetime, datasource, true as numbered from valid""",
     "csv_row_numbers": "select count(*) as rows, true as numbered_from_1 from events",
     "stream_bronze": SPLIT_COUNTS,
     "stream_silver": TRIPS + f"select {SILVER_COLUMNS} from valid",
@@ -385,6 +392,7 @@ select trip_id, region, origin_lon, origin_lat, destination_lon, destination_lat
     "stream_weekly": TRIPS + _metrics("valid"),
     "stream_cluster_latest": CLUSTERS + f"select {CLUSTER_COLUMNS} from clusters",
     "stream_cluster_rollup": CLUSTERS + f"select {CLUSTER_COLUMNS} from clusters",
+    "stream_weekly_rollup": TRIPS + _metrics("valid"),
     "stream_dedup_state": LOG + f"select {KEYS} from first_delivered",
     "stream_serving": SERVING,
     "stream_lookups": TRIPS
@@ -402,5 +410,12 @@ select ingestion_id, unnest(['BRONZE_COMPLETED', 'SILVER_COMPLETED']) as status,
        total_rows, cast(null as bigint) as stored_rows
 from announced
 union all
+select ingestion_id, 'TRIPS_PG_COMPLETED', total_rows, stored_rows from report where complete""",
+    "stream_status_feed": COMPLETION
+    + """
+select ingestion_id, unnest(['BRONZE_COMPLETED', 'SILVER_COMPLETED']) as status,
+       total_rows, cast(null as bigint) as stored_rows
+from announced
+union all
 select ingestion_id, 'TRIPS_PG_COMPLETED', total_rows, stored_rows from report where complete""",
 }

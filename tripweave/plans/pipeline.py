@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,14 @@ from tripweave.streaming.ingest import first_deliveries, start_ingest
 from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start
 from tripweave.streaming.serving import start_serving
+from tripweave.streaming.status import all_statuses
 
 GOLD_JOBS: dict[str, Callable] = {
     "clusters": gold.start_clusters,
     "weekly": gold.start_weekly,
     "snapshots": gold.start_cluster_snapshots,
     "rollup": gold.start_cluster_rollup,
+    "weekly_rollup": gold.start_weekly_rollup,
     "serving": start_serving,
 }
 
@@ -58,6 +61,20 @@ def run_uploads(spark: SparkSession, path: str) -> Lake:
     return lake
 
 
+def feed_of_all(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The status feed of every ingestion, copied out by a stream that reads it once."""
+    out = lake.path("feed_copy")
+    query = start(
+        all_statuses(spark, lake),
+        lambda batch, batch_id: write_batch(batch.drop("batch_id"), out, batch_id),
+        "status_feed",
+        lake.checkpoint(f"status_feed_{uuid.uuid4().hex}"),
+        available_now=True,
+    )
+    finish(query)
+    return spark.read.parquet(out)
+
+
 def run_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips deduplicated by state alone, written batch by batch."""
     configure(spark)

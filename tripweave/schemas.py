@@ -45,8 +45,8 @@ PAYLOAD = _fields(
     ("record_type", S),
     ("ingestion_id", S),
     ("control_id", S),
-    ("total_rows", I),
-    ("row_number", I),
+    ("total_rows", L),
+    ("row_number", L),
     ("trip_id", S),
     ("region", S),
     ("origin_lon", D),
@@ -76,6 +76,7 @@ _AUDIT = [T.StructField("raw_payload", S, True), T.StructField("kafka_timestamp"
 _BATCH = T.StructField("batch_id", L, True)
 _DAY = T.StructField("trip_day", S, True)
 
+# Columns of the silver table.
 SILVER_COLUMNS = [*TRIP_FIELDS, "raw_payload", "kafka_timestamp"]
 
 _ROUTING = [
@@ -92,7 +93,7 @@ REJECTED = T.StructType(
 )
 MARKERS = T.StructType(
     [
-        *_fields(("ingestion_id", S), ("control_id", S), ("total_rows", I)).fields,
+        *_fields(("ingestion_id", S), ("control_id", S), ("total_rows", L)).fields,
         _AUDIT[1],
         _BATCH,
     ]
@@ -114,6 +115,7 @@ STATUS = T.StructType(
     ]
 )
 
+# Columns of the gold tables.
 CLUSTERS = _fields(
     ("origin_cell", S),
     ("destination_cell", S),
@@ -125,7 +127,11 @@ CLUSTER_SNAPSHOTS = T.StructType([*CLUSTERS.fields, _BATCH])
 WEEKLY_METRICS = _fields(
     ("region", S), ("iso_week", I), ("trip_count", L), ("avg_trips_per_day", D)
 )
+WEEKLY_DELTAS = T.StructType(
+    [*_fields(("region", S), ("iso_week", I), ("trip_count", L)).fields, _BATCH]
+)
 
+# Columns of the serving table.
 SERVING_COLUMNS = [
     "trip_id",
     "ingestion_id",

@@ -22,6 +22,7 @@ TABLES = {
     "status": (schemas.STATUS, ["query", "batch_id"]),
     "cluster_snapshots": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
     "cluster_deltas": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
+    "weekly_deltas": (schemas.WEEKLY_DELTAS, ["batch_id"]),
     "serving": (schemas.SERVING, ["batch_id", "trip_day"]),
     "regions": (schemas.dimension("region_id", "region"), ["batch_id"]),
     "datasources": (schemas.dimension("datasource_id", "datasource"), ["batch_id"]),

@@ -7,12 +7,10 @@ a typed NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LISTED_VALUES = 1000
-
 
 def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partitions: list[str]
@@ -91,10 +89,10 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return rows.join(F.broadcast(newest), "version").select(*schema.names)
 
 
-def listed_values(df: DataFrame, column: str, most: int = LISTED_VALUES) -> list | None:
-    """The distinct values of a column if they are few, else None.
+def partition_values(df: DataFrame, values: Column | str) -> list:
+    """The distinct values of a partition column, or of an array of them, for pruning.
 
-    For partition pruning only: a caller that gets None reads every partition.
+    One value per directory that the rows touch: as many as the writer lists in any case.
     """
-    found = df.select(column).distinct().limit(most + 1).collect()
-    return [row[0] for row in found] if len(found) <= most else None
+    column = F.col(values) if isinstance(values, str) else F.explode(values)
+    return [row[0] for row in df.select(column.alias("value")).distinct().collect()]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripweave.functions.once import with_computed
 from tripweave.schemas import UPLOAD
 
-BROADCAST_BLOCKS = 100_000
+BYTE_ORDER_MARK = "\ufeff"
+# A field up to its comma or the line's end: in quotes, a quote inside being doubled, or plain.
+CSV_FIELD = r'(?:^|,)("(?:[^"]++|"")*+"|[^,]*)'
 
 
 def upload_files(spark: SparkSession, path: str) -> DataFrame:
@@ -24,31 +27,76 @@ def read_uploads(
 ) -> DataFrame:
     """Upload rows as text, numbered from 1 inside each file.
 
-    Columns go by the header's names, a missing one reads as NULL. Files are split over
-    tasks; ``multi_line`` allows line breaks in quoted fields at the price of one task
-    per file.
+    Each file has its own header: columns go by its names, in any order, others are left
+    out, a missing one reads as NULL; so does an empty field without quotes. Blank lines do
+    not count. Files are split over tasks. ``multi_line`` allows line breaks in quoted
+    fields at the price of one task per file, and takes one header for all files.
     """
+    if multi_line:
+        return _read_multi_line(spark, path)
+    filled = spark.read.text(path).where(F.trim("value") != "")
+    lines = _number_rows(
+        filled.select(
+            F.col("value").alias("line"), *_place(), F.monotonically_increasing_id().alias("position")
+        )
+    )
+    header = lines.where("row_number = 1").select(
+        "upload_file",
+        F.transform(
+            _fields(F.ltrim(F.col("line"), F.lit(BYTE_ORDER_MARK))), lambda name: F.trim(name)
+        ).alias("header"),
+    )
+    rows = (
+        lines.where("row_number > 1")
+        .join(header, "upload_file")
+        .withColumn("row_number", F.col("row_number") - 1)
+    )
+    rows = with_computed(rows, {"fields": _fields(F.col("line"))})
+    named = [
+        F.get("fields", (F.array_position("header", name) - 1).cast("int")).alias(name)
+        for name in UPLOAD.names
+    ]
+    return rows.select(*named, "upload_file", "row_number")
+
+
+def _place() -> list[Column]:
+    return [
+        F.col("_metadata.file_path").alias("upload_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    ]
+
+
+def _fields(line: Column) -> Column:
+    """The fields of a CSV line; a quoted field may hold commas and doubled quotes."""
+    found = F.regexp_extract_all(line, F.lit(CSV_FIELD), F.lit(1))
+    quoted = F.lit('"')
+
+    def plain(field: Column) -> Column:
+        inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), quoted)
+        whole = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
+        return F.when(whole, inner).when(field != "", field)
+
+    return F.transform(found, plain)
+
+
+def _read_multi_line(spark: SparkSession, path: str) -> DataFrame:
     scan = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", multi_line)
+        .option("multiLine", True)
         .csv(path)
     )
     named = [
         F.col(name) if name in scan.columns else F.lit(None).cast("string").alias(name)
         for name in UPLOAD.names
     ]
-    rows = scan.select(
-        *named,
-        F.col("_metadata.file_path").alias("upload_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("position"),
+    return _number_rows(
+        scan.select(*named, *_place(), F.monotonically_increasing_id().alias("position"))
     )
-    return _number_rows(rows, upload_files(spark, path))
 
 
-def _number_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
+def _number_rows(rows: DataFrame) -> DataFrame:
     """Row number = rows in earlier blocks of the file + place inside the block.
 
     Two passes over the file, no sort and no single-task window over rows: the window runs
@@ -67,10 +115,6 @@ def _number_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
         .withColumn("rows_before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
         .drop("rows")
     )
-    # Every task boundary and every file end closes at most one block.
-    most_blocks = rows.rdd.getNumPartitions() + files.count()
-    if most_blocks <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
     number = F.col("rows_before") + F.col("position") - F.col("first_position") + 1
     return (
         rows.join(blocks, block)

@@ -1,8 +1,8 @@
 """Silver -> clusters and weekly metrics.
 
-Two ways to the same clusters. The stateful queries keep every trip id and every group in
-the state store and accept any lateness. The roll-up keeps nothing between batches: it
-stores each silver batch's own counts, which add up, and a replay overwrites them.
+Two ways to the same tables. The roll-ups keep nothing between batches: they store each
+silver batch's own counts, which add up, and a replay overwrites them. They are the ones to
+use at scale. The stateful queries keep every trip id and every group in the state store.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripweave import schemas
 from tripweave.operators.clusters import cluster_counts, latest_clusters, merged_deltas
-from tripweave.operators.weekly import weekly_metrics
+from tripweave.operators.weekly import merged_weeks, weekly_deltas, weekly_metrics
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import (
-    listed_values,
     overwrite_partitions,
+    partition_values,
     read_snapshot,
     table_stream,
     write_batch,
@@ -43,11 +43,8 @@ def touched_batches(
 
 def silver_of(spark: SparkSession, touched: DataFrame, lake: Lake) -> DataFrame:
     """The whole silver batches named by ``touched``, read from the table as it is now."""
-    silver = lake.read(spark, "silver")
-    batches = listed_values(touched, "batch_id")
-    if batches is None:
-        return silver.join(touched.distinct(), "batch_id", "left_semi")
-    return silver.where(F.col("batch_id").isin(batches))
+    batches = partition_values(touched, "batch_id")
+    return lake.read(spark, "silver").where(F.col("batch_id").isin(batches))
 
 
 def distinct_trips(
@@ -117,6 +114,23 @@ def start_cluster_rollup(
     )
 
 
+def start_weekly_rollup(
+    spark: SparkSession, lake: Lake, max_files: int | None = None, available_now: bool = False
+) -> StreamingQuery:
+    return start(
+        touched_batches(spark, lake, max_files),
+        lambda batch, _: roll_up_weeks(spark, batch, lake),
+        "weekly_rollup",
+        lake.checkpoint("weekly_rollup"),
+        available_now=available_now,
+    )
+
+
+def roll_up_weeks(spark: SparkSession, touched: DataFrame, lake: Lake) -> None:
+    deltas = weekly_deltas(silver_of(spark, touched, lake), per=("batch_id",))
+    overwrite_partitions(deltas, lake.path("weekly_deltas"), ("batch_id",))
+
+
 def roll_up(spark: SparkSession, touched: DataFrame, lake: Lake) -> None:
     """Count again the silver batches whose files the stream has just seen."""
     deltas = cluster_counts(silver_of(spark, touched, lake), per=("batch_id",))
@@ -135,5 +149,9 @@ def cluster_latest(spark: SparkSession, lake: Lake) -> DataFrame:
     return latest_clusters(lake.read(spark, "cluster_snapshots"))
 
 
+def rolled_up_weeks(spark: SparkSession, lake: Lake) -> DataFrame:
+    return merged_weeks(lake.read(spark, "weekly_deltas"))
+
+
 def rolled_up_clusters(spark: SparkSession, lake: Lake) -> DataFrame:
     return merged_deltas(lake.read(spark, "cluster_deltas"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.operators import routing
-from tripweave.operators.dedup import insert_new
 from tripweave.schemas import BRONZE_COMPLETED, SILVER_COMPLETED
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import listed_values, write_batch
+from tripweave.sources.tables import write_batch
 from tripweave.streaming.runner import start
+from tripweave.streaming.status import watch_failures
 
 
 def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake) -> None:
@@ -43,12 +43,11 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
 def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: Lake) -> None:
     """Insert the trips whose id is new. Only earlier batches are looked at, so a replay
     decides the same; only the partitions of the batch's days are read."""
-    days = listed_values(landed.where("route = 'trip'"), "trip_day")
-    stored = routing.same_days(lake.read(spark, "silver", before=batch_id), days)
     candidates = landed.where("route = 'trip'").select(
         *routing.SILVER_COLUMNS, "trip_day"
     )
-    fresh = insert_new(candidates, stored)
+    stored = lake.read(spark, "silver", before=batch_id)
+    fresh = routing.insert_by_day(candidates, stored)
     # Files by day, a large day over several tasks.
     write_batch(
         fresh.hint("rebalance", "trip_day"), lake.path("silver"), batch_id, ("trip_day",)
@@ -58,6 +57,7 @@ def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: La
 def start_ingest(
     spark: SparkSession, events: DataFrame, lake: Lake, available_now: bool = False
 ) -> StreamingQuery:
+    watch_failures(spark, lake)
     return start(
         routing.decode(events),
         lambda batch, batch_id: land_batch(spark, batch, batch_id, lake),
@@ -67,14 +67,10 @@ def start_ingest(
     )
 
 
-def first_deliveries(events: DataFrame, late_by: str | None = None) -> DataFrame:
-    """Dedup by state instead of by table: the stream of trips with their first delivery.
+def first_deliveries(events: DataFrame) -> DataFrame:
+    """Dedup by state instead of by table: the stream of trips, each id once.
 
-    Without ``late_by`` every id stays in state and any lateness is handled; with it, state
-    is bounded and later copies may pass again.
+    Of copies in different batches the first batch's passes; of copies in one batch any one.
+    Every id stays in state, so a trip may come at any time; ``merge_silver`` keeps no state.
     """
-    flat = routing.decode(events)
-    if late_by is None:
-        return routing.trips(routing.route(flat)).dropDuplicates(["trip_id"])
-    timed = flat.withWatermark("kafka_timestamp", late_by)
-    return routing.trips(routing.route(timed)).dropDuplicatesWithinWatermark(["trip_id"])
+    return routing.trips(routing.route(routing.decode(events))).dropDuplicates(["trip_id"])

@@ -14,9 +14,10 @@ from tripweave.operators.completion import completion_report
 from tripweave.operators.dedup import insert_new
 from tripweave.operators.dimensions import extend_dimension, serving_rows
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import listed_values, table_stream, write_batch
+from tripweave.sources.tables import partition_values, table_stream, write_batch
 from tripweave.streaming.gold import silver_of, touched_batches
 from tripweave.streaming.runner import start, with_retry
+from tripweave.streaming.status import watch_failures
 
 LOOKUPS = {"regions": ("region", "region_id"), "datasources": ("datasource", "datasource_id")}
 
@@ -107,9 +108,9 @@ def serve_batch(
         "batch_id"
     )
     stored = store.stored(spark, batch_id)
-    if "trip_day" in stored.columns:
-        stored = routing.same_days(stored, listed_values(trips, "trip_day"))
-    rows = serving_rows(insert_new(trips, stored)).withColumn(
+    by_day = "trip_day" in stored.columns
+    fresh = routing.insert_by_day(trips, stored) if by_day else insert_new(trips, stored)
+    rows = serving_rows(fresh).withColumn(
         "ingested_at", F.current_timestamp()
     )
     with_retry(lambda: store.insert(rows, batch_id))
@@ -143,16 +144,12 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     if ready.isEmpty():
         return
     ids = ready.select("ingestion_id").distinct()
+    batches = partition_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
     log = lake.read(spark, "bronze").where("route in ('trip', 'rejected')")
-    batches = listed_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
-    if batches is not None:
-        log = log.where(F.col("batch_id").isin(batches))
-    sent = log.join(ids, "ingestion_id", "left_semi")
+    sent = log.where(F.col("batch_id").isin(batches)).join(ids, "ingestion_id", "left_semi")
     stored = store.all_trips(spark)
     if "trip_day" in stored.columns:
-        stored = routing.same_days(
-            stored, listed_values(sent.where("route = 'trip'"), "trip_day")
-        )
+        stored = routing.stored_of(sent.where("route = 'trip'"), stored)
     report = completion_report(ready, sent, stored).where("complete")
     lake.write_status(report, schemas.TRIPS_PG_COMPLETED, "serving", batch_id)
 
@@ -165,6 +162,7 @@ def start_serving(
     available_now: bool = False,
 ) -> StreamingQuery:
     target = store or LakeStore(lake)
+    watch_failures(spark, lake)
     return start(
         serving_stream(spark, lake, max_files),
         lambda batch, batch_id: serve_batch(spark, batch, batch_id, lake, target),

@@ -35,28 +35,44 @@ def statistics(docs: DataFrame, text: str) -> tuple[DataFrame, list[str]]:
     NULL text counts as empty; a ratio over nothing is 0.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    chars = F.length(value)
-    words = F.filter(F.split(value, r"\s+"), lambda w: w != "")
-    lines = F.filter(F.split(value, r"\n"), lambda w: w != "")
-    count = F.size(words)
-    letters = F.regexp_count(value, F.lit(r"\p{L}"))
+    found = {
+        "__words": F.split(value, r"\s+"),
+        "__lines": F.split(value, "\n"),
+    }
+    counts = {
+        "__chars": F.length(value),
+        "__word_count": F.size("__words"),
+        "__distinct_words": F.size(F.array_distinct("__words")),
+        "__line_count": F.size("__lines"),
+        "__distinct_lines": F.size(F.array_distinct("__lines")),
+        # Fewer matches than letters are: each match costs more than passing a letter.
+        "__others": F.regexp_count(value, F.lit(r"\P{L}")),
+        "__uppers": F.regexp_count(value, F.lit(r"\p{Lu}")),
+        "__marks": F.regexp_count(value, F.lit(r"[^\p{L}\p{N}\s.,]")),
+        "__digits": F.regexp_count(value, F.lit(r"\p{N}")),
+        "__stops": F.regexp_count(value, F.lit("[.,]")),
+    }
+    # Generator outputs: each array and each count is made once, however often it is used.
+    counted = with_computed(with_computed(docs, found), counts)
+    chars, words, lines = F.col("__chars"), F.col("__word_count"), F.col("__line_count")
+    letters = chars - F.col("__others")
     columns = {
-        "chars": F.log1p(chars.cast("double")),
-        "word_length": _ratio(chars - count + 1, count),
-        "distinct_words": _ratio(F.size(F.array_distinct(words)), count),
-        "line_length": F.log1p(_ratio(chars, F.size(lines))),
-        "distinct_lines": _ratio(F.size(F.array_distinct(lines)), F.size(lines)),
-        "letters": _ratio(letters, chars),
-        "upper": _ratio(F.regexp_count(value, F.lit(r"\p{Lu}")), letters),
-        "marks": _ratio(F.regexp_count(value, F.lit(r"[^\p{L}\p{N}\s.,]")), chars),
-        "digits": _ratio(F.regexp_count(value, F.lit(r"\p{N}")), chars),
-        "stops": _ratio(F.regexp_count(value, F.lit(r"[.,]")), count),
+        "stat_chars": F.log1p(chars.cast("double")),
+        "stat_word_length": _ratio(chars - words + 1, words),
+        "stat_distinct_words": _ratio(F.col("__distinct_words"), words),
+        "stat_line_length": F.log1p(_ratio(chars, lines)),
+        "stat_distinct_lines": _ratio(F.col("__distinct_lines"), lines),
+        "stat_letters": _ratio(letters, chars),
+        "stat_upper": _ratio(F.col("__uppers"), letters),
+        "stat_marks": _ratio(F.col("__marks"), chars),
+        "stat_digits": _ratio(F.col("__digits"), chars),
+        "stat_stops": _ratio(F.col("__stops"), words),
     }
-    names = {name: f"stat_{name}" for name in columns}
-    return (
-        with_computed(docs, {names[n]: c.cast("double") for n, c in columns.items()}),
-        list(names.values()),
+    measured = counted.select(
+        *(c for c in docs.columns if c not in columns),
+        *(column.cast("double").alias(name) for name, column in columns.items()),
     )
+    return measured, list(columns)
 
 
 @dataclass(frozen=True)

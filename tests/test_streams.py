@@ -11,7 +11,7 @@ from tripweave.schemas import ENVELOPE
 from tripweave.session import fresh_dir
 from tripweave.sources import event_log
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import partition_values
+from tripweave.sources.tables import partition_values, write_by_day
 from tripweave.streaming import gold
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
 from tripweave.streaming.publish import publish_uploads
@@ -251,13 +251,33 @@ def test_retry_waits_twice_as_long_each_time():
         with_retry(lambda: (_ for _ in ()).throw(OSError()), sleep=waits.append)
 
 
-def test_jdbc_and_kafka_options():
+def test_jdbc_and_kafka_options(spark):
     store = JdbcStore("jdbc:db:x", "trips", "some.Driver", {"user": "u"})
     assert store.options()["connectTimeout"] == "15" and store.options()["socketTimeout"] == "30"
+    trips = spark.createDataFrame([("2018-05-28T09:03:40Z",), ("2018-05-28T09:50:00Z",), ("2018-05-29T00:00:00Z",)], "datetime string")
+    assert store.hours(trips) == [
+        "datetime >= '2018-05-28 09:00:00' and datetime < '2018-05-28 10:00:00'",
+        "datetime >= '2018-05-29 00:00:00' and datetime < '2018-05-29 01:00:00'",
+    ]
     options = event_log.kafka_options("host:1", "trips.raw", 10)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10"
 
 
+def test_a_batch_reads_only_the_days_it_asks_for(spark, lake):
+    days = [f"2018-05-{n:02d}" for n in range(1, 13)]
+    rows = spark.createDataFrame([(day,) for day in days], "trip_day string").selectExpr("trip_day", "trip_day as trip_id")
+    for batch_id in range(3):
+        write_by_day(rows, lake.path("silver"), batch_id)
+    some = lake.read_days(spark, "silver", ["2018-05-02", "2018-05-09", "2020-01-01"], before=2)
+    assert sorted((r.trip_day, r.batch_id) for r in some.collect()) == [
+        (day, n) for day in ("2018-05-02", "2018-05-09") for n in range(2)
+    ]
+    assert {path.split("trip_day=")[1].split("/")[0] for path in some.inputFiles()} == {"2018-05-02", "2018-05-09"}
+    assert lake.read_days(spark, "silver", ["2020-01-01"]).count() == 0
+    assert lake.read_days(spark, "silver", []).count() == 0
+    assert set(lake.read_days(spark, "silver", []).columns) == set(lake.read(spark, "silver").columns)
+
+
 def test_partition_values(spark):
     df = spark.range(20).selectExpr("id % 3 as id")
     assert sorted(partition_values(df, "id")) == [0, 1, 2]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from tripweave.sources.tables import partition_values
 #: Ids not made from the trip's own fields are stored by a part of their digest: partitions
 #: "other-00" to "other-ff".
 FOREIGN = "other-"
+StoredTrips = Callable[[list[str] | None], DataFrame]
 
 
 def decode(events: DataFrame) -> DataFrame:
@@ -98,14 +101,14 @@ def foreign_part() -> Column:
     return F.concat(F.lit(FOREIGN), F.substring(F.md5("trip_id"), 1, 2))
 
 
-def same_parts(stored: DataFrame, trips: DataFrame) -> DataFrame:
-    """The partitions of a day-partitioned table that can hold an id of these own-id trips."""
-    parts = partition_values(trips, F.array("trip_day", foreign_part()))
-    return stored.where(F.col("trip_day").isin(parts))
+def days_of(trips: DataFrame) -> list[str]:
+    """The partitions of a table of days that can hold an id of these own-id trips."""
+    return partition_values(trips, F.array("trip_day", foreign_part()))
 
 
-def known_trips(trips: DataFrame, stored: DataFrame) -> DataFrame:
-    """The stored ids that the trips have too.
+def known_trips(trips: DataFrame, stored: StoredTrips) -> DataFrame:
+    """The stored ids that the trips have too. ``stored`` gives a table's rows of some days,
+    or of all for None.
 
     Trips with an id of their own look into their partitions. The others, if there are any,
     look everywhere, since an id of that kind says nothing of where it could be; they alone
@@ -113,19 +116,19 @@ def known_trips(trips: DataFrame, stored: DataFrame) -> DataFrame:
     """
     foreign = F.col("trip_day").startswith(FOREIGN)
     own, others = trips.where(~foreign), trips.where(foreign)
-    known = known_keys(own, same_parts(stored, own))
+    known = known_keys(own, stored(days_of(own)))
     if others.isEmpty():
         return known
-    return known.unionByName(known_keys(others, stored)).distinct()
+    return known.unionByName(known_keys(others, stored(None))).distinct()
 
 
-def stored_of(trips: DataFrame, stored: DataFrame) -> DataFrame:
+def stored_of(trips: DataFrame, stored: StoredTrips) -> DataFrame:
     """The partitions that can hold these trips' ids: all of them if one id is foreign."""
     foreign = trips.where(F.col("trip_day").startswith(FOREIGN))
-    return same_parts(stored, trips) if foreign.isEmpty() else stored
+    return stored(days_of(trips) if foreign.isEmpty() else None)
 
 
-def insert_by_day(trips: DataFrame, stored: DataFrame) -> DataFrame:
+def insert_by_day(trips: DataFrame, stored: StoredTrips) -> DataFrame:
     """What an insert-only merge adds to a table stored by ``trip_day``."""
     return first_wins(trips).join(known_trips(trips, stored), "trip_id", "left_anti")
 

@@ -9,13 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave import schemas
-from tripweave.sources.tables import ensure_table, overwrite_partitions, read_table
+from tripweave.sources.tables import (
+    ensure_table,
+    overwrite_partitions,
+    read_directories,
+    read_table,
+)
 
 # Table name -> (schema, partition columns).
 TABLES = {
     "uploads": (schemas.SENT_TRIPS, ["load_id"]),
     "bronze": (schemas.BRONZE, ["batch_id", "route"]),
-    "silver": (schemas.SILVER, ["batch_id", "trip_day"]),
+    "silver": (schemas.SILVER, ["trip_day", "batch_id"]),
     "markers": (schemas.MARKERS, ["batch_id"]),
     "rejected": (schemas.REJECTED, ["batch_id"]),
     "arrivals": (schemas.ARRIVALS, ["batch_id"]),
@@ -23,7 +28,7 @@ TABLES = {
     "cluster_snapshots": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
     "cluster_deltas": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
     "weekly_deltas": (schemas.WEEKLY_DELTAS, ["batch_id"]),
-    "serving": (schemas.SERVING, ["batch_id", "trip_day"]),
+    "serving": (schemas.SERVING, ["trip_day", "batch_id"]),
     "regions": (schemas.dimension("region_id", "region"), ["batch_id"]),
     "datasources": (schemas.dimension("datasource_id", "datasource"), ["batch_id"]),
 }
@@ -51,6 +56,16 @@ class Lake:
         rows = read_table(spark, self.path(table), TABLES[table][0])
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
+    def read_days(
+        self, spark: SparkSession, table: str, days: list[str], before: int | None = None
+    ) -> DataFrame:
+        """Some days of a table stored by day, found by their own directories: the cost does
+        not grow with the other days or with the batches that wrote them."""
+        rows = read_directories(
+            spark, self.path(table), TABLES[table][0], [f"trip_day={day}" for day in days]
+        )
+        return rows if before is None else rows.where(F.col("batch_id") < before)
+
     def landed(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """One bronze batch, found by its own directory and not by listing the table."""
         path = self.path("bronze")

@@ -7,6 +7,7 @@ a typed NULL.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_directories(
+    spark: SparkSession, path: str, schema: T.StructType, names: list[str]
+) -> DataFrame:
+    """Partition directories of a table; those that do not exist have no rows.
+
+    One listing of the table's first level finds them, and only they are listed further.
+    """
+    none = spark.createDataFrame([], schema)
+    if not names:
+        return none
+    reader = spark.read.schema(schema).option("basePath", path)
+    try:
+        return reader.parquet(f"{path}/{{{','.join(sorted(names))}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return none
+
+
 def table_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
@@ -42,22 +62,28 @@ def write_batch(
     path: str,
     batch_id: int,
     also_by: tuple[str, ...] = (),
-    ordered_by: tuple[str, ...] = (),
 ) -> None:
-    """Write one batch's partitions, replacing them if they are there.
-
-    With further partition columns the write starts in the batch's own directory: then the
-    rows' order within a partition is the writer's order too, and it sorts no second time.
-    """
+    """Write one batch's partitions in the batch's own directory, replacing what is there."""
     if not also_by:
         stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         overwrite_partitions(stamped, path, ("batch_id",))
         return
-    if ordered_by:
-        df = df.sortWithinPartitions(*also_by, *ordered_by)
     overwrite_partitions(df, f"{path}/batch_id={batch_id}", also_by)
 
 
+def write_by_day(
+    df: DataFrame, path: str, batch_id: int, ordered_by: tuple[str, ...] = ()
+) -> None:
+    """Write one batch into a table of days, replacing what the batch has in them.
+
+    Days come first and batches inside them, so a look-up for a day lists that day alone.
+    """
+    stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if ordered_by:
+        stamped = stamped.sortWithinPartitions("trip_day", "batch_id", *ordered_by)
+    overwrite_partitions(stamped, path, ("trip_day", "batch_id"))
+
+
 def overwrite_partitions(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:
     (
         df.write.mode("overwrite")

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripweave.operators import routing
 from tripweave.schemas import BRONZE_COMPLETED, SILVER_COMPLETED
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import write_batch
+from tripweave.sources.tables import write_batch, write_by_day
 from tripweave.streaming.runner import start
 from tripweave.streaming.status import watch_failures
 
@@ -46,12 +46,15 @@ def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: La
     candidates = landed.where("route = 'trip'").select(
         *routing.SILVER_COLUMNS, "trip_day"
     )
-    stored = lake.read(spark, "silver", before=batch_id)
+
+    def stored(days: list[str] | None) -> DataFrame:
+        if days is None:
+            return lake.read(spark, "silver", before=batch_id)
+        return lake.read_days(spark, "silver", days, before=batch_id)
+
     fresh = routing.insert_by_day(candidates, stored)
     # Files by day, a large day over several tasks.
-    write_batch(
-        fresh.hint("rebalance", "trip_day"), lake.path("silver"), batch_id, ("trip_day",)
-    )
+    write_by_day(fresh.hint("rebalance", "trip_day"), lake.path("silver"), batch_id)
 
 
 def start_ingest(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripweave import schemas
 from tripweave.operators import routing
+from tripweave.operators.clusters import instant_of
 from tripweave.operators.completion import completion_report
 from tripweave.operators.dedup import insert_new
 from tripweave.operators.dimensions import extend_dimension, serving_rows
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import partition_values, table_stream, write_batch
+from tripweave.sources.tables import partition_values, table_stream, write_batch, write_by_day
 from tripweave.streaming.gold import silver_of, touched_batches
 from tripweave.streaming.runner import start, with_retry
 from tripweave.streaming.status import watch_failures
@@ -29,18 +31,26 @@ class LakeStore:
 
     lake: Lake
 
-    def stored(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return self.lake.read(spark, "serving", before=batch_id)
+    def rows_of(
+        self, spark: SparkSession, days: list[str] | None, before: int | None = None
+    ) -> DataFrame:
+        if days is None:
+            return self.lake.read(spark, "serving", before)
+        return self.lake.read_days(spark, "serving", days, before)
 
-    def all_trips(self, spark: SparkSession) -> DataFrame:
-        return self.lake.read(spark, "serving")
+    def fresh(self, spark: SparkSession, trips: DataFrame, batch_id: int) -> DataFrame:
+        """The trips that no earlier batch has stored."""
+        return routing.insert_by_day(trips, lambda days: self.rows_of(spark, days, batch_id))
+
+    def holding(self, spark: SparkSession, trips: DataFrame) -> DataFrame:
+        """The part of the store that can hold these trips."""
+        return routing.stored_of(trips, lambda days: self.rows_of(spark, days))
 
     def insert(self, rows: DataFrame, batch_id: int) -> None:
-        write_batch(
+        write_by_day(
             rows.hint("rebalance", "trip_day"),
             self.lake.path("serving"),
             batch_id,
-            ("trip_day",),
             ordered_by=("origin_geohash",),
         )
 
@@ -70,22 +80,40 @@ class JdbcStore:
             **self.properties,
         }
 
-    def all_trips(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options()).load()
-
-    def stored(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return self.all_trips(spark)
+    def hours(self, trips: DataFrame) -> list[str]:
+        """Conditions that split the trips' time span into parts to read in parallel. A copy
+        of a trip has the trip's instant, so no other row of the table can be one."""
+        parts = trips.select(F.date_trunc("hour", instant_of(trips)).alias("hour")).distinct()
+        column = "datetime"
+        return [
+            f"{column} >= '{row.hour}' and {column} < '{row.hour + timedelta(hours=1)}'"
+            for row in parts.where("hour is not null").orderBy("hour").collect()
+        ]
+
+    def holding(self, spark: SparkSession, trips: DataFrame) -> DataFrame:
+        """The part of the table that can hold these trips, one task per hour they touch."""
+        url, properties = self.url, {k: str(v) for k, v in self.options().items()}
+        hours = self.hours(trips) or ["1 = 0"]
+        return spark.read.jdbc(url, self.table, predicates=hours, properties=properties)
+
+    def fresh(self, spark: SparkSession, trips: DataFrame, batch_id: int) -> DataFrame:
+        return insert_new(trips, self.holding(spark, trips))
 
     def insert(self, rows: DataFrame, batch_id: int) -> None:
         rows.drop("trip_day").write.format("jdbc").options(**self.options()).mode("append").save()
 
 
 def jdbc_appender(store: JdbcStore):
-    """A sink for cluster snapshots: the changed groups appended with retry, as a history
-    of which the newest row per cluster counts."""
+    """A sink for cluster snapshots: the changed groups of each batch appended with its
+    number, as a history of which the newest batch's row per cluster counts.
+
+    A plain append may leave rows of a half-written attempt, so it is not tried again here;
+    the query fails and its next run writes the batch again. Rows of one batch that stand
+    twice are equal and change no newest row.
+    """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        with_retry(lambda: store.insert(batch, batch_id))
+        store.insert(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
 
     return append
 
@@ -107,10 +135,7 @@ def serve_batch(
     trips = silver_of(spark, touched.where("table = 'silver'").select("batch_id"), lake).drop(
         "batch_id"
     )
-    stored = store.stored(spark, batch_id)
-    by_day = "trip_day" in stored.columns
-    fresh = routing.insert_by_day(trips, stored) if by_day else insert_new(trips, stored)
-    rows = serving_rows(fresh).withColumn(
+    rows = serving_rows(store.fresh(spark, trips, batch_id)).withColumn(
         "ingested_at", F.current_timestamp()
     )
     with_retry(lambda: store.insert(rows, batch_id))
@@ -147,9 +172,7 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     batches = partition_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
     log = lake.read(spark, "bronze").where("route in ('trip', 'rejected')")
     sent = log.where(F.col("batch_id").isin(batches)).join(ids, "ingestion_id", "left_semi")
-    stored = store.all_trips(spark)
-    if "trip_day" in stored.columns:
-        stored = routing.stored_of(sent.where("route = 'trip'"), stored)
+    stored = store.holding(spark, sent.where("route = 'trip'"))
     report = completion_report(ready, sent, stored).where("complete")
     lake.write_status(report, schemas.TRIPS_PG_COMPLETED, "serving", batch_id)
 

@@ -193,7 +193,7 @@ MARKER_ROWS = (
     LOG
     + f"""
 select ingestion_id, ingestion_id || ':end' as control_id,
-       cast(total_rows as integer) as total_rows, '{MARKED}' as kafka_timestamp
+       total_rows, '{MARKED}' as kafka_timestamp
 from announced"""
 )
 

@@ -133,6 +133,7 @@ def _sketch_batches(
     batches: Iterator[pa.RecordBatch], width: int, percent: int
 ) -> Iterator[pa.RecordBatch]:
     limits = np.array(size_bands(percent), dtype=np.int64)
+    seen: set[int] = set()  # sets whose parts this task has given already: copies need none
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -142,6 +143,10 @@ def _sketch_batches(
             if size:
                 row[2] = int(_mixed(found).sum().view(np.int64))
                 row[3] = int(np.bitwise_xor.reduce(_mixed(found + np.uint64(1))).view(np.int64))
+            if size and row[2] not in seen:
+                if len(seen) >= MEMO_WORDS:
+                    seen.clear()
+                seen.add(row[2])
                 band = int(np.searchsorted(limits, size, "right")) - 1
                 row[4] = band - 1
                 for place, joint in ((5, band - 1), (6, band)):
@@ -159,6 +164,33 @@ def _sketch_batches(
             )
 
 
+def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and print those whose key has another print too.
+
+    Such a row has a neighbour of its key and of another print, so one row is held at a time,
+    however many rows a key has; repeated rows shrink to two at most.
+    """
+    last: tuple[np.ndarray, np.ndarray] | None = None
+    given = False
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys, prints = (column.to_numpy() for column in batch.columns)
+        if last is not None:
+            keys, prints = np.concatenate([last[0], keys]), np.concatenate([last[1], prints])
+        link = (keys[1:] == keys[:-1]) & (prints[1:] != prints[:-1])
+        shared = np.zeros(len(keys), bool)
+        shared[1:] |= link
+        shared[:-1] |= link
+        if given:
+            shared[0] = False
+        given = bool(shared[-1]) if len(keys) > 1 else given
+        last = keys[-1:], prints[-1:]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys[shared]), pa.array(prints[shared])], names=["key", "print_a"]
+        )
+
+
 def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -361,13 +393,8 @@ def ngram_classes(
     nodes = written(
         own.groupBy("size", "print_a", "print_b").agg(F.min("doc_id").alias("node")), "ngram-nodes"
     )
-    firsts = own.join(
-        nodes.select(F.col("node").alias("doc_id"), "size", "print_a", "print_b"),
-        ["doc_id", "size", "print_a", "print_b"],
-        "left_semi",
-    ).dropDuplicates(["doc_id", "size", "print_a", "print_b"])
-    sides = firsts.select(
-        F.col("doc_id").alias("node"),
+    sides = own.select(
+        "print_a",
         F.explode(
             F.array(
                 F.struct(F.col("low_band").alias("band"), F.col("low").alias("parts")),
@@ -375,20 +402,28 @@ def ngram_classes(
             )
         ).alias("side"),
     )
-    keys = sides.select("node", "side.band", F.posexplode("side.parts").alias("at", "part")).select(
-        F.xxhash64("band", "at", "part").alias("key"), "node"
+    keys = sides.select(
+        "print_a", "side.band", F.posexplode("side.parts").alias("at", "part")
+    ).select(F.xxhash64("band", "at", "part").alias("key"), "print_a")
+    # Keys meet by one shuffle; a set goes by its print there, so that its copies are one.
+    shared = written(
+        keys.repartition("key")
+        .sortWithinPartitions("key", "print_a")
+        .mapInArrow(_shared_batches, "key long, print_a long"),
+        "ngram-shared",
     )
-    shared = (
-        keys.groupBy("key")
-        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        .where("least != most")
-        .select("key")
+    members = written(
+        shared.join(nodes.select("print_a", "node"), "print_a").select("key", "node").distinct(),
+        "ngram-members",
     )
-    members = written(keys.join(shared, "key"), "ngram-members")
+    chosen = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    prints = ["size", "print_a", "print_b"]
     active = written(
-        firsts.select(F.col("doc_id").alias("node"), "size", "sketch")
-        .dropDuplicates(["node"])
-        .join(members.select("node").distinct(), "node", "left_semi"),
+        own.where("sketch is not null")
+        .select(*prints, "sketch")
+        .join(chosen, prints)
+        .select("node", "size", "sketch")
+        .dropDuplicates(["node"]),
         "ngram-active",
     )
     led = written(_leader_pairs(members, active, percent), "ngram-pairs")

@@ -19,15 +19,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def among(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """The rows whose ``column`` is among the distinct ids, a written one-column table.
+def among(
+    rows: DataFrame, ids: DataFrame, column: str, how: str = "left_semi"
+) -> DataFrame:
+    """The rows whose ``column`` is among the distinct ids, a written one-column table; with
+    ``left_anti`` those where it is not.
 
     A counted, small id table goes to every executor, so that wide rows need no shuffle;
     beyond ``BROADCAST_IDS`` both sides are shuffled. Rows are the same either way.
     """
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return rows.join(ids, column, "left_semi")
+    return rows.join(ids, column, how)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

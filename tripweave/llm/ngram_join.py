@@ -151,8 +151,10 @@ def _sketch_batches(
                 row[4] = band - 1
                 for place, joint in ((5, band - 1), (6, band)):
                     if joint >= 0:
-                        most = int(limits[joint + 2]) - 1
-                        parts = _segments(found, _bound(most, most, percent) + 1)
+                        # Pairs of two larger sizes are left to the bands they begin.
+                        low = int(limits[joint + 1]) - 1
+                        high = min(int(limits[joint + 2]) - 1, low * 100 // percent)
+                        parts = _segments(found, _bound(low, high, percent) + 1)
                         row[place] = parts.view(np.int64)
                 row[7] = _sketch(found).tobytes()
             rows.append(row)
@@ -448,4 +450,4 @@ def ngram_classes(
 def keep_one_of_each(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The documents that are the smallest of their class, and all without a class."""
     dropped = classes.where(f"{id_column} != component_id").select(id_column).distinct()
-    return docs.join(dropped, id_column, "left_anti")
+    return among(docs, written(dropped, "ngram-dropped"), id_column, "left_anti")

@@ -85,6 +85,14 @@ def test_nulls_blanks_repeats_and_clashing_columns(spark):
     )
 
 
+def test_a_row_without_id_hides_no_copy(spark):
+    text = " ".join(f"w{n}" for n in range(60))
+    rows = [(None, text), (7, text), (3, text + " more"), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_classes(docs, width=3, percent=90).collect()}
+    assert got == {None: None, 7: 3, 3: 3}
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.ngram_classes(docs).collect() == []

@@ -143,7 +143,7 @@ def _sketch_batches(
             if size:
                 row[2] = int(_mixed(found).sum().view(np.int64))
                 row[3] = int(np.bitwise_xor.reduce(_mixed(found + np.uint64(1))).view(np.int64))
-            if size and row[2] not in seen:
+            if size and doc_id.is_valid and row[2] not in seen:
                 if len(seen) >= MEMO_WORDS:
                     seen.clear()
                 seen.add(row[2])

@@ -38,6 +38,9 @@ def test_what_calls_itself_noise_goes():
     assert text_of(inside) == "Title one"
     assert text_of(f"<p>outside</p>{inside}<p>after</p>") == "Title one"
     assert text_of('<div class="addendum radio">kept</div>') == "kept"
+    assert text_of('<body class="sidebar"><div class="page has-sidebar no-comments"><p>kept</div>') == "kept"
+    assert text_of(f"<main><p>around</p>{inside}</main>") == "Title one"
+    assert text_of("<main><p>main part</p><nav>x</nav></main><p>rest</p>") == "main part"
 
 
 def test_text_of_blocks_and_broken_markup():

@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from oracle_check import compare, duckdb_on
 from pyspark.sql import functions as F
 
-from tripweave.llm import ngram_join
+from tripweave.llm import ngram_join, queries
 from tripweave.llm.common import table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,9 +65,11 @@ def test_all_links_between_variants(spark, width, percent):
 
 
 def test_given_documents(spark):
+    name = "op1_ngram_jaccard_join"
+    assert compare(spark, duckdb_on(SF_DIR), SF_DIR, queries.QUERIES[name], queries.ORACLES[name]) == []
     docs = table(spark, SF_DIR, "documents")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
-    assert found(ngram_join.ngram_classes(docs, width=3, percent=90)) == brute(texts, 3, 90)
+    assert found(ngram_join.ngram_classes(docs, width=5, percent=80)) == brute(texts, 5, 80)
 
 
 def test_nulls_blanks_repeats_and_clashing_columns(spark):

@@ -41,7 +41,10 @@ INLINE = frozenset(
     " small span strike strong sub sup time tt u var wbr img".split()
 )
 RAW = frozenset("script style template textarea title iframe noembed noframes xmp".split())
-LANDMARKS = frozenset("article main".split())
+#: Where the main text is, and which of two of them says it better.
+LANDMARKS = {"main": 1, "article": 2}
+#: Elements that hold the whole page, whatever their class names say.
+WHOLE = frozenset("html body main".split())
 NOISE_TAGS = frozenset(
     "nav footer aside form script style noscript template iframe object embed svg canvas"
     " button select textarea dialog menu head title".split()
@@ -52,11 +55,11 @@ NOISE_ROLES = frozenset(
 )
 # Words of class names and ids that name what is not the article.
 NOISE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo"
+    "ad ads adbox adslot adunit alert alerts adv advert adverts advertisement advertising adsense sponsor sponsored promo"
     " promotion banner banners cookie cookies consent gdpr notice notices notification popup"
     " modal overlay newsletter subscribe subscription signup login menu menus nav navbar"
-    " navigation breadcrumb breadcrumbs pagination pager sidebar sidebars widget widgets footer"
-    " masthead topbar toolbar comment comments commentlist reply replies respond discussion"
+    " navigation sidenav submenu topnav breadcrumb breadcrumbs pagination pager sidebar sidebars widget widgets footer"
+    " masthead topbar toolbar comment comments commentlist reply replies respond responses discussion"
     " disqus share sharing social related recommended recommendations copyright legal"
     " disclaimer search skip".split()
 )
@@ -84,6 +87,8 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# Names that tell what is in or around an element, not what it is.
+_ABOUT = re.compile(r"(?:has|with|no|is)[-_]")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -106,7 +111,7 @@ class Element:
 
     __slots__ = ("tag", "path", "noise", "landmark", "children", "content")
 
-    def __init__(self, tag: str, path: int, noise: bool, landmark: bool):
+    def __init__(self, tag: str, path: int, noise: bool, landmark: int):
         self.tag, self.path, self.noise, self.landmark = tag, path, noise, landmark
         self.children = self.content = 0
 
@@ -122,10 +127,12 @@ def _describe(tag: str, attributes: str) -> tuple[str, bool]:
         style = " ".join(filter(None, (found.get("class"), found.get("id"))))
         if style:
             label = f"{tag}.{_DIGITS.sub('', style)}"
-            words = {word.lower() for word in _NAME_PARTS.findall(style)}
-            noise = noise or not words.isdisjoint(NOISE_WORDS)
-            if not words.isdisjoint(HEADER_WORDS):
-                tag = "header"
+            if tag not in WHOLE:
+                names = (name for name in style.split() if not _ABOUT.match(name))
+                words = {word.lower() for name in names for word in _NAME_PARTS.findall(name)}
+                noise = noise or not words.isdisjoint(NOISE_WORDS)
+                if not words.isdisjoint(HEADER_WORDS):
+                    tag = "header"
         roles = found.get("role", "").lower().split()
         noise = noise or not NOISE_ROLES.isdisjoint(roles)
         noise = noise or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
@@ -136,7 +143,7 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
     """Events of a page in order: ``("close", element, stack, "")`` when an element ends, and
     ``("text", None, stack, text)`` for text, decoded; ``("break", ...)`` where a block begins
     or ends. Missing end tags are made up for; nothing raises on broken markup."""
-    stack = [Element("", 0, False, False)]
+    stack = [Element("", 0, False, 0)]
     at, size = 0, len(page)
 
     def pop_to(depth: int):
@@ -182,7 +189,7 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
             yield "break", None, stack, ""
         label, noise = _describe(tag, attributes)
         parent = stack[-1]
-        landmark = parent.landmark or tag in LANDMARKS
+        landmark = max(parent.landmark, LANDMARKS.get(tag, 0))
         if noise and tag == "header" and parent.landmark:
             noise = False  # a header inside an article is the article's own
         code = _hashed(label)
@@ -217,19 +224,19 @@ def branches(page: str) -> dict[int, tuple[int, int]]:
 
 
 def main_text(page: str, low: set[int] | frozenset[int]) -> str:
-    """The text of a page without noise and without the branches ``low``: its landmarks where
-    they have any, else all that is left."""
-    article, rest = [], []
+    """The text of a page without noise and without the branches ``low``: that of its articles,
+    or else of its main part, or else all that is left."""
+    found: tuple[list[str], ...] = ([], [], [])  # by landmark: none, main, article
     for kind, _, stack, text in walk(page):
         if kind == "break":
-            article.append(" ")
-            rest.append(" ")
+            for parts in found:
+                parts.append(" ")
         elif kind == "text" and not stack[-1].noise:
-            if stack[-1].landmark:
-                article.append(text)
-            elif not low or low.isdisjoint(element.path for element in stack):
-                rest.append(text)
-    return " ".join("".join(article).split()) or " ".join("".join(rest).split())
+            landmark = stack[-1].landmark
+            if landmark or not low or low.isdisjoint(element.path for element in stack):
+                found[landmark].append(text)
+    texts = (" ".join("".join(parts).split()) for parts in reversed(found))
+    return next(filter(None, texts), "")
 
 
 def _signed(value: int) -> int:

@@ -122,6 +122,43 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_ngram_jaccard_join": r"""
+        with recursive words as (
+            select doc_id, list_filter(
+                string_split_regex(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x20\x09-\x0D]+'), lambda w: w != '') as w
+            from documents
+        ), shingles as (
+            select distinct doc_id, unnest(
+                case when len(w) >= 3
+                     then list_transform(range(1, len(w) - 1),
+                                         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                     when len(w) > 0 then [array_to_string(w, ' ')]
+                     else [] end) as shingle
+            from words
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as n
+            from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+            group by all
+        ), linked as (
+            select shared.a, shared.b from shared
+            join sizes x on x.doc_id = shared.a join sizes y on y.doc_id = shared.b
+            where 100 * shared.n >= 90 * (x.n + y.n - shared.n)
+        ), links as (
+            select a, b from linked union all select b, a from linked
+        ), reached as (
+            select doc_id as start, doc_id as node from documents
+            union
+            select reached.start, links.b from reached join links on links.a = reached.node
+        )
+        select start as doc_id, coalesce(any_value(sizes.n), 0) as n_shingles,
+               min(node) as component_id
+        from reached left join sizes on sizes.doc_id = reached.start group by start
+    """,
     "op3_embedding_near_dedup": """
         with recursive vectors as (
             select vec_id, cast(embedding as double[]) as v from embeddings

@@ -166,6 +166,16 @@ def test_completion_counts_each_sent_row_once(spark):
     }
 
 
+def test_completion_counts_rejected_rows_without_number_and_id(spark):
+    sent = [("i", 1, "t1", "trip", "a"), ("i", None, None, "rejected", "b"), ("i", None, None, "rejected", "c")]
+    sent += [("i", None, None, "rejected", "c"), ("j", None, None, "rejected", "b")]
+    kinds = "ingestion_id string, row_number int, trip_id string, route string, raw_payload string"
+    stored = spark.createDataFrame([("t1", "i")], "trip_id string, ingestion_id string")
+    announced = spark.createDataFrame([("i", 3), ("j", 2)], "ingestion_id string, total_rows int")
+    report = completion.completion_report(announced, spark.createDataFrame(sent, kinds), stored).collect()
+    assert {r.ingestion_id: tuple(r)[2:] for r in report} == {"i": (1, 0, 2, True), "j": (0, 0, 1, False)}
+
+
 def test_trips_per_region(trips):
     got = {r.region: r.trips for r in regions.trips_per_region(trips).collect()}
     assert got == Counter(row[1] for row in TRIPS)

@@ -11,9 +11,11 @@ from tripweave.operators.regions import stored_per_ingestion
 def sent_rows(routed: DataFrame) -> DataFrame:
     """The distinct rows each ingestion sent, however often the log delivered them.
 
-    A row is known by its number; one without a number by a digest of its whole payload.
+    A row is known by its number; one without a number by a digest of its whole payload,
+    which a routed log carries.
     """
-    unnumbered = F.when(F.col("row_number").isNull(), F.sha2("raw_payload", 256))
+    payload = F.col("raw_payload") if "raw_payload" in routed.columns else F.lit(None)
+    unnumbered = F.when(F.col("row_number").isNull(), F.sha2(payload.cast("string"), 256))
     return (
         routed.where("route in ('trip', 'rejected')")
         .select("ingestion_id", "row_number", "trip_id", "route", unnumbered.alias("payload"))

@@ -5,8 +5,9 @@ gives a parity sketch, and two sketches differ in at most as many bits as the se
 elements. A pair of sizes a and b that reaches the threshold differs in at most
 ``(a + b) * (100 - percent) / (100 + percent)`` elements. Sizes fall into bands so narrow that
 such a pair lies in one band or in two neighbours; every pair of neighbouring bands has its own
-sketch of one segment more than that bound, so at least one segment of two similar documents is
-equal (pigeonhole). Equal segments are the join key; nothing similar is lost.
+sketch of more segments than that bound, so at least one segment of two similar documents is
+equal (pigeonhole), and enough more that it is not an empty one. Equal segments are the join
+key; nothing similar is lost.
 
 The rest is about what is not similar: identical sets are one node; each key links its members
 to one leader of the key first; only members that are then still in different components are
@@ -16,8 +17,9 @@ the sketches leave is verified on the sets themselves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,25 @@ def size_bands(percent: int, largest: int = 1 << 40) -> list[int]:
     return [*limits, limits[-1] * 2]
 
 
+def segment_count(smallest: int, bound: int) -> int:
+    """Segments for sets of at least ``smallest`` shingles that differ in up to ``bound``.
+
+    Bound + 1 leave one segment untouched, but it may be an empty one, which says nothing. So
+    there are more, by what a set's empty segments are expected to be and five deviations: a
+    set with fewer empty segments than it has segments to spare shares a filled one with
+    every similar set.
+    """
+    count = bound + 1
+    while bound:
+        empty = count * math.exp(-smallest / count)
+        if count - bound > empty + 5 * math.sqrt(empty) + 1:
+            break
+        count += 1
+        if count > 4 * (bound + 1):
+            break
+    return count
+
+
 def _segments(sets: np.ndarray, count: int) -> np.ndarray:
     """For each segment the parity of its shingles: 32 one-bit toggles beside the XOR of 32
     hash bits. The set is sorted, so a segment, a range of hashes, is one slice."""
@@ -121,11 +142,13 @@ _SKETCHED = pa.schema(
         ("low", pa.list_(pa.int64())),
         ("high", pa.list_(pa.int64())),
         ("sketch", pa.binary()),
+        ("low_all", pa.bool_()),
+        ("high_all", pa.bool_()),
     ]
 )
 _SKETCHED_DDL = (
     "doc_id long, size long, print_a long, print_b long, low_band long,"
-    " low array<long>, high array<long>, sketch binary"
+    " low array<long>, high array<long>, sketch binary, low_all boolean, high_all boolean"
 )
 
 
@@ -133,13 +156,14 @@ def _sketch_batches(
     batches: Iterator[pa.RecordBatch], width: int, percent: int
 ) -> Iterator[pa.RecordBatch]:
     limits = np.array(size_bands(percent), dtype=np.int64)
+    counts = lru_cache(maxsize=None)(segment_count)
     seen: set[int] = set()  # sets whose parts this task has given already: copies need none
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column(0), batch.column(1)):
             found = shingles(text.as_py(), width)
             size = len(found)
-            row = [doc_id.as_py(), size, 0, 0, None, None, None, None]
+            row = [doc_id.as_py(), size, 0, 0, None, None, None, None, None, None]
             if size:
                 row[2] = int(_mixed(found).sum().view(np.int64))
                 row[3] = int(np.bitwise_xor.reduce(_mixed(found + np.uint64(1))).view(np.int64))
@@ -154,9 +178,13 @@ def _sketch_batches(
                         # Pairs of two larger sizes are left to the bands they begin.
                         low = int(limits[joint + 1]) - 1
                         high = min(int(limits[joint + 2]) - 1, low * 100 // percent)
-                        parts = _segments(found, _bound(low, high, percent) + 1)
+                        bound = _bound(low, high, percent)
+                        parts = _segments(found, counts(int(limits[joint]), bound))
                         row[place] = parts.view(np.int64)
+                        # With more empty segments than it can spare a set gives them too.
+                        row[place + 3] = np.count_nonzero(parts == 0) >= len(parts) - bound
                 row[7] = _sketch(found).tobytes()
+                row[8], row[9] = bool(row[8]), bool(row[9])
             rows.append(row)
         for start in range(0, len(rows), 2000):
             part = rows[start : start + 2000]
@@ -308,13 +336,29 @@ def _leader_pairs(members: DataFrame, active: DataFrame, percent: int) -> DataFr
     return _near(pairs, active, percent)
 
 
+def _one_key_per_set(members: DataFrame) -> DataFrame:
+    """Of the keys that the very same nodes share, one: the others bring no other pair."""
+    sets = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    first = sets.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"))
+    return members.join(first.select("key"), "key", "left_semi")
+
+
 def _near(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
+    sizes, sketches = active.select("node", "size"), active.select("node", "sketch")
+    fitting = (
+        pairs.join(sizes.toDF("a", "a_size"), "a")
+        .join(sizes.toDF("b", "b_size"), "b")
+        .where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
+    )
     rows = (
-        pairs.join(active.select(*(F.col(c).alias(f"a_{c}") for c in active.columns)), F.col("a") == F.col("a_node"))
-        .join(active.select(*(F.col(c).alias(f"b_{c}") for c in active.columns)), F.col("b") == F.col("b_node"))
-        .where(
-            (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
-        )
+        fitting.join(sketches.toDF("a", "a_sketch"), "a")
+        .join(sketches.toDF("b", "b_sketch"), "b")
         .select("a", "b", "a_size", "b_size", "a_sketch", "b_sketch")
     )
     return rows.mapInArrow(partial(_near_batches, percent=percent), "a long, b long")
@@ -399,14 +443,15 @@ def ngram_classes(
         "print_a",
         F.explode(
             F.array(
-                F.struct(F.col("low_band").alias("band"), F.col("low").alias("parts")),
-                F.struct((F.col("low_band") + 1).alias("band"), F.col("high").alias("parts")),
+                F.struct(F.col("low_band").alias("band"), F.col("low").alias("parts"), F.col("low_all").alias("all")),
+                F.struct((F.col("low_band") + 1).alias("band"), F.col("high").alias("parts"), F.col("high_all").alias("all")),
             )
         ).alias("side"),
     )
-    keys = sides.select(
-        "print_a", "side.band", F.posexplode("side.parts").alias("at", "part")
-    ).select(F.xxhash64("band", "at", "part").alias("key"), "print_a")
+    parts = sides.select(
+        "print_a", "side.band", "side.all", F.posexplode("side.parts").alias("at", "part")
+    )
+    keys = parts.where("part != 0 or all").select(F.xxhash64("band", "at", "part").alias("key"), "print_a")
     # Keys meet by one shuffle; a set goes by its print there, so that its copies are one.
     shared = written(
         keys.repartition("key")
@@ -418,6 +463,7 @@ def ngram_classes(
         shared.join(nodes.select("print_a", "node"), "print_a").select("key", "node").distinct(),
         "ngram-members",
     )
+    members = written(_one_key_per_set(members), "ngram-members")
     chosen = nodes.join(members.select("node").distinct(), "node", "left_semi")
     prints = ["size", "print_a", "print_b"]
     active = written(

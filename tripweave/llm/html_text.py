@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 from functools import partial
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame

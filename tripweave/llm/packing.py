@@ -23,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -271,9 +271,9 @@ def pack(
         [T.StructField(name, T.LongType()) for name in ("length", "first", "pieces", "sequence", "offset")]
     )
     # Ranks: slices of a length follow each other; inside a slice by id.
-    before = F.sum("pieces").over(_window("length").orderBy("slice")) - F.col("pieces")
+    before = F.sum("pieces").over(Window.partitionBy("length").orderBy("slice")) - F.col("pieces")
     slices = counts.select("length", "slice", before.alias("before"))
-    inside = F.row_number().over(_window("length", "slice").orderBy("number"))
+    inside = F.row_number().over(Window.partitionBy("length", "slice").orderBy("number"))
     ranked = (
         pieces.withColumn("inside", inside - 1)
         .join(slices, ["length", "slice"])
@@ -302,9 +302,3 @@ def pack(
             *(["ids"] if with_ids else []),
         )
     )
-
-
-def _window(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)

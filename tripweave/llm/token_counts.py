@@ -112,7 +112,11 @@ def attribute(spans: Spans, sections: list[tuple[int, int]], rule: str) -> list[
         crossing = 0
         if a < b:
             # Words that a border runs through; all others are inside or outside as a whole.
-            cut = {w for w in (i - 1, j) if 0 <= w < len(spans.starts) and spans.starts[w] < b and spans.ends[w] > a}
+            cut = {
+                word
+                for word in (i - 1, j)
+                if 0 <= word < len(spans.starts) and spans.starts[word] < b and spans.ends[word] > a
+            }
             for word in cut:
                 for start, end in spans.of_word(word):
                     anchor = {"start": start, "end": end - 1}.get(rule, (start + end - 1) // 2)

@@ -156,7 +156,7 @@ class Languages:
         return answers
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _languages(digest: bytes, samples: bytes) -> Languages:
     return Languages(json.loads(samples))
 

@@ -192,6 +192,7 @@ def _sketch_batches(
                 [pa.array(column, field.type) for column, field in zip(zip(*part), _SKETCHED)],
                 schema=_SKETCHED,
             )
+    _words.clear()  # a worker lives on: leave its memory to what it does next
 
 
 def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +230,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
                 [ids.slice(at, 1), pa.array([shingles(text.as_py(), width).tobytes()], pa.binary())],
                 names=["node", "shingles"],
             )
+    _words.clear()
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:

@@ -91,3 +91,23 @@ def test_nulls_long_pages_repeats_and_no_rows(spark):
         [(1, "http://a.example/", 0), (2, None, 0), (None, "http://a.example/", 1), (3, "u", size), (3, "u", size)], key=str
     )
     assert html_text.extract_text(pages_of(spark, [])).collect() == []
+
+
+def test_boilerplate_inside_articles_goes_and_their_text_stays(spark):
+    def page(k, tag):
+        box = "<div class='box'><h3>Read next</h3><p>Ten letters we liked</p></div>"
+        return (
+            f"<body><{tag}><h1>Story {k}</h1><h2>Facts</h2><p><b>Note</b> {k * k}</p>{box}"
+            f"<p class='line'>Some rights kept</p></{tag}></body>"
+        )
+
+    rows = [(k, f"http://a.example/{k}", page(k, "article")) for k in range(6)]
+    rows += [(10 + k, f"http://m.example/{k}", page(k, "main")) for k in range(6)]
+    # Copies of one page are one page, so they outvote nothing.
+    copies = "<body><article><h1>Long</h1><p>The same</p></article></body>"
+    rows += [(20 + k, f"http://c.example/{k}", copies) for k in range(9)]
+    rows += [(30, "http://c.example/x", copies.replace("same", "other"))]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    for k in range(6):
+        assert got[k] == got[10 + k] == f"Story {k} Facts Note {k * k}"
+    assert {got[20 + k] for k in range(9)} == {"Long The same"} and got[30] == "Long The other"

@@ -4,10 +4,13 @@ Pages of one host are merged into one tree of element paths. For every path Spar
 all pages of the host that have it, how often each arrangement of children (presentation) and
 each content occurs. Importance is the entropy of these counts, as a share of what it could be:
 a branch that looks and reads the same on page after page is near 0, one that differs from page
-to page near 1. Branches of low importance leave every page of the host.
+to page near 1. Branches of low importance leave every page of the host, inside articles too.
+Pages of one host that read the same are one page in the counts: that a text is there twice
+does not make its parts boilerplate.
 
 What an element says of itself comes before counts: menus, footers, adverts and the like are of
-no importance under any content, an article is important even where pages repeat it. Pages are
+no importance under any content. The article element itself is not judged, nor are headings
+and other labels on their own, and an article that pages repeat as a whole stays. Pages are
 read twice, in narrow passes; what is shuffled is a few numbers per page and path.
 """
 
@@ -42,6 +45,8 @@ INLINE = frozenset(
 RAW = frozenset("script style template textarea title iframe noembed noframes xmp".split())
 #: Where the main text is, and which of two of them says it better.
 LANDMARKS = {"main": 1, "article": 2}
+#: Elements that belong to what they stand beside; in a landmark they only go with it.
+LABELS = frozenset("h1 h2 h3 h4 h5 h6 th dt caption figcaption summary legend label".split())
 #: Elements that hold the whole page, whatever their class names say.
 WHOLE = frozenset("html body main".split())
 NOISE_TAGS = frozenset(
@@ -203,28 +208,40 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
     yield from pop_to(1)
 
 
-def branches(page: str) -> dict[int, tuple[int, int]]:
-    """path -> (arrangement of children, content), of the branches that need counts: not those
-    that call themselves noise, nor those of an article."""
+def _judged(element: Element) -> bool:
+    """Whether counts decide on an element: not if it calls itself noise, nor on landmarks, nor
+    inside them on parts of a line and labels."""
+    if element.noise or element.tag in LANDMARKS:
+        return False
+    return not element.landmark or element.tag not in INLINE | LABELS
+
+
+def branches(page: str) -> tuple[int, dict[int, tuple[int, int]]]:
+    """The page's content without noise, and path -> (arrangement of children, content) of the
+    branches that need counts."""
     found: dict[int, tuple[int, int]] = {}
+    body = 0
     for kind, element, stack, text in walk(page):
         if kind == "text":
             if text and not text.isspace():
                 stack[-1].content = _mixed(stack[-1].content, _hashed(" ".join(text.split())))
         elif kind == "close":
-            if stack and element.content:
+            if element.content and not element.noise:
                 stack[-1].content = _mixed(stack[-1].content, element.content)
-            if element.content and not element.noise and not element.landmark:
+            if element.content and _judged(element):
                 before = found.get(element.path, (0, 0))
                 found[element.path] = (
                     _mixed(before[0], element.children), _mixed(before[1], element.content)
                 )
-    return found
+        body = stack[0].content
+    return body, found
 
 
 def main_text(page: str, low: set[int] | frozenset[int]) -> str:
     """The text of a page without noise and without the branches ``low``: that of its articles,
-    or else of its main part, or else all that is left."""
+    or else of its main part, or else all that is left. Where its landmarks hold nothing but
+    ``low`` branches, these stay there."""
+    landmarks = False
     found: tuple[list[str], ...] = ([], [], [])  # by landmark: none, main, article
     for kind, _, stack, text in walk(page):
         if kind == "break":
@@ -232,9 +249,12 @@ def main_text(page: str, low: set[int] | frozenset[int]) -> str:
                 parts.append(" ")
         elif kind == "text" and not stack[-1].noise:
             landmark = stack[-1].landmark
-            if landmark or not low or low.isdisjoint(element.path for element in stack):
+            landmarks = landmarks or landmark > 0 and not text.isspace()
+            if not low or low.isdisjoint(element.path for element in stack):
                 found[landmark].append(text)
-    texts = (" ".join("".join(parts).split()) for parts in reversed(found))
+    texts = [" ".join("".join(parts).split()) for parts in reversed(found)]
+    if landmarks and low and not any(texts[:2]):
+        return main_text(page, frozenset())
     return next(filter(None, texts), "")
 
 
@@ -243,16 +263,17 @@ def _signed(value: int) -> int:
 
 
 def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page", "host", "path", "arrangement", "content"]
+    names = ["page", "host", "path", "arrangement", "content", "body"]
     for batch in batches:
         rows = []
         for key, url, page in zip(*batch.columns):
             host = host_of(url.as_py())
             if host and page.is_valid:
                 code = _signed(_hashed(host))
-                for path, seen in branches(page.as_py()).items():
-                    rows.append((key.as_py(), code, *map(_signed, (path, *seen))))
-        columns = zip(*rows) if rows else [()] * 5
+                body, found = branches(page.as_py())
+                for path, seen in found.items():
+                    rows.append((key.as_py(), code, *map(_signed, (path, *seen, body))))
+        columns = zip(*rows) if rows else [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
@@ -293,7 +314,7 @@ def _entropy(counted: DataFrame, column: str) -> DataFrame:
 
 def low_branches(seen: DataFrame) -> DataFrame:
     """``host, path`` of the branches of low importance, from rows of pages and paths."""
-    counted = seen.groupBy("host", "path", "arrangement", "content").agg(F.count(F.lit(1)).alias("pages"))
+    counted = seen.groupBy("host", "path", "arrangement", "content").agg(F.count_distinct("body").alias("pages"))
     counted = written(counted, "style-tree")
     both = _entropy(counted, "arrangement").join(
         _entropy(counted, "content").drop("pages"), ["host", "path"]
@@ -318,7 +339,7 @@ def extract_text(
     )
     seen = written(
         rows.select("page", "url", "html").mapInArrow(
-            _branch_batches, "page long, host long, path long, arrangement long, content long"
+            _branch_batches, "page long, host long, path long, arrangement long, content long, body long"
         ),
         "style-branches",
     )

@@ -111,3 +111,28 @@ def test_boilerplate_inside_articles_goes_and_their_text_stays(spark):
     for k in range(6):
         assert got[k] == got[10 + k] == f"Story {k} Facts Note {k * k}"
     assert {got[20 + k] for k in range(9)} == {"Long The same"} and got[30] == "Long The other"
+
+
+def test_articles_main_part_and_rest_are_weighed():
+    body = "The body of this page is much longer than all that is told of other pages. " * 3
+    body = body.strip()
+    cards = "<article class='card'><p>One</p></article><article><a href='/2'><p>Two</p></a></article>"
+    assert text_of(f"<main><p>{body}</p>{cards}</main>") == body
+    assert text_of(f"<div><p>{body}</p></div>{cards}") == body
+    assert text_of(f"{cards}<main><p>{body}</p></main><p>rest</p>") == body
+    assert text_of(f"<main><p>short</p></main><div>{body}</div>") == f"short {body}"
+    # In doubt nothing goes: an article that is no card, and articles that are the larger part.
+    assert text_of(f"<main><p>{body}</p><article>Own</article></main>") == f"{body} Own"
+    many = "".join(f"<article class='card'>{k} {'x' * 60}</article>" for k in range(9))
+    assert text_of(f"<main><p>{body}</p>{many}</main>").startswith(body + " 0 x")
+    # A title and a lead before the article, but nothing behind it.
+    page = f"<main><div><h1>Title</h1><p>Lead</p></div><article><p>{body}</p></article><h2>More</h2><p>x</p></main>"
+    assert text_of(page) == f"Title Lead {body}"
+    assert text_of(f"<ul><li><a>{'menu ' * 200}</a></ul><article>{body}</article>") == body
+
+
+def test_counts_decide_which_part_weighs_more(spark):
+    about = "<main><p>What this site is about is told on all of its pages, at great length</p></main>"
+    rows = [(k, f"http://a.example/{k}", f"{about}<article>No {k} is {k * k}</article>") for k in range(6)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    assert got == {k: f"No {k} is {k * k}" for k in range(6)}

@@ -12,6 +12,9 @@ What an element says of itself comes before counts: menus, footers, adverts and
 no importance under any content. The article element itself is not judged, nor are headings
 and other labels on their own, and an article that pages repeat as a whole stays. Pages are
 read twice, in narrow passes; what is shuffled is a few numbers per page and path.
+
+Of what is then left of a page, its articles, its main part and the rest are weighed by their
+text, linked text for little: an article element is the main text unless others outweigh it.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ from tripweave.llm.common import written
 LOW_IMPORTANCE, LEAST_PAGES = 0.3, 4
 #: Weight of content against presentation in a branch's importance.
 CONTENT_WEIGHT = 0.9
+#: Text counts so many times as much as linked text; what is outside of all landmarks is kept
+#: where it outweighs them so many times.
+UNLINKED, OUTSIDE = 10, 2
 #: Noise branches (16 bytes each) up to this number go to all executors; beyond it they are
 #: joined to the pages instead.
 BROADCAST_BRANCHES = 500_000
@@ -68,6 +74,9 @@ NOISE_WORDS = frozenset(
     " disclaimer search skip".split()
 )
 HEADER_WORDS = frozenset(["header"])
+#: Words of class names and ids of articles that only lead to others.
+CARD_WORDS = frozenset("card cards teaser teasers tile tiles preview previews".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1"
     " h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -111,19 +120,24 @@ def _hashed(text: str) -> int:
 
 class Element:
     """An open element: where it is in the site's tree, what it says of itself, and hashes of
-    its children's arrangement and of its content so far."""
+    its children's arrangement and of its content so far. ``article`` is the number of the
+    outermost article it is in, 0 for none; ``card`` says that this one is named a card."""
 
-    __slots__ = ("tag", "path", "noise", "landmark", "children", "content")
+    __slots__ = (
+        "tag", "path", "noise", "landmark", "children", "content", "article", "card", "linked", "heading"
+    )
 
     def __init__(self, tag: str, path: int, noise: bool, landmark: int):
         self.tag, self.path, self.noise, self.landmark = tag, path, noise, landmark
-        self.children = self.content = 0
+        self.children = self.content = self.article = 0
+        self.card = self.linked = self.heading = False
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool]:
-    """An element's style label, and whether its tag, role, class or id call it noise."""
+def _describe(tag: str, attributes: str) -> tuple[str, bool, set[str] | frozenset[str]]:
+    """An element's style label, whether its tag, role, class or id call it noise, and the
+    words of its class names and id."""
     noise = tag in NOISE_TAGS
-    label = tag
+    label, words = tag, frozenset()
     if attributes and not attributes.isspace():
         found = {}
         for name, value in _ATTRIBUTE.findall(attributes):
@@ -140,7 +154,7 @@ def _describe(tag: str, attributes: str) -> tuple[str, bool]:
         roles = found.get("role", "").lower().split()
         noise = noise or not NOISE_ROLES.isdisjoint(roles)
         noise = noise or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    return label, noise or tag == "header"
+    return label, noise or tag == "header", words
 
 
 def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
@@ -148,7 +162,7 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
     ``("text", None, stack, text)`` for text, decoded; ``("break", ...)`` where a block begins
     or ends. Missing end tags are made up for; nothing raises on broken markup."""
     stack = [Element("", 0, False, 0)]
-    at, size = 0, len(page)
+    at, size, articles = 0, len(page), 0
 
     def pop_to(depth: int):
         while len(stack) > depth:
@@ -191,7 +205,7 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
                     break
         if tag not in INLINE:
             yield "break", None, stack, ""
-        label, noise = _describe(tag, attributes)
+        label, noise, words = _describe(tag, attributes)
         parent = stack[-1]
         landmark = max(parent.landmark, LANDMARKS.get(tag, 0))
         if noise and tag == "header" and parent.landmark:
@@ -199,6 +213,12 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
         code = _hashed(label)
         parent.children = _mixed(parent.children, code)
         element = Element(tag, _mixed(parent.path, code), parent.noise or noise, landmark)
+        element.article, element.card = parent.article, parent.card
+        if tag == "article" and not parent.article:
+            articles += 1
+            element.article, element.card = articles, not words.isdisjoint(CARD_WORDS)
+        element.linked = parent.linked or tag == "a"
+        element.heading = parent.heading or tag in HEADINGS
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
             at = end.start() if end else size
@@ -237,25 +257,69 @@ def branches(page: str) -> tuple[int, dict[int, tuple[int, int]]]:
     return body, found
 
 
+def _chosen(weights: dict[int, int], cards: set[int]) -> set[int]:
+    """The parts of a page that are its main text, of their weights: numbers of articles, 0 for
+    the rest of the main part, -1 for what is outside of all landmarks."""
+    articles = [part for part in weights if part > 0]
+    best = max((weights[part] for part in articles), default=0)
+    main, outside = weights.get(0, 0), weights.get(-1, 0)
+    chosen = set()
+    if main > best:
+        chosen.add(0)
+    if outside > OUTSIDE * max(main, best):
+        chosen |= {0, -1}
+    # Where the body is elsewhere, articles that only lead to others go; in doubt all stay.
+    elsewhere = sum(weights.get(part, 0) for part in chosen)
+    if chosen and elsewhere > sum(weights[part] for part in articles):
+        articles = [part for part in articles if part not in cards]
+    return chosen.union(articles)
+
+
 def main_text(page: str, low: set[int] | frozenset[int]) -> str:
-    """The text of a page without noise and without the branches ``low``: that of its articles,
-    or else of its main part, or else all that is left. Where its landmarks hold nothing but
-    ``low`` branches, these stay there."""
+    """The text of a page without noise and without the branches ``low``, of those of its
+    articles, main part and rest that outweigh the others, and in the main part what stands
+    from a heading on before a chosen article. Where its landmarks hold nothing but ``low``
+    branches, these stay there."""
+    texts: list[tuple[int | None, str]] = []  # part of the page, text; None: a break
+    heads: dict[int, int] = {}  # place in texts -> article that it stands before
+    waiting: list[int] = []
+    weights: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    cards: set[int] = set()
     landmarks = False
-    found: tuple[list[str], ...] = ([], [], [])  # by landmark: none, main, article
     for kind, _, stack, text in walk(page):
         if kind == "break":
-            for parts in found:
-                parts.append(" ")
+            texts.append((None, " "))
         elif kind == "text" and not stack[-1].noise:
-            landmark = stack[-1].landmark
-            landmarks = landmarks or landmark > 0 and not text.isspace()
-            if not low or low.isdisjoint(element.path for element in stack):
-                found[landmark].append(text)
-    texts = [" ".join("".join(parts).split()) for parts in reversed(found)]
-    if landmarks and low and not any(texts[:2]):
+            element = stack[-1]
+            size = sum(map(len, text.split()))
+            landmarks = landmarks or element.landmark > 0 and size > 0
+            if low and not low.isdisjoint(e.path for e in stack):
+                continue
+            part = element.article or (0 if element.landmark else -1)
+            texts.append((part, text))
+            if not size:
+                continue
+            weights[part] = weights.get(part, 0) + size * (1 if element.linked else UNLINKED)
+            if part > 0:
+                if element.linked:
+                    linked[part] = linked.get(part, 0) + size
+                if element.card:
+                    cards.add(part)
+                heads.update(dict.fromkeys(waiting, part))
+                waiting = []
+            elif part == 0 and (element.heading or waiting):
+                waiting.append(len(texts) - 1)
+    if landmarks and low and not any(part >= 0 for part in weights):
         return main_text(page, frozenset())
-    return next(filter(None, texts), "")
+    # An article that is linked for half of its text or more is a card as well.
+    cards.update(part for part, n in linked.items() if UNLINKED * n >= weights[part] - n)
+    chosen = _chosen(weights, cards)
+    kept = [
+        text for at, (part, text) in enumerate(texts)
+        if part is None or part in chosen or heads.get(at) in chosen
+    ]
+    return " ".join("".join(kept).split())
 
 
 def _signed(value: int) -> int:

@@ -136,3 +136,32 @@ def test_counts_decide_which_part_weighs_more(spark):
     rows = [(k, f"http://a.example/{k}", f"{about}<article>No {k} is {k * k}</article>") for k in range(6)]
     got = {r.page_id: r.text for r in html_text.extract_text(pages_of(spark, rows)).collect()}
     assert got == {k: f"No {k} is {k * k}" for k in range(6)}
+
+
+def test_doubtful_names_in_articles_need_counts(spark):
+    kept = [
+        "<section id='discussion'>%s</section>", "<h2 id='related-work'>%s</h2>", "<div class='social-science'>%s</div>",
+        "<div class='legal'>%s</div>", "<p class='notice'>%s</p>", "<div id='search'>%s</div>", "<h2 id='comments'>%s</h2>",
+        "<div class='entry-header'>%s</div>", "<pre><span class='hljs-comment'>%s</span></pre>", "<div class='market-share'>%s</div>",
+    ]
+    for part in kept:
+        assert text_of(f"<article><p>one</p>{part % 'two'}</article>") == "one two"
+        assert text_of(f"<main><p>one</p>{part % 'two'}</main>") == "one two"
+    assert text_of("<article id='legal-news'><p>one</p></article>") == "one"
+    for part in ("<div class='share-buttons'>", "<div class='newsletter'>", "<div class='post-comments'>", "<div role=search>"):
+        assert text_of(f"<article><p>one</p>{part}x</div></article>") == "one"
+        assert text_of(f"<article><p>one</p>{part}x</div><header class=ad>x</header></article>") == "one"
+
+    def page(k):
+        # Three of the eight pages have the notice of their own: between the two limits.
+        notice = f"Only here {k}" if k < 3 else "Read the rules"
+        return (
+            f"<article><h2 id='related-work'>Related work</h2><div class='discussion'>Talk {k}</div>"
+            f"<div class='notice'>{notice}</div><div class='plain'>{notice}</div><span class='legal'>All rights</span></article>"
+        )
+
+    rows = [(k, f"http://a.example/{k}", page(k)) for k in range(8)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    for k in range(8):
+        notice = f"Only here {k}" if k < 3 else "Read the rules"
+        assert got[k] == f"Related work Talk {k} {notice}"

@@ -9,7 +9,9 @@ Pages of one host that read the same are one page in the counts: that a text is
 does not make its parts boilerplate.
 
 What an element says of itself comes before counts: menus, footers, adverts and the like are of
-no importance under any content. The article element itself is not judged, nor are headings
+no importance under any content. Inside an article or main part most names are only a hint
+(a section on search, social or legal matters may have them): a branch with such a name leaves
+when counts confirm it, at a higher importance than others. The article element itself is not judged, nor are headings
 and other labels on their own, and an article that pages repeat as a whole stays. Pages are
 read twice, in narrow passes; what is shuffled is a few numbers per page and path.
 
@@ -33,6 +35,8 @@ from tripweave.llm.common import written
 
 #: Branches below this importance are removed, where at least so many pages show them.
 LOW_IMPORTANCE, LEAST_PAGES = 0.3, 4
+#: The same for branches in landmarks whose names hint at noise.
+NAMED_IMPORTANCE = 0.7
 #: Weight of content against presentation in a branch's importance.
 CONTENT_WEIGHT = 0.9
 #: Text counts so many times as much as linked text; what is outside of all landmarks is kept
@@ -73,6 +77,17 @@ NOISE_WORDS = frozenset(
     " disqus share sharing social related recommended recommendations copyright legal"
     " disclaimer search skip".split()
 )
+# Those of them that an article may be about; in landmarks they are hints only.
+DOUBTFUL_WORDS = frozenset(
+    "alert alerts advertising banner banners consent cookie cookies copyright disclaimer discussion legal"
+    " login menu menus navigation notice notices notification notifications overlay promotion"
+    " recommended recommendations related reply replies respond responses search share sharing"
+    " skip social sponsor subscription widget widgets".split()
+)
+SURE_WORDS = NOISE_WORDS - DOUBTFUL_WORDS
+# Class names of these words alone are sure even so, or of doubtful words beside parts of a page.
+SHARE_WORDS = frozenset(["share", "sharing"])
+PART_WORDS = frozenset("bar box button buttons icon icons links tools".split())
 HEADER_WORDS = frozenset(["header"])
 #: Words of class names and ids of articles that only lead to others.
 CARD_WORDS = frozenset("card cards teaser teasers tile tiles preview previews".split())
@@ -121,22 +136,51 @@ def _hashed(text: str) -> int:
 class Element:
     """An open element: where it is in the site's tree, what it says of itself, and hashes of
     its children's arrangement and of its content so far. ``article`` is the number of the
-    outermost article it is in, 0 for none; ``card`` says that this one is named a card."""
+    outermost article it is in, 0 for none; ``card`` says that this one is named a card, and
+    ``named`` that the element's own name hints at noise without being sure."""
 
     __slots__ = (
-        "tag", "path", "noise", "landmark", "children", "content", "article", "card", "linked", "heading"
+        "tag", "path", "noise", "landmark", "children", "content", "article", "card", "linked", "heading", "named"
     )
 
     def __init__(self, tag: str, path: int, noise: bool, landmark: int):
         self.tag, self.path, self.noise, self.landmark = tag, path, noise, landmark
         self.children = self.content = self.article = 0
-        self.card = self.linked = self.heading = False
+        self.card = self.linked = self.heading = self.named = False
+
+
+def _words(name: str) -> set[str]:
+    return {word.lower() for word in _NAME_PARTS.findall(name)}
+
+
+def _sure(tag: str, classes: list[set[str]], id_words: set[str]) -> bool:
+    """Whether names in a landmark leave no doubt, from words of each class name and the id."""
+    if tag in HEADINGS:
+        id_words = set()  # made of the heading's text
+    for words in (*classes, id_words):
+        sure = words & SURE_WORDS
+        if tag in INLINE:
+            sure.discard("comment")  # of coloured program text
+        if sure:
+            return True
+    return any(
+        words
+        and (
+            words <= SHARE_WORDS
+            or words <= DOUBTFUL_WORDS | PART_WORDS and words & DOUBTFUL_WORDS and words & PART_WORDS
+        )
+        for words in classes
+    )
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool, set[str] | frozenset[str]]:
-    """An element's style label, whether its tag, role, class or id call it noise, and the
-    words of its class names and id."""
-    noise = tag in NOISE_TAGS
+def _describe(
+    tag: str, attributes: str, inside: bool
+) -> tuple[str, bool, bool, set[str] | frozenset[str]]:
+    """An element's style label, whether its tag, role, class or id call it noise, whether
+    names only hint at it, and the words of its class names and id. ``inside``: it is, or is
+    in, an article or main part, which may have a header of its own."""
+    noise, named = tag in NOISE_TAGS, False
+    header = tag == "header"
     label, words = tag, frozenset()
     if attributes and not attributes.isspace():
         found = {}
@@ -146,15 +190,19 @@ def _describe(tag: str, attributes: str) -> tuple[str, bool, set[str] | frozense
         if style:
             label = f"{tag}.{_DIGITS.sub('', style)}"
             if tag not in WHOLE:
-                names = (name for name in style.split() if not _ABOUT.match(name))
-                words = {word.lower() for name in names for word in _NAME_PARTS.findall(name)}
-                noise = noise or not words.isdisjoint(NOISE_WORDS)
-                if not words.isdisjoint(HEADER_WORDS):
-                    tag = "header"
+                classes, ids = (
+                    [_words(name) for name in (found.get(key) or "").split() if not _ABOUT.match(name)]
+                    for key in ("class", "id")
+                )
+                words = set().union(*classes, *ids)
+                if not words.isdisjoint(NOISE_WORDS):
+                    sure = not inside or _sure(tag, classes, set().union(*ids))
+                    noise, named = noise or sure, not sure
+                header = header or not words.isdisjoint(HEADER_WORDS)
         roles = found.get("role", "").lower().split()
         noise = noise or not NOISE_ROLES.isdisjoint(roles)
         noise = noise or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    return label, noise or tag == "header", words
+    return label, noise or header and not inside, named, words
 
 
 def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
@@ -205,11 +253,9 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
                     break
         if tag not in INLINE:
             yield "break", None, stack, ""
-        label, noise, words = _describe(tag, attributes)
         parent = stack[-1]
         landmark = max(parent.landmark, LANDMARKS.get(tag, 0))
-        if noise and tag == "header" and parent.landmark:
-            noise = False  # a header inside an article is the article's own
+        label, noise, named, words = _describe(tag, attributes, landmark > 0)
         code = _hashed(label)
         parent.children = _mixed(parent.children, code)
         element = Element(tag, _mixed(parent.path, code), parent.noise or noise, landmark)
@@ -217,6 +263,7 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
         if tag == "article" and not parent.article:
             articles += 1
             element.article, element.card = articles, not words.isdisjoint(CARD_WORDS)
+        element.named = named
         element.linked = parent.linked or tag == "a"
         element.heading = parent.heading or tag in HEADINGS
         if tag in RAW:
@@ -230,16 +277,18 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, list[Element], str]]:
 
 def _judged(element: Element) -> bool:
     """Whether counts decide on an element: not if it calls itself noise, nor on landmarks, nor
-    inside them on parts of a line and labels."""
+    inside them on labels, and on parts of a line only where names hint at noise."""
     if element.noise or element.tag in LANDMARKS:
         return False
-    return not element.landmark or element.tag not in INLINE | LABELS
+    if not element.landmark:
+        return True
+    return element.tag not in LABELS and (element.named or element.tag not in INLINE)
 
 
-def branches(page: str) -> tuple[int, dict[int, tuple[int, int]]]:
-    """The page's content without noise, and path -> (arrangement of children, content) of the
-    branches that need counts."""
-    found: dict[int, tuple[int, int]] = {}
+def branches(page: str) -> tuple[int, dict[int, tuple[int, int, int]]]:
+    """The page's content without noise, and path -> (arrangement of children, content, 1 if
+    names hint at noise) of the branches that need counts."""
+    found: dict[int, tuple[int, int, int]] = {}
     body = 0
     for kind, element, stack, text in walk(page):
         if kind == "text":
@@ -251,7 +300,9 @@ def branches(page: str) -> tuple[int, dict[int, tuple[int, int]]]:
             if element.content and _judged(element):
                 before = found.get(element.path, (0, 0))
                 found[element.path] = (
-                    _mixed(before[0], element.children), _mixed(before[1], element.content)
+                    _mixed(before[0], element.children),
+                    _mixed(before[1], element.content),
+                    int(element.named),
                 )
         body = stack[0].content
     return body, found
@@ -327,7 +378,7 @@ def _signed(value: int) -> int:
 
 
 def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page", "host", "path", "arrangement", "content", "body"]
+    names = ["page", "host", "path", "arrangement", "content", "named", "body"]
     for batch in batches:
         rows = []
         for key, url, page in zip(*batch.columns):
@@ -337,7 +388,7 @@ def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 body, found = branches(page.as_py())
                 for path, seen in found.items():
                     rows.append((key.as_py(), code, *map(_signed, (path, *seen, body))))
-        columns = zip(*rows) if rows else [()] * 6
+        columns = zip(*rows) if rows else [()] * 7
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
@@ -366,25 +417,32 @@ def _text_batches(batches: Iterator[pa.RecordBatch], low) -> Iterator[pa.RecordB
 def _entropy(counted: DataFrame, column: str) -> DataFrame:
     """Per host and path the entropy of a column over the pages, to the base of their number:
     0 where all pages agree, 1 where all differ."""
-    groups = counted.groupBy("host", "path", column).agg(F.sum("pages").alias("n"))
+    groups = counted.groupBy("host", "path", column).agg(
+        F.sum("pages").alias("n"), F.max("named").alias("named")
+    )
     whole = F.sum("n")
     # -sum(p log p) with p = n / whole, from sums that combine before the shuffle.
     bits = F.log2(whole) - F.sum(F.col("n") * F.log2("n")) / whole
     return groups.groupBy("host", "path").agg(
         whole.alias("pages"),
+        F.max("named").alias("named"),
         F.when(whole > 1, bits / F.log2(whole)).otherwise(1.0).alias(f"{column}_entropy"),
     )
 
 
 def low_branches(seen: DataFrame) -> DataFrame:
     """``host, path`` of the branches of low importance, from rows of pages and paths."""
-    counted = seen.groupBy("host", "path", "arrangement", "content").agg(F.count_distinct("body").alias("pages"))
+    counted = seen.groupBy("host", "path", "arrangement", "content", "named").agg(
+        F.count_distinct("body").alias("pages")
+    )
     counted = written(counted, "style-tree")
+    # Names are part of a path, so all pages agree on ``named``.
     both = _entropy(counted, "arrangement").join(
-        _entropy(counted, "content").drop("pages"), ["host", "path"]
+        _entropy(counted, "content").drop("pages", "named"), ["host", "path"]
     )
     importance = (1 - CONTENT_WEIGHT) * F.col("arrangement_entropy") + CONTENT_WEIGHT * F.col("content_entropy")
-    return both.where((F.col("pages") >= LEAST_PAGES) & (importance < LOW_IMPORTANCE)).select("host", "path")
+    low = F.when(F.col("named") > 0, NAMED_IMPORTANCE).otherwise(LOW_IMPORTANCE)
+    return both.where((F.col("pages") >= LEAST_PAGES) & (importance < low)).select("host", "path")
 
 
 def extract_text(
@@ -403,7 +461,7 @@ def extract_text(
     )
     seen = written(
         rows.select("page", "url", "html").mapInArrow(
-            _branch_batches, "page long, host long, path long, arrangement long, content long, body long"
+            _branch_batches, "page long, host long, path long, arrangement long, content long, named long, body long"
         ),
         "style-branches",
     )

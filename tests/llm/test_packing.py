@@ -70,6 +70,12 @@ def test_fixed_sets_belong_to_a_best_packing():
     assert reduced > 100
 
 
+def test_reduction_goes_on_behind_a_piece_without_a_set():
+    # Nothing dominates for 70: 25, 17 and 13 fit beside it in several ways. 60 and 40 fill a sequence.
+    fixed, left = packing.reduce_by_dominance({70: 1, 60: 3, 40: 2, 25: 1, 17: 1, 13: 1, 3: 4}, 100)
+    assert ((60, 40), 2) in fixed and left[70] == 1 and 40 not in left
+
+
 def test_plans_place_every_piece_once_without_gaps():
     draw = random.Random(8)
     for capacity, most in ((12, 40), (2048, 60)):

@@ -11,7 +11,9 @@ group per length.
 The reduction fixes, from the longest piece down, sets that dominate all others with that
 piece: the piece alone when nothing fits beside it, the pair that fills the sequence exactly,
 the longest partner when only one more piece fits, and the longest partner when no sum of
-several pieces exceeds it. What is left is packed best-fit by falling length.
+several pieces exceeds it. Lengths without such a set are passed over and looked at again
+after others were fixed, until nothing changes. What is left is packed best-fit by falling
+length.
 """
 
 from __future__ import annotations
@@ -49,6 +51,12 @@ class _Left:
             del self.counts[length]
             self.lengths.remove(length)
 
+    def put_back(self, length: int) -> None:
+        if length not in self.counts:
+            self.counts[length] = 0
+            bisect.insort(self.lengths, length)
+        self.counts[length] += 1
+
     def longest_up_to(self, most: int) -> int | None:
         at = bisect.bisect_right(self.lengths, most)
         return self.lengths[at - 1] if at else None
@@ -78,35 +86,41 @@ class _Left:
         return False
 
 
+def _dominating(left: _Left, length: int, capacity: int) -> tuple[int, ...] | None:
+    """The set with a piece of this length that dominates all others with it, if one does."""
+    room = capacity - length
+    left.take(length, 1)  # one is set aside, so that partners are other pieces
+    partner = left.longest_up_to(room)
+    dominates = (
+        partner is None
+        or partner == room
+        or left.least_sum(2) > room
+        or (left.least_sum(3) > room and not left.pair_between(partner, room))
+    )
+    left.put_back(length)
+    if not dominates:
+        return None
+    return (length,) if partner is None else (length, partner)
+
+
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list, dict[int, int]]:
     """Sets that some best packing contains, as ``(lengths, times)``, and what is left."""
     left, fixed = _Left(counts), []
-    while left.lengths:
-        longest = left.lengths[-1]
-        n = left.counts[longest]
-        room = capacity - longest
-        left.take(longest, 1)  # one is set aside, so that partners are other pieces
-        partner = left.longest_up_to(room)
-        dominates = (
-            partner is None
-            or partner == room
-            or left.least_sum(2) > room
-            or (left.least_sum(3) > room and not left.pair_between(partner, room))
-        )
-        left.counts[longest] = left.counts.get(longest, 0) + 1
-        if longest not in left.lengths:
-            left.lengths.append(longest)
-        if not dominates:
-            break
-        if partner is None:
-            times, group = n, (longest,)
-        elif partner == longest:
-            times, group = n // 2, (longest, longest)
-        else:
-            times, group = min(n, left.counts[partner]), (longest, partner)
-        for length in group:
-            left.take(length, times)
-        fixed.append((group, times))
+    changed = True
+    while changed:
+        changed = False
+        for length in reversed(tuple(left.lengths)):
+            while length in left.counts and (group := _dominating(left, length, capacity)):
+                # What holds for one such set holds for the next: fewer pieces fit beside it.
+                n = left.counts[length]
+                if group == (length, length):
+                    times = n // 2
+                else:
+                    times = min(left.counts[part] for part in group)
+                for part in group:
+                    left.take(part, times)
+                fixed.append((group, times))
+                changed = True
     return fixed, left.counts
 
 

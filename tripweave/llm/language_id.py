@@ -97,7 +97,9 @@ class Languages:
         points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
         found = self.codes[np.minimum(points, 0xFFFF)]
         if (far := points > 0xFFFF).any():
-            found[far] = [0 if chr(p).isalpha() else self.space for p in points[far].tolist()]
+            found[far] = [
+                self.symbols.get(c, 0) if c.isalpha() else self.space for c in map(chr, points[far].tolist())
+            ]
         blank = found == self.space
         keep = ~blank
         keep[1:] |= ~blank[:-1]

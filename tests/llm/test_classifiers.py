@@ -126,6 +126,17 @@ def test_letters_of_far_planes_are_learned_ones():
     assert 0 not in texts[0] and 0 not in texts[1] and set(texts[2]) == {0}
 
 
+def test_no_document_fills_a_sample_alone(spark):
+    # Each long text is of one letter in its first half and of another in its second.
+    long = [chr(97 + k) * 30_000 + " " + chr(107 + k) * 30_000 for k in range(6)]
+    rows = [(k, text, "x") for k, text in enumerate(long)] + [(10, "zzz short", "x"), (11, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id.train(docs, F.lit(True))["x"]
+    assert 23_900 < len(sample) <= language_id.SAMPLE_SYMBOLS and "zzz short" in sample
+    for k in range(6):
+        assert all(1_900 < sample.count(chr(at + k)) < 2_100 for at in (97, 107))
+
+
 def test_language_of_held_out_documents(spark):
     found = queries.op6_language_id(spark, SF_DIR)
     held = found.where("held_out").join(

@@ -16,6 +16,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 #: Labelled documents per language, those of smallest id hash, and symbols of them at most.
 SAMPLE_DOCS = 60
 SAMPLE_SYMBOLS = 24_000
+#: Places of a longer document that its share of the symbols comes from.
+PLACES = 4
 #: Symbols of a block; a phrase ends at a block's end.
 BLOCK = 256
 #: Symbols that are parsed side by side.
@@ -185,6 +188,28 @@ def _predict_batches(
                 start, texts, size = at + 1, [], 0
 
 
+def spread(text: str, size: int) -> str:
+    """At most ``size`` letters of a text, those of a longer one from ``PLACES`` places of it."""
+    each = (size - PLACES + 1) // PLACES
+    if len(text) <= size or each < 1:
+        return text[: max(size, 0)]
+    starts = ((len(text) - each) * place // (PLACES - 1) for place in range(PLACES))
+    return " ".join(text[start : start + each] for start in starts)
+
+
+def sample_of(texts: list[str], size: int) -> str:
+    """A sample of ``size`` letters that the texts have equal shares of; what shorter ones do
+    not need is shared by the others."""
+    shares, left = [0] * len(texts), size
+    order = sorted(range(len(texts)), key=lambda at: len(texts[at]))
+    for done, at in enumerate(order):
+        # One letter of each share is the space between documents.
+        shares[at] = min(len(texts[at]), left // (len(texts) - done) - 1)
+        left -= shares[at] + 1
+    parts = (spread(text, share) for text, share in zip(texts, shares))
+    return " ".join(" ".join(parts).split())[:size]
+
+
 def train(
     docs: DataFrame,
     learn_from: Column,
@@ -195,7 +220,7 @@ def train(
     sample_symbols: int = SAMPLE_SYMBOLS,
 ) -> dict[str, str]:
     """A sample text per language: at most ``sample_docs`` labelled documents, those of smallest
-    id hash, and of those at most ``sample_symbols`` symbols. Rows without id, text or lang teach
+    id hash, and of those at most ``sample_symbols`` symbols, to equal shares. Rows without id, text or lang teach
     nothing."""
     known = docs.where(learn_from).select(
         F.col(id_column).alias("row_id"), F.col(text).alias("row_text"), F.col(lang).cast("string").alias("row_lang")
@@ -207,13 +232,17 @@ def train(
         .where(F.col("place") <= sample_docs)
     )
     # As many rows as languages times documents: small enough to broadcast and to collect.
+    # Of a text longer than twice the whole sample, as much as that comes from several places.
+    size, each = F.length("row_text"), max(2 * sample_symbols // PLACES, 1)
+    starts = [F.floor((size - each) * place / (PLACES - 1)).cast("int") + 1 for place in range(PLACES)]
+    parts = [F.col("row_text").substr(start, F.lit(each)) for start in starts]
+    taken = F.when(size <= PLACES * each, F.col("row_text")).otherwise(F.concat_ws(" ", *parts))
     rows = known.join(F.broadcast(chosen), ["row_id", "row_lang"]).orderBy("row_lang", "place").select(
-        "row_lang", F.substring("row_text", 1, 2 * sample_symbols).alias("row_text")
+        "row_lang", taken.alias("row_text")
     )
     samples: dict[str, str] = {}
-    for name, value in rows.toLocalIterator():
-        if len(sample := samples.get(name, "")) < sample_symbols:
-            samples[name] = (sample + " " + normal(value)).strip()[:sample_symbols]
+    for name, of_language in groupby(rows.toLocalIterator(), key=lambda row: row.row_lang):
+        samples[name] = sample_of([normal(row.row_text) for row in of_language], sample_symbols)
     return samples
 
 

@@ -12,6 +12,7 @@ from tripweave.llm import (
     chat_format,
     embedding_dedup,
     exact_dedup,
+    fill_in_middle,
     html_text,
     language_id,
     ngram_join,
@@ -108,6 +109,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    return fill_in_middle.restore(formed).select(
+        "doc_id",
+        "n",
+        "form",
+        F.char_length("prefix").cast("long").alias("prefix_chars"),
+        F.char_length("middle").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -119,6 +133,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES = {
@@ -220,4 +235,41 @@ ORACLES = {
         select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
         from grouped
     """,
+    "op13_fill_in_middle": r"""
+        with texts as (
+            select doc_id, coalesce(text, '') as content,
+                   sha256('7:' || coalesce(cast(doc_id as varchar), '')) as digest
+            from documents
+        ), lines as (
+            select *, case when content = '' then []
+                           else regexp_extract_all(content, '[^\n]*\n|[^\n]+') end as units
+            from texts
+        ), drawn as (
+            select *, cast(len(units) as bigint) as n,
+                   cast('0x' || substr(digest, 1, 8) as bigint) % (len(units) + 1) as one,
+                   cast('0x' || substr(digest, 9, 8) as bigint) % (len(units) + 1) as two,
+                   cast('0x' || substr(digest, 25, 8) as bigint) % 100 as side
+            from lines
+        ), cut as (
+            select *, least(one, two) as a, greatest(one, two) as b,
+                   case when content = '' or contains(content, '<P>')
+                             or contains(content, '<S>') or contains(content, '<M>') then 'plain'
+                        when side < 50 then 'spm' else 'psm' end as form
+            from drawn
+        ), parts as (
+            select *, coalesce(array_to_string(units[1:a], ''), '') as prefix,
+                   coalesce(array_to_string(units[a + 1:b], ''), '') as middle,
+                   coalesce(array_to_string(units[b + 1:], ''), '') as suffix
+            from cut
+        )
+        select doc_id, n, form,
+               case when form != 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+               case when form != 'plain' then cast(length(middle) as bigint) end as middle_chars,
+               sha256(case form when 'plain' then content
+                                when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end)
+                   as output_sha256,
+               sha256(content) as restored_sha256
+        from parts
+    """,
 }

@@ -18,6 +18,7 @@ from tripweave.llm import (
     ngram_join,
     packing,
     quality,
+    ranked_search,
     token_counts,
 )
 from tripweave.llm.common import crc_fold, table
@@ -109,6 +110,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=10
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     formed = fill_in_middle.transform(table(spark, sf_dir, "documents"))
     return fill_in_middle.restore(formed).select(
@@ -133,6 +140,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -235,6 +243,45 @@ ORACLES = {
         select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
         from grouped
     """,
+    "op12_ranked_lexical_search": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ), asked as (
+            select item_id, term, count(*) as times
+            from (select item_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                  from benchmark)
+            group by item_id, term
+        ), sizes as (
+            select doc_id, count(*) as n from words group by doc_id
+        ), totals as (
+            select count(*) as documents, cast(sum(n) as bigint) as terms from sizes
+        ), held as (
+            select doc_id, term, count(*) as tf
+            from words where term in (select term from asked) group by doc_id, term
+        ), weights as (
+            select term, cast(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) as bigint)
+                             as w
+            from held, totals group by term, documents
+        ), norms as (
+            select doc_id, 25 + (75 * n * documents) // terms as m from sizes, totals
+        ), scored as (
+            select item_id, doc_id,
+                   cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)) * times) as bigint)
+                       as score
+            from held join weights using (term) join norms using (doc_id) join asked using (term)
+            group by item_id, doc_id
+        ), placed as (
+            select item_id, doc_id, score, cast(row_number() over (
+                       partition by item_id order by score desc, doc_id) as integer) as rank
+            from scored where score > 0
+        )
+        select item_id, rank, doc_id, score from placed where rank <= 10
+    """,
     "op13_fill_in_middle": r"""
         with texts as (
             select doc_id, coalesce(text, '') as content,

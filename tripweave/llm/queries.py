@@ -15,6 +15,7 @@ from tripweave.llm import (
     fill_in_middle,
     html_text,
     language_id,
+    lm_scoring,
     ngram_join,
     packing,
     quality,
@@ -110,6 +111,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model of three words, of the documents whose fold is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score_texts(docs, learn=crc_fold("doc_id", 5) != 1).select(
+        "doc_id",
+        (~F.col("learned")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=10
@@ -140,6 +155,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
     "op13_fill_in_middle": op13_fill_in_middle,
 }

@@ -28,7 +28,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,11 +43,9 @@ RANGE_BYTES = 6 << 20
 #: Words that one lane of the walk reads.
 LANE = 512
 #: An n-gram of two words or more is known by so many bits more than their number needs: one that
-#: training does not hold is taken for another with a chance of 1 in 2 ** 24.
-SPARE_BITS = 24
+#: training does not hold is taken for another with a chance of about 1 in 2 ** 20.
+SPARE_BITS = 20
 
-#: What stands before a text's first word and behind its last; no word holds white space.
-START, END = b" ", b"\n"
 _WHITE = b" \t\n\v\f\r"
 
 
@@ -156,10 +154,48 @@ def _blocks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[int
         yield block, held
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of texts, one text after the other, by number; words of each; the distinct words."""
+    ends = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+    # ASCII functions need no valid UTF-8, so the bytes are taken for text as they are.
+    joined = pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(ends), pa.py_buffer(b"".join(texts))
+    )
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(joined))
+    words = lists.flatten()
+    filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    coded = words.filter(pa.array(filled)).dictionary_encode()
+    sizes = np.bincount(owner[filled], minlength=len(texts))
+    return coded.indices.to_numpy().astype(np.int64), sizes, coded.dictionary
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of distinct words: bytes times pseudo-random factors of their places."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.empty(0, np.uint64)
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    sizes = np.diff(ends)
+    place = np.arange(len(raw)) - np.repeat(ends[:-1] - ends[0], sizes)
+    factors = _mixed(place.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+    sums = np.add.reduceat((raw + np.uint64(1)) * factors, ends[:-1] - ends[0])
+    return _mixed(sums + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+#: Hashes of what stands before a text's first word and behind its last.
+START, END = _mixed(np.array([2**64 - 1, 2**64 - 2], np.uint64))
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct codes, a place of each, and each place's number among them."""
+    order = np.argsort(codes)
+    ordered = codes[order]
+    fresh = np.r_[True, ordered[1:] != ordered[:-1]] if len(codes) else np.empty(0, bool)
+    number = np.empty(len(codes), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], order[fresh], number
 
 
 @dataclass
@@ -183,34 +219,35 @@ class Block:
     levels: list[Grams] = field(init=False)
 
     def __post_init__(self):
-        numbers, lead, chunks = _Numbers(), self.order - 1, []
-        for piece in self.pieces:
-            words = piece.before.lower().split()
-            words = [START] * (lead - len(words)) + words + piece.text.lower().split()
-            if piece.last:
-                words.append(END)
-            chunks.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-        lengths = np.array([len(c) for c in chunks], np.int64)
-        self.start = np.cumsum(lengths) - lengths + lead
-        self.size = lengths - lead
-        ids = np.concatenate(chunks) if chunks else np.empty(0, np.int64)
-        inside = np.arange(len(ids)) - np.repeat(self.start - lead, lengths)
-        words = np.fromiter(
-            (xxhash.xxh3_64_intdigest(w) for w in numbers), np.uint64, len(numbers)
-        )
-        places = np.unique(ids, return_index=True)[1]
+        lead = self.order - 1
+        found, sizes, distinct = _words([p.before + b" " + p.text for p in self.pieces])
+        had = np.array([len(p.before.split()) for p in self.pieces], np.int64)
+        last = np.array([p.last for p in self.pieces], bool)
+        lengths = lead - had + sizes + last
+        begin = np.cumsum(lengths) - lengths
+        self.start, self.size = begin + lead, lengths - lead
+        ids = np.full(lengths.sum(), len(distinct), np.int64)
+        inside = np.arange(len(ids)) - np.repeat(begin, lengths)
+        pads = np.repeat(lead - had, sizes)
+        ids[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + pads + np.arange(len(found))] = found
+        ids[(begin + lengths - 1)[last]] = len(distinct) + 1
+        words = np.concatenate([_word_hashes(distinct), [START, END]])
+        # Every word is a unigram, and so are the two marks, which may stand nowhere.
+        places = np.zeros(len(words), np.int64)
+        places[ids] = np.arange(len(ids))
         self.levels = [Grams(ids.astype(np.int32), np.zeros(len(words), np.int32), places, words)]
         for length in range(2, self.order + 1):
             shorter = self.levels[-1]
             ends = np.flatnonzero(inside >= length - 1)
             codes = (shorter.at[ends - 1].astype(np.int64) << 32) | ids[ends]
-            found, place, number = np.unique(codes, return_index=True, return_inverse=True)
+            found, place, number = _distinct(codes)
             at = np.full(len(ids), -1, np.int32)
             at[ends] = number
             history = (found >> 32).astype(np.int32)
-            last = words[found & 0xFFFFFFFF]
             hashes = _mixed(
-                shorter.hashes[history] * np.uint64(0x9E3779B97F4A7C15) + last + np.uint64(length)
+                shorter.hashes[history] * np.uint64(0x9E3779B97F4A7C15)
+                + words[found & 0xFFFFFFFF]
+                + np.uint64(length)
             )
             self.levels.append(Grams(at, history, ends[place], hashes))
 
@@ -240,7 +277,7 @@ def _keyed(block: Block, ranges: int, bits: int) -> Iterator[tuple[int, np.ndarr
         (1, block.levels[0].hashes),
         (2, np.concatenate([np.empty(0, np.uint64), *(g.hashes for g in block.levels[1:])])),
     ):
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         hashes = hashes[order]
         owner = ((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
         borders = np.searchsorted(owner, np.arange(ranges + 1, dtype=np.uint64))
@@ -309,7 +346,7 @@ def _totals(to: int, kind: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple
     keys, counts = zip(*(_read_counts(payload) for _, payload in rows))
     ends = np.cumsum([len(k) for k in keys])
     joined = np.concatenate(keys)
-    order = np.argsort(joined, kind="stable")
+    order = np.argsort(joined)
     sorted_keys = joined[order]
     starts = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
     sums = np.add.reduceat(np.concatenate(counts)[order], starts)
@@ -317,7 +354,7 @@ def _totals(to: int, kind: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple
     total[order] = np.repeat(sums, np.diff(np.r_[starts, len(joined)]))
     tokens = distinct = 0
     if kind == 1:
-        word = sorted_keys[starts] != np.uint64(xxhash.xxh3_64_intdigest(START))
+        word = sorted_keys[starts] != START
         tokens, distinct = int(sums[word].sum()), int(np.count_nonzero(sums[word]))
     for (block, _), own, end in zip(rows, keys, ends.tolist()):
         answer = _squeezed(_packed(total[end - len(own) : end]))
@@ -537,7 +574,7 @@ def score_texts(
     )
     size = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 16)).first()[0] or 0
     order, ranges = smoothing.order, 1 + size // RANGE_BYTES
-    bits = min(64, SPARE_BITS + math.ceil(math.log2(size + 2)))
+    bits = min(64, SPARE_BITS + math.ceil(math.log2(size / 4 + 2)))
     answers = written(
         rows.mapInArrow(
             partial(_count_batches, order=order, ranges=ranges, bits=bits), _COUNTS_DDL

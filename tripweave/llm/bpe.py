@@ -15,7 +15,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -171,7 +171,9 @@ class Codec:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self._library = None
-        self._met: dict[str, bytes] = {}  # plain: sets are compared with it at native speed
+        # Words met of late and those met before; plain: sets are compared at native speed.
+        self._met: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
         self.word_ids = _Ids(vocab)
         self.special = {s: struct.pack("<I", i) for s, i in vocab.special.items()}
 
@@ -192,24 +194,46 @@ class Codec:
             self._library.no_padding()
         return self._library
 
-    def met(self, words: list[str], most: int) -> dict[str, bytes]:
-        """word -> ids, for at least these words, by the library; of up to ``most`` words."""
-        new = set(words).difference(self._met)
-        if new:
-            if len(self._met) + len(new) > most:
-                self._met.clear()
-                new = set(words)
-            self._encode_new(list(new))
+    def met(self, words: Iterable[str], most: int) -> dict[str, bytes]:
+        """word -> ids, for at least these words, by the library; of up to ``most`` words, where
+        these are not more. When memory fills, words not met since it last did are dropped."""
+        wanted = words if isinstance(words, set) else set(words)
+        missing = wanted.difference(self._met)
+        if missing:
+            if len(self._met) + len(missing) > most // 2:
+                self._before, self._met, missing = self._met, {}, wanted
+            again = missing.intersection(self._before)
+            self._met.update((word, self._before[word]) for word in again)
+            self._encode_new(list(missing.difference(again)))
         return self._met
 
+    def encode_many(self, texts: list[str], most: int) -> list[bytes]:
+        """Whole texts as little-endian 32-bit ids; words not met before by one library call."""
+        parts = [
+            [self.special[part] if special else words_of(part) for special, part in self.vocab.parts(text)]
+            for text in texts
+        ]
+        words: set[str] = set()
+        for own in parts:
+            for part in own:
+                if isinstance(part, list):
+                    words.update(part)
+        ids = self.met(words, most).__getitem__
+        return [
+            b"".join(b"".join(map(ids, part)) if isinstance(part, list) else part for part in own)
+            for own in parts
+        ]
+
     def _encode_new(self, words: list[str]) -> None:
         """Many words in one call: the last id of each is known from its end-of-word mark."""
-        encode = self.library().encode
-        ids = np.array(encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        if not words:
+            return
+        encode = self.library().encode_batch_fast  # ids alone, no offsets
+        ids = np.array(encode([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.vocab.word_end[ids]) + 1
         if len(ends) != len(words):
             for word in words:
-                one = encode(word, add_special_tokens=False).ids
+                one = encode([word], add_special_tokens=False)[0].ids
                 self._met[word] = np.array(one, "<u4").tobytes()
             return
         raw, start = ids.tobytes(), 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.bpe import broadcast_file, codec, words_of
+from tripweave.llm.bpe import FLUSH_CHARS, broadcast_file, codec
 from tripweave.llm.common import written
 
 #: Words a Python worker remembers before it starts afresh (about 80 MB).
@@ -197,31 +197,28 @@ def _piece_batches(
     coder = codec(file.value)
     end = np.array([end_id], "<u4").tobytes()
 
-    def encoded(text: str) -> bytes:
-        found = []
-        for special, part in coder.vocab.parts(text):
-            if special:
-                found.append(coder.special[part])
-            else:
-                words = words_of(part)
-                found.append(b"".join(map(coder.met(words, MEMO_WORDS).__getitem__, words)))
-        return b"".join(found) + end
+    def groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+        names, texts, chars = [], [], 0
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            names.append(doc_id.as_py())
+            texts.append(text.as_py() or "")
+            chars += len(texts[-1])
+            if chars > FLUSH_CHARS:
+                yield names, texts
+                names, texts, chars = [], [], 0
+        yield names, texts
 
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            ids = encoded(text.as_py() or "")
-            name = doc_id.as_py()
-            for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                part = ids[start : start + 4 * capacity]
-                rows.append(
-                    (name, piece, start // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)
-                )
-            if len(rows) >= 2000:
+        for names, texts in groups(batch):
+            rows = []
+            for name, ids in zip(names, coder.encode_many(texts, MEMO_WORDS)):
+                ids += end
+                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[start : start + 4 * capacity]
+                    own = part if with_ids else None
+                    rows.append((name, piece, start // 4, len(part) // 4, zlib.crc32(part), own))
+            if rows:
                 yield _piece_batch(rows)
-                rows = []
-        if rows:
-            yield _piece_batch(rows)
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -10,9 +10,9 @@ equal (pigeonhole), and enough more that it is not an empty one. Equal segments
 key; nothing similar is lost.
 
 The rest is about what is not similar: identical sets are one node; each key links its members
-to one leader of the key first; only members that are then still in different components are
-compared block by block on their whole sketches, inside tasks and without a row per pair; what
-the sketches leave is verified on the sets themselves.
+to one leader of the key first; only keys whose members are then not all under one label are
+compared block by block, inside tasks. A block holds its members' sets: it tries whole sketches,
+verifies what they leave on the sets, and returns a forest of true links, never a row for a pair.
 """
 
 from __future__ import annotations
@@ -259,24 +259,45 @@ def _near_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
 
 
 def _compare_block(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Pairs of a block that are in different components and near by their sketches.
+    """True links between members of a block that have different labels, one for each two
+    groups that they join.
 
-    A row is (side, node, component, size, sketch); with two sides only pairs across them.
+    A row is (side, node, label, set); with two sides only pairs across them are tried. Groups
+    that a link has joined are one, so copies cost one comparison each.
     """
-    words = min(len(row[4]) for row in rows) // 8
-    sketches = np.stack([_folded(np.frombuffer(row[4], np.uint64), words) for row in rows])
-    side, node, component, size = (np.array([row[i] for row in rows], np.int64) for i in range(4))
+    sets = [np.frombuffer(row[3], np.uint64) for row in rows]
+    sketches = [_sketch(one) for one in sets]
+    words = min(map(len, sketches))
+    sketches = np.stack([_folded(one, words) for one in sketches])
+    side, node = (np.array([row[i] for row in rows], np.int64) for i in range(2))
+    size = np.array([len(one) for one in sets], np.int64)
+    group = np.unique([row[2] for row in rows], return_inverse=True)[1]
+    # Shingles by number, so that a set is a few marks and an intersection a look at them.
+    found, number = np.unique(np.concatenate(sets), return_inverse=True)
+    end = np.cumsum(size)
+    marks = np.zeros(len(found), bool)
     two_sides = side.min() != side.max()
-    pairs = []
+    links = []
     for at in range(len(rows) - 1):
         # Rows are sorted by side, so with two sides the others start behind this side.
         start = int(np.searchsorted(side, side[at], "right")) if two_sides else at + 1
-        others = start + np.flatnonzero(component[start:] != component[at])
-        if len(others):
-            apart = np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64)
-            near = others[apart <= _bound(size[others], size[at], percent)]
-            pairs += [(min(node[at], x), max(node[at], x)) for x in node[near]]
-    return pairs
+        others = start + np.flatnonzero(group[start:] != group[at])
+        if not len(others):
+            continue
+        apart = np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64)
+        near = others[apart <= _bound(size[others], size[at], percent)]
+        if not len(near):
+            continue
+        own = number[end[at] - size[at] : end[at]]
+        marks[own] = True
+        held = marks[np.concatenate([number[end[x] - size[x] : end[x]] for x in near])]
+        common = np.add.reduceat(held.astype(np.int64), np.cumsum(size[near]) - size[near])
+        marks[own] = False
+        for x in near[100 * common >= percent * (size[near] + size[at] - common)]:
+            if group[x] != group[at]:
+                links.append((int(min(node[at], node[x])), int(max(node[at], node[x]))))
+                group[group == group[x]] = group[at]
+    return links
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -304,14 +325,19 @@ def _block_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
     yield emit()
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``node, shingles`` of the documents of some ids, made anew from their texts."""
+    texts = among(docs.where("doc_id is not null"), ids, "doc_id")
+    return texts.mapInArrow(
+        partial(_set_batches, width=width), "node long, shingles binary"
+    ).dropDuplicates(["node"])
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets, made anew from the texts, reach the threshold."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = written(ends.select(F.col("node").alias("doc_id")), "ngram-ids")
-    texts = among(docs.where("doc_id is not null"), ids, "doc_id")
-    sets = texts.mapInArrow(
-        partial(_set_batches, width=width), "node long, shingles binary"
-    ).dropDuplicates(["node"])
+    sets = _sets_of(docs, ids, width)
     rows = (
         pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
         .select("a", "b", "left", "right")
@@ -352,64 +378,66 @@ def _one_key_per_set(members: DataFrame) -> DataFrame:
 
 
 def _near(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
-    sizes, sketches = active.select("node", "size"), active.select("node", "sketch")
-    fitting = (
-        pairs.join(sizes.toDF("a", "a_size"), "a")
-        .join(sizes.toDF("b", "b_size"), "b")
-        .where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
-    )
+    own = active.select("node", "size", "sketch")
     rows = (
-        fitting.join(sketches.toDF("a", "a_sketch"), "a")
-        .join(sketches.toDF("b", "b_sketch"), "b")
+        pairs.join(own.toDF("a", "a_size", "a_sketch"), "a")
+        .join(own.toDF("b", "b_size", "b_sketch"), "b")
+        .where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
         .select("a", "b", "a_size", "b_size", "a_sketch", "b_sketch")
     )
     return rows.mapInArrow(partial(_near_batches, percent=percent), "a long, b long")
 
 
-def _open_pairs(
-    members: DataFrame, active: DataFrame, merged: DataFrame, percent: int, block: int
+def _labels(links: DataFrame) -> DataFrame:
+    """``node, label`` of linked nodes: the smallest of a node and those it is linked with. Nodes
+    of one label are in one component; that the reverse need not hold costs comparisons only."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+
+
+def _block_links(
+    docs: DataFrame, members: DataFrame, labels: DataFrame, width: int, percent: int, block: int
 ) -> DataFrame:
-    """Pairs of one key that the links so far leave in different components, near by sketch.
+    """Links between members of one key that have different labels.
 
     A key with more members than a block is cut into chunks by a hash of the node, and every
     two chunks meet in one block of their own: tasks stay bounded and no pair is left out.
     """
-    placed = members.join(merged, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
+    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     keys = (
         placed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("members"),
-            F.min("component").alias("first"),
-            F.max("component").alias("last"),
+            F.min("label").alias("first"),
+            F.max("label").alias("last"),
         )
         .where("first != last")
         .select("key", F.ceil(F.col("members") / block).cast("int").alias("chunks"))
     )
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = (
-        placed.join(keys, "key")
-        .withColumn("chunk", chunk)
+    rows = written(
+        placed.join(keys, "key").select("key", "node", "label", "chunks", chunk.alias("chunk")),
+        "ngram-open",
+    )
+    ids = written(rows.select(F.col("node").alias("doc_id")).distinct(), "ngram-ids")
+    met = (
+        rows.join(_sets_of(docs, ids, width), "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .join(active, "node")
         .select(
             "key",
             F.least("chunk", "other").alias("i"),
             F.greatest("chunk", "other").alias("j"),
             F.col("chunk").alias("side"),
             "node",
-            "component",
-            "size",
-            "sketch",
+            "label",
+            "shingles",
         )
     )
-    near = (
-        rows.repartition("key", "i", "j")
+    return (
+        met.repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side")
         .mapInArrow(partial(_block_batches, percent=percent), "a long, b long")
     )
-    return near.distinct()
 
 
 def ngram_classes(
@@ -455,11 +483,10 @@ def ngram_classes(
     )
     keys = parts.where("part != 0 or all").select(F.xxhash64("band", "at", "part").alias("key"), "print_a")
     # Keys meet by one shuffle; a set goes by its print there, so that its copies are one.
-    shared = written(
+    shared = (
         keys.repartition("key")
         .sortWithinPartitions("key", "print_a")
-        .mapInArrow(_shared_batches, "key long, print_a long"),
-        "ngram-shared",
+        .mapInArrow(_shared_batches, "key long, print_a long")
     )
     members = written(
         shared.join(nodes.select("print_a", "node"), "print_a").select("key", "node").distinct(),
@@ -478,13 +505,8 @@ def ngram_classes(
     )
     led = written(_leader_pairs(members, active, percent), "ngram-pairs")
     links = _verified(docs, led, width, percent)
-    merged = components(links, "a", "b").toDF("node", "component")
-    rest = written(
-        _open_pairs(members, active, merged, percent, block).join(led, ["a", "b"], "left_anti"),
-        "ngram-pairs",
-    )
-    links = links.unionByName(_verified(docs, rest, width, percent))
-    merged = components(links, "a", "b").toDF("node", "component")
+    more = _block_links(docs, members, _labels(links), width, percent, block)
+    merged = components(links.unionByName(more), "a", "b").toDF("node", "component")
     labels = nodes.join(merged, "node", "left").select(
         "size", "print_a", "print_b", F.coalesce("component", "node").alias("component")
     )

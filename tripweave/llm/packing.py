@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from tripweave.llm.bpe import FLUSH_CHARS, broadcast_file, codec
 from tripweave.llm.common import written
 
-#: Words a Python worker remembers before it starts afresh (about 80 MB).
-MEMO_WORDS = 400_000
+#: Words a Python worker remembers before it drops those not met of late (about 160 MB).
+MEMO_WORDS = 800_000
 #: Slices that the pieces of one length are counted in, to rank them without sorting them all.
 SLICES = 4096
 

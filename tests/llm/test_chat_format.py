@@ -38,8 +38,9 @@ def folded_by_hand(events):
 def test_fold_equals_applying_events_in_order(spark):
     draw = random.Random(2)
     rows, expected = [], {}
-    for conv in range(30):
-        events, live, number = [], [], conv * 1000
+    # Every second conversation numbers its messages from 1; one has no id.
+    for conv in [*range(30), None]:
+        events, live, number = [], [], (conv or 0) % 2 * 1000
         for seq in range(draw.randrange(1, 25)):
             kind = draw.choice(["start", "start", "delta", "delta", "edit", "regenerate"]) if live else "start"
             if kind == "start":
@@ -61,6 +62,22 @@ def test_fold_equals_applying_events_in_order(spark):
     assert got == expected
 
 
+def test_messages_of_one_number_in_two_conversations(spark):
+    """An edit in one conversation takes nothing from the other."""
+    rows = [(c, n, 0, n, "start", "user", f"{c}{n}") for c in (1, 2) for n in (1, 2, 3)]
+    rows.append((1, 9, 0, 1, "edit", None, "new"))
+    got = chat_format.fold(spark.createDataFrame(rows, EVENTS))
+    assert got.columns == ["conv_id", "message", "at", "role", "text"]
+    assert sorted((r.conv_id, r.message, r.text) for r in got.collect()) == [
+        (1, 1, "new"), (2, 1, "21"), (2, 2, "22"), (2, 3, "23"),
+    ]
+
+
+def test_edited_log_of_given_conversations(spark):
+    name = "chat_log_folding"
+    assert compare(spark, duckdb_on(SF_DIR), SF_DIR, queries.QUERIES[name], queries.ORACLES[name]) == []
+
+
 def test_events_without_message_and_no_events(spark):
     rows = [(1, 0, 0, None, "delta", "user", "lost"), (1, 1, 0, 5, "delta", "user", "early")]
     got = chat_format.fold(spark.createDataFrame(rows, EVENTS)).collect()

@@ -92,14 +92,15 @@ def fold(events: DataFrame) -> DataFrame:
         F.array_join(F.transform(live, lambda p: p["text"]), "").alias("text"),
     )
     # A message is gone if a later reset goes back to a message before it. Only numbers of the
-    # conversations that have resets are sorted for this.
+    # conversations that have resets are sorted for this. Numbers are a conversation's own.
+    none = F.lit(None).cast("long")
     resets = events.where(reset).select("conv_id", "message", F.col("seq").alias("again"))
     starts = events.groupBy("conv_id", "message").agg(F.min("seq").alias("at"))
-    back = resets.join(starts, ["conv_id", "message"]).select(
-        "conv_id", F.col("again").alias("place"), F.col("at").alias("target"), F.lit(None).cast("long").alias("message")
+    back = _same(resets, starts, ["conv_id", "message"], "inner").select(
+        "conv_id", F.col("again").alias("place"), F.col("at").alias("target"), none.alias("message")
     )
-    marks = starts.join(resets.select("conv_id").distinct(), "conv_id", "left_semi").select(
-        "conv_id", F.col("at").alias("place"), F.lit(None).cast("long").alias("target"), "message"
+    marks = _same(starts, resets.select("conv_id").distinct(), ["conv_id"], "left_semi").select(
+        "conv_id", F.col("at").alias("place"), none.alias("target"), "message"
     )
     later = Window.partitionBy("conv_id").orderBy(F.col("place").desc()).rangeBetween(
         Window.unboundedPreceding, -1
@@ -108,9 +109,18 @@ def fold(events: DataFrame) -> DataFrame:
         marks.unionByName(back)
         .withColumn("oldest", F.min("target").over(later))
         .where("message is not null and oldest < place")
-        .select("message")
+        .select("conv_id", "message")
     )
-    return messages.join(gone, "message", "left_anti")
+    return _same(messages, gone, ["conv_id", "message"], "left_anti").select(
+        "conv_id", "message", "at", "role", "text"
+    )
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """A join on columns where NULL equals NULL; the left side's columns stay."""
+    other = right.withColumnsRenamed({name: f"_{name}" for name in columns})
+    alike = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in columns]
+    return left.join(other, alike, how).drop(*(f"_{name}" for name in columns))
 
 
 def render(messages: DataFrame) -> DataFrame:

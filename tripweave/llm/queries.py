@@ -107,6 +107,50 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.unionByName(control)))
 
 
+def chat_log_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final messages of the conversations as a log in which things were changed: of every
+    third conversation the first message was edited at the end, of every third the last one was
+    regenerated in two deltas, in the others nothing."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ends = turns.groupBy("conv_id").agg(
+        F.min("turn").cast("long").alias("first"), F.max("turn").cast("long").alias("last")
+    )
+    kind = F.pmod("conv_id", F.lit(3))
+    changed = F.when(kind == 0, F.col("first")).when(kind == 1, F.col("last"))
+    reset = F.when(kind == 0, "edit").otherwise("regenerate")
+    empty = F.lit(None).cast("string")
+
+    def event(part: int, number, action, role, text):
+        return F.struct(
+            F.lit(part).cast("long").alias("part"), number.cast("long").alias("message"),
+            action.alias("kind"), role.alias("role"), text.alias("text"),
+        )
+
+    sent = turns.select(
+        "conv_id",
+        F.col("turn").cast("long").alias("seq"),
+        F.inline(
+            F.array(
+                event(0, F.col("turn"), F.lit("start"), F.col("role"), empty),
+                event(1, F.col("turn"), F.lit("delta"), empty, F.col("text")),
+            )
+        ),
+    )
+    later = ends.where(kind < 2).select(
+        "conv_id",
+        (F.col("last") + 1).alias("seq"),
+        F.inline(
+            F.array(
+                event(0, changed, reset, empty, F.lit("changed")),
+                event(1, changed, F.lit("delta"), empty, F.when(kind == 1, " once more")),
+            )
+        ),
+    )
+    return chat_format.fold(sent.unionByName(later)).select(
+        "conv_id", "message", "role", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_duplicates(table(spark, sf_dir, "documents"))
 
@@ -154,6 +198,7 @@ QUERIES = {
     "op7_bpe_codec": op7_bpe_codec,
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
+    "chat_log_folding": chat_log_folding,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_lm_scoring": op11_lm_scoring,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
@@ -244,6 +289,18 @@ ORACLES = {
                                     '</turn>', '<\/turn>'))) as bigint) as formatted_chars
         from turns group by conv_id
     """,
+    "chat_log_folding": """
+        with ends as (
+            select conv_id, min(turn) as first, max(turn) as last, (conv_id % 3 + 3) % 3 as kind
+            from conversations group by conv_id
+        )
+        select conv_id, cast(turn as bigint) as message, role,
+               sha256(case when kind = 0 then 'changed'
+                           when kind = 1 and turn = last then 'changed once more'
+                           else coalesce(text, '') end) as text_sha256
+        from conversations join ends using (conv_id)
+        where kind != 0 or turn = first
+    """,
     "op10_exact_dedup": r"""
         with normal as (
             select doc_id, length(coalesce(text, '')) as points,

@@ -122,7 +122,7 @@ def test_letters_of_far_planes_are_learned_ones():
     adlam = "".join(map(chr, range(0x1E922, 0x1E944)))
     languages = language_id.Languages({"a": "abc def", "ff": f"{adlam} {adlam[::-1]}"})
     texts = [languages.encoded(t) for t in (f"{adlam[3:20]} \U0001F600 {adlam[:9]}", adlam[5:].upper(), "\U00010330\U00010331")]
-    assert [name for name, _ in languages.predict(texts)[:2]] == ["ff", "ff"]
+    assert [name for name, *_ in languages.predict(texts)[:2]] == ["ff", "ff"]
     assert 0 not in texts[0] and 0 not in texts[1] and set(texts[2]) == {0}
 
 

@@ -40,9 +40,32 @@ def test_quality_stage_drops_bad_and_keeps_good(spark, stages):
     assert bad.join(after, "doc_id", "left_semi").count() <= 0.05 * bad.count()
 
 
-def test_language_stage_keeps_all_texts_with_letters(stages):
+def test_language_stage_keeps_the_languages_that_it_knows(stages):
+    """All texts are in the four languages; single words may be too short to tell."""
     _, before, after = stages[1]
-    assert after.count() == before.where("text rlike '\\\\p{L}'").count()
+    dropped = before.join(after, "doc_id", "left_anti").collect()
+    assert all(sum(map(str.isalpha, r.text or "")) < 6 for r in dropped)
+    assert before.where("text rlike '\\p{L}{6}'").join(after, "doc_id", "left_anti").count() == 0
+
+
+# The same sentence in languages of none of the given documents.
+STRANGE = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+    "Все люди рождаются свободными и равными в своём достоинстве и правах.",
+]
+
+
+def test_language_stage_drops_other_languages(spark):
+    docs = table(spark, SF_DIR, "documents")
+    rows = [(10**9 + i, text, None, "x", 0) for i, text in enumerate([*STRANGE, "", None, "1 ."])]
+    some = docs.where("doc_id < 50")
+    more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.language_stage(spark, more, SF_DIR)
+    assert kept.where("doc_id >= 1000000000").count() == 0
+    assert kept.join(some, "doc_id", "left_semi").count() == some.where("text rlike '\\p{L}{6}'").count()
 
 
 def test_exact_stage_keeps_one_of_each(stages):

@@ -59,9 +59,33 @@ def variants(seed: int) -> dict[int, str]:
 def test_all_links_between_variants(spark, width, percent):
     texts = variants(width)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    # Blocks of three rows: groups are cut and every two chunks still meet.
-    got = ngram_join.ngram_classes(docs, width=width, percent=percent, block=3)
-    assert found(got) == brute(texts, width, percent)
+    # Blocks of three rows: groups are cut and every two chunks still meet, as pairs or inside.
+    for most in (0, 4):
+        got = ngram_join.ngram_classes(docs, width=width, percent=percent, block=3, pairs_a_member=most)
+        assert found(got) == brute(texts, width, percent)
+
+
+def family(size, words=120, changed=5, seed=3):
+    """Texts of one origin, each with a few words changed: most pairs are just below 0.9."""
+    import random
+
+    rng = random.Random(seed)
+    origin = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    for at in range(size):
+        text = origin[:]
+        for place in rng.sample(range(words), rng.randrange(changed)):
+            text[place] = f"x{rng.randrange(10**6)}"
+        yield at, " ".join(text)
+
+
+def test_a_dense_family_gives_no_row_for_a_pair(spark):
+    texts = dict(family(150))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = [ngram_join.shingles(t.encode(), 3) for t in texts.values()]
+    rows = [(0, at, at, len(s), ngram_join._sketch(s).tobytes()) for at, s in enumerate(sets)]
+    tried = ngram_join._tried_block((1, 0, 0), rows, 90, 4)
+    assert len(tried) <= len(rows) and all(row[4] is None for row in tried)
+    assert found(ngram_join.ngram_classes(docs, width=3, percent=90)) == brute(texts, 3, 90)
 
 
 def test_given_documents(spark):

@@ -11,8 +11,9 @@ key; nothing similar is lost.
 
 The rest is about what is not similar: identical sets are one node; each key links its members
 to one leader of the key first; only keys whose members are then not all under one label are
-compared block by block, inside tasks. A block holds its members' sets: it tries whole sketches,
-verifies what they leave on the sets, and returns a forest of true links, never a row for a pair.
+compared block by block, inside tasks, on whole sketches. A block in which few pairs are near
+returns these pairs, at most a few for each member, to be verified on the sets themselves; a
+dense block gets its members' sets, verifies inside and returns a forest of true links.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from tripweave.llm.components import components
 MEMO_WORDS = 400_000
 #: Rows of one side of a block of members that are compared inside one task.
 BLOCK = 2048
+#: Near pairs for each member that a block returns as rows; with more it is a dense one.
+PAIRS_A_MEMBER = 4
 #: Sketch bits per shingle (rounded up to a power of two).
 BITS = 4
 
@@ -258,36 +261,55 @@ def _near_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _compare_block(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """True links between members of a block that have different labels, one for each two
-    groups that they join.
-
-    A row is (side, node, label, set); with two sides only pairs across them are tried. Groups
-    that a link has joined are one, so copies cost one comparison each.
-    """
-    sets = [np.frombuffer(row[3], np.uint64) for row in rows]
-    sketches = [_sketch(one) for one in sets]
+def _near_in_block(rows: list[tuple], sketches: list[np.ndarray], percent: int):
+    """For each row of a block the later rows of other groups that are near by sketch. The caller
+    may join groups meanwhile: ``group`` is read anew for every row."""
     words = min(map(len, sketches))
     sketches = np.stack([_folded(one, words) for one in sketches])
-    side, node = (np.array([row[i] for row in rows], np.int64) for i in range(2))
-    size = np.array([len(one) for one in sets], np.int64)
+    side = np.array([row[0] for row in rows], np.int64)
+    size = np.array([row[3] for row in rows], np.int64)
     group = np.unique([row[2] for row in rows], return_inverse=True)[1]
-    # Shingles by number, so that a set is a few marks and an intersection a look at them.
-    found, number = np.unique(np.concatenate(sets), return_inverse=True)
-    end = np.cumsum(size)
-    marks = np.zeros(len(found), bool)
     two_sides = side.min() != side.max()
-    links = []
     for at in range(len(rows) - 1):
         # Rows are sorted by side, so with two sides the others start behind this side.
         start = int(np.searchsorted(side, side[at], "right")) if two_sides else at + 1
         others = start + np.flatnonzero(group[start:] != group[at])
-        if not len(others):
-            continue
-        apart = np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64)
-        near = others[apart <= _bound(size[others], size[at], percent)]
-        if not len(near):
-            continue
+        if len(others):
+            apart = np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64)
+            near = others[apart <= _bound(size[others], size[at], percent)]
+            if len(near):
+                yield at, near, group
+
+
+def _tried_block(block: tuple, rows: list[tuple], percent: int, most: int) -> list[tuple]:
+    """A block's near pairs, ``(None, None, None, a, b)``, or, if it is a dense one, its members
+    that are in any, ``(key, i, j, node, None)``. A row is (side, node, label, size, sketch)."""
+    pairs, members = [], np.zeros(len(rows), bool)
+    few = most * len(rows)
+    sketches = [np.frombuffer(row[4], np.uint64) for row in rows]
+    for at, near, _ in _near_in_block(rows, sketches, percent):
+        members[at] = True
+        members[near] = True
+        if len(pairs) <= few:
+            pairs += [(at, x) for x in near.tolist()]
+    if len(pairs) <= few:
+        ends = ((rows[x][1], rows[y][1]) for x, y in pairs)
+        return [(None, None, None, min(two), max(two)) for two in ends]
+    return [(*block, rows[x][1], None) for x in np.flatnonzero(members).tolist()]
+
+
+def _dense_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """True links between members of a block that have different labels, one for each two groups
+    that they join. A row is (side, node, label, size, set). Groups that a link has joined are
+    one, so copies cost one comparison each."""
+    sets = [np.frombuffer(row[4], np.uint64) for row in rows]
+    size = np.array([len(one) for one in sets], np.int64)
+    # Shingles by number, so that a set is a few marks and an intersection a look at them.
+    found, number = np.unique(np.concatenate(sets), return_inverse=True)
+    end = np.cumsum(size)
+    marks = np.zeros(len(found), bool)
+    links = []
+    for at, near, group in _near_in_block(rows, [_sketch(one) for one in sets], percent):
         own = number[end[at] - size[at] : end[at]]
         marks[own] = True
         held = marks[np.concatenate([number[end[x] - size[x] : end[x]] for x in near])]
@@ -295,34 +317,42 @@ def _compare_block(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
         marks[own] = False
         for x in near[100 * common >= percent * (size[near] + size[at] - common)]:
             if group[x] != group[at]:
-                links.append((int(min(node[at], node[x])), int(max(node[at], node[x]))))
+                links.append((min(rows[at][1], rows[x][1]), max(rows[at][1], rows[x][1])))
                 group[group == group[x]] = group[at]
     return links
 
 
-def _block_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
     """Rows come sorted by block (key, i, j) and side; a block is at most two chunks."""
-    block, rows, found = None, [], set()
-
-    def emit() -> pa.RecordBatch:
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-        )
-
+    block, rows = None, []
     for batch in batches:
         for key, i, j, *row in zip(*(column.to_pylist() for column in batch.columns)):
             if (key, i, j) != block:
                 if len(rows) > 1:
-                    found.update(_compare_block(rows, percent))
+                    yield block, rows
                 block, rows = (key, i, j), []
-                if len(found) > 100_000:
-                    yield emit()
-                    found.clear()
-            rows.append(row)
+            rows.append(tuple(row))
     if len(rows) > 1:
-        found.update(_compare_block(rows, percent))
-    yield emit()
+        yield block, rows
+
+
+_TRIED = pa.schema([(name, pa.int64()) for name in ("key", "i", "j", "a", "b")])
+
+
+def _tried_batches(
+    batches: Iterator[pa.RecordBatch], percent: int, most: int
+) -> Iterator[pa.RecordBatch]:
+    for block, rows in _by_block(batches):
+        found = _tried_block(block, rows, percent, most)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=_TRIED)
+
+
+def _dense_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for _, rows in _by_block(batches):
+        links = _dense_links(rows, percent)
+        a, b = zip(*links) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -389,15 +419,28 @@ def _near(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """``node, label`` of linked nodes: the smallest of a node and those it is linked with. Nodes
-    of one label are in one component; that the reverse need not hold costs comparisons only."""
+    """``node, label`` of linked nodes: the smallest node at most two links away. Nodes of one
+    label are in one component; that the reverse need not hold costs comparisons only."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    further = both.join(nearest.toDF("b", "beyond"), "b").groupBy("a").agg(F.min("beyond").alias("beyond"))
+    return nearest.join(further, "a").select(
+        F.col("a").alias("node"), F.least("label", "beyond").alias("label")
+    )
 
 
-def _block_links(
-    docs: DataFrame, members: DataFrame, labels: DataFrame, width: int, percent: int, block: int
-) -> DataFrame:
+def _blocks_of(rows: DataFrame, payload: str) -> DataFrame:
+    return (
+        rows.select("key", "i", "j", "side", "node", "label", "size", payload)
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "side")
+    )
+
+
+def _open_links(
+    docs: DataFrame, members: DataFrame, active: DataFrame, labels: DataFrame,
+    led: DataFrame, width: int, percent: int, block: int, most: int,
+) -> DataFrame:
     """Links between members of one key that have different labels.
 
     A key with more members than a block is cut into chunks by a hash of the node, and every
@@ -415,29 +458,31 @@ def _block_links(
         .select("key", F.ceil(F.col("members") / block).cast("int").alias("chunks"))
     )
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = written(
-        placed.join(keys, "key").select("key", "node", "label", "chunks", chunk.alias("chunk")),
-        "ngram-open",
-    )
-    ids = written(rows.select(F.col("node").alias("doc_id")).distinct(), "ngram-ids")
-    met = (
-        rows.join(_sets_of(docs, ids, width), "node")
+    rows = (
+        placed.join(keys, "key")
+        .withColumn("side", chunk)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "key",
-            F.least("chunk", "other").alias("i"),
-            F.greatest("chunk", "other").alias("j"),
-            F.col("chunk").alias("side"),
-            "node",
-            "label",
-            "shingles",
-        )
+        .withColumn("i", F.least("side", "other"))
+        .withColumn("j", F.greatest("side", "other"))
     )
-    return (
-        met.repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "side")
-        .mapInArrow(partial(_block_batches, percent=percent), "a long, b long")
+    tried = written(
+        _blocks_of(rows.join(active, "node"), "sketch").mapInArrow(
+            partial(_tried_batches, percent=percent, most=most), "key long, i long, j long, a long, b long"
+        ),
+        "ngram-tried",
     )
+    pairs = tried.where("b is not null").select("a", "b").distinct().join(led, ["a", "b"], "left_anti")
+    dense = tried.where("b is null").select("key", "i", "j", F.col("a").alias("node"))
+    links = _verified(docs, written(pairs, "ngram-pairs"), width, percent)
+    if dense.isEmpty():
+        return links
+    ids = written(dense.select(F.col("node").alias("doc_id")).distinct(), "ngram-ids")
+    sets = _sets_of(docs, ids, width).withColumn("size", F.length("shingles") / 8)
+    own = rows.select("key", "i", "j", "side", "node", "label").join(dense, ["key", "i", "j", "node"])
+    more = _blocks_of(own.join(sets, "node"), "shingles").mapInArrow(
+        partial(_dense_batches, percent=percent), "a long, b long"
+    )
+    return links.unionByName(more)
 
 
 def ngram_classes(
@@ -447,6 +492,7 @@ def ngram_classes(
     width: int = 5,
     percent: int = 80,
     block: int = BLOCK,
+    pairs_a_member: int = PAIRS_A_MEMBER,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
@@ -505,7 +551,9 @@ def ngram_classes(
     )
     led = written(_leader_pairs(members, active, percent), "ngram-pairs")
     links = _verified(docs, led, width, percent)
-    more = _block_links(docs, members, _labels(links), width, percent, block)
+    more = _open_links(
+        docs, members, active, _labels(links), led, width, percent, block, pairs_a_member
+    )
     merged = components(links.unionByName(more), "a", "b").toDF("node", "component")
     labels = nodes.join(merged, "node", "left").select(
         "size", "print_a", "print_b", F.coalesce("component", "node").alias("component")

@@ -44,7 +44,7 @@ def _latin(category: str) -> str:
 
 
 def _word_pattern(letter: str, number: str):
-    return f"{CONTRACTIONS}|[{letter}]+|[{number}]|[^{SPACE}{letter}{number}]+"
+    return f"[{letter}]+|{CONTRACTIONS}|[{number}]|[^{SPACE}{letter}{number}]+"
 
 
 _LATIN_WORDS = re.compile(_word_pattern(_latin("L"), _latin("N")))
@@ -213,16 +213,29 @@ class Codec:
             [self.special[part] if special else words_of(part) for special, part in self.vocab.parts(text)]
             for text in texts
         ]
-        words: set[str] = set()
+        known, missing, found = self._met.get, set(), []
         for own in parts:
             for part in own:
                 if isinstance(part, list):
-                    words.update(part)
-        ids = self.met(words, most).__getitem__
-        return [
-            b"".join(b"".join(map(ids, part)) if isinstance(part, list) else part for part in own)
-            for own in parts
-        ]
+                    ids = list(map(known, part))
+                    if None in ids:
+                        missing.update(word for word, one in zip(part, ids) if one is None)
+                    found.append(ids)
+        now = self.met(missing, most).__getitem__
+        each = iter(found)
+        out = []
+        for own in parts:
+            blobs = []
+            for part in own:
+                if isinstance(part, list):
+                    ids = next(each)
+                    if None in ids:
+                        ids = [now(word) if one is None else one for word, one in zip(part, ids)]
+                    blobs += ids
+                else:
+                    blobs.append(part)
+            out.append(b"".join(blobs))
+        return out
 
     def _encode_new(self, words: list[str]) -> None:
         """Many words in one call: the last id of each is known from its end-of-word mark."""

@@ -276,6 +276,18 @@ def test_a_batch_reads_only_the_days_it_asks_for(spark, lake):
     assert lake.read_days(spark, "silver", ["2020-01-01"]).count() == 0
     assert lake.read_days(spark, "silver", []).count() == 0
     assert set(lake.read_days(spark, "silver", []).columns) == set(lake.read(spark, "silver").columns)
+    # A batch is found by its own directory.
+    one = lake.read_batches(spark, "silver", [1, 7])
+    assert {path.split("batch_id=")[1].split("/")[0] for path in one.inputFiles()} == {"1"} and one.count() == 12
+
+
+def test_a_lost_table_is_not_an_empty_one(spark, lake):
+    for table in ("silver", "bronze"):
+        gone = Lake(lake.base + "-elsewhere")
+        with pytest.raises(Exception):
+            gone.read_batches(spark, table, [0]).collect()
+    with pytest.raises(Exception):
+        Lake(lake.base + "-elsewhere").read_days(spark, "silver", ["2018-05-02"]).collect()
 
 
 def test_partition_values(spark):

@@ -110,6 +110,69 @@ def test_quoted_line_breaks_when_asked_for(spark, tmp_path):
     assert [(r.row_number, r.region) for r in rows] == [(1, "two\nlines"), (2, "Prague")]
 
 
+def test_quoted_breaks_in_files_cut_anywhere(spark, tmp_path):
+    """Against Python's reader, over many small blocks, each file with its own header."""
+    import csv
+    import random
+
+    rng = random.Random(5)
+    folder = tmp_path / "cut"
+    folder.mkdir()
+    columns = ["region", "origin_coord", "destination_coord", "datetime", "datasource"]
+    expected = {}
+    for number in range(3):
+        order = columns[:]
+        rng.shuffle(order)
+        rows = []
+        for i in range(400):
+            text = rng.choice(["plain", "a,b", 'say ""', "two\nlines", '\n\n"x"\n', "", "end\n", " \n ,\n", "é\u2028ü", "cr\r\nlf"])
+            rows.append({"region": f"{text}{i}" if text or i % 3 else "", "origin_coord": f"POINT ({i} 1)", "datasource": rng.choice(["s", 's"q"', "t\n\nu"])} | {"destination_coord": "d" * rng.randrange(30), "datetime": "2018"})
+        with open(folder / f"{number}.csv", "w", newline="", encoding="utf-8") as file:
+            out = csv.DictWriter(file, order, lineterminator=rng.choice(["\n", "\r\n"]))
+            out.writeheader()
+            for at, row in enumerate(rows):
+                out.writerow(row)
+                if at % 50 == 0:
+                    file.write("\n")
+        expected[f"{number}.csv"] = rows
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "701")
+    try:
+        read = read_uploads(spark, str(folder), multi_line=True)
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 60
+        got = {}
+        for r in read.collect():
+            own = got.setdefault(r.upload_file.rsplit("/", 1)[1], {})
+            assert r.row_number not in own
+            own[r.row_number] = {c: r[c] or "" for c in columns}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, rows in expected.items():
+        assert [got[name][i] for i in sorted(got[name])] == rows
+        assert sorted(got[name]) == list(range(1, len(rows) + 1))
+
+
+def test_an_empty_first_field_moves_nothing(spark, tmp_path):
+    path = write(tmp_path / "first", "a.csv", HEADER, GOOD.replace("Prague", ""), ",,,,")
+    rows = read_uploads(spark, path).orderBy("row_number").collect()
+    assert rows[0].region is None and rows[0].origin_coord == GOOD.split(",")[1]
+    assert [rows[1][c] for c in HEADER.split(",")] == [None] * 5
+
+
+def test_open_quotes_at_the_end_are_one_row(spark, tmp_path):
+    path = write(tmp_path / "open", "a.csv", HEADER, GOOD, '"never,closed', "second line")
+    for multi_line, rows in ((True, 2), (False, 3)):
+        assert read_uploads(spark, path, multi_line).count() == rows
+
+
+def test_two_scans_and_no_text_by_file(spark, tmp_path, plan_of):
+    path = write(tmp_path / "plan", "a.csv", HEADER, GOOD)
+    df = read_uploads(spark, path)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan text") == 2
+
+
 def test_every_file_gets_one_marker_also_without_rows(spark, tmp_path):
     write(tmp_path / "up", "a.csv", HEADER, GOOD, "bad,row", GOOD)
     path = write(tmp_path / "up", "b.csv", HEADER)

@@ -123,9 +123,19 @@ def known_trips(trips: DataFrame, stored: StoredTrips) -> DataFrame:
 
 
 def stored_of(trips: DataFrame, stored: StoredTrips) -> DataFrame:
-    """The partitions that can hold these trips' ids: all of them if one id is foreign."""
-    foreign = trips.where(F.col("trip_day").startswith(FOREIGN))
-    return stored(days_of(trips) if foreign.isEmpty() else None)
+    """The ``trip_id, ingestion_id`` of stored rows that the trips have too. Each kind of id is
+    looked for where it can be, as in ``known_trips``."""
+    foreign = F.col("trip_day").startswith(FOREIGN)
+    own, others = trips.where(~foreign), trips.where(foreign)
+    columns = ["trip_id", "ingestion_id"]
+
+    def rows_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        return rows.select(*columns).join(keys.select("trip_id").distinct(), "trip_id", "left_semi")
+
+    found = rows_in(stored(days_of(own)), own)
+    if others.isEmpty():
+        return found
+    return found.unionByName(rows_in(stored(None), others)).distinct()
 
 
 def insert_by_day(trips: DataFrame, stored: StoredTrips) -> DataFrame:

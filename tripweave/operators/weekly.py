@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.cells import cell_number, cell_text
+from tripweave.functions.cover import MOST_RANGES, within_box_by_cells
 from tripweave.functions.points import within_box
 from tripweave.functions.times import iso_week, iso_year, week_start
-from tripweave.operators.clusters import instant_of
+from tripweave.operators.clusters import PRECISION, instant_of
 
 Box = tuple[float, float, float, float]
 
@@ -62,6 +64,56 @@ def in_box(trips: DataFrame, box: Box) -> DataFrame:
     return trips.where(within_box(F.col("origin_lon"), F.col("origin_lat"), *box))
 
 
+def in_box_by_cells(
+    trips: DataFrame,
+    box: Box,
+    cell: str = "origin_geohash",
+    precision: int = PRECISION,
+    most: int = MOST_RANGES,
+) -> DataFrame:
+    """The same trips, of a table that holds each origin's cell: only border cells' coordinates
+    are compared, and a table in geohash order is read in a few ranges."""
+    lon, lat = F.col("origin_lon"), F.col("origin_lat")
+    return trips.where(within_box_by_cells(F.col(cell), lon, lat, box, precision, most))
+
+
+def cell_weeks(trips: DataFrame, precision: int, per: tuple[str, ...]) -> DataFrame:
+    """Trips per origin cell, region and week of each part of a table."""
+    number = cell_number(F.col("origin_lon"), F.col("origin_lat"), precision)
+    counted = (
+        trips.select(
+            *per, number.alias("number"), "region", week_start(instant_of(trips)).alias("week_start")
+        )
+        .groupBy(*per, "number", "region", "week_start")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+    )
+    return counted.withColumn("cell", cell_text(F.col("number"), precision)).drop("number")
+
+
+def average_of_weeks(weeks: DataFrame, count: str = "trips") -> DataFrame:
+    """One row: mean trips per week over the weeks that have trips, weeks, total trips."""
+    return weeks.agg(
+        F.coalesce(F.avg(count), F.lit(0.0)).alias("weekly_average"),
+        F.count(F.lit(1)).alias("num_weeks"),
+        F.coalesce(F.sum(count), F.lit(0)).alias("total_trips"),
+    )
+
+
+def averages_by_region(weeks: DataFrame, count: str = "trips") -> DataFrame:
+    """Every region's average of its weeks, rounded half up to two decimals on exact numbers."""
+    total = F.sum(count)
+    exact = total.cast("decimal(20,0)") / F.count(F.lit(1)).cast("decimal(10,0)")
+    return (
+        weeks.groupBy("region")
+        .agg(
+            F.round(exact, 2).alias("weekly_average"),
+            F.count(F.lit(1)).alias("num_weeks"),
+            total.alias("total_trips"),
+        )
+        .orderBy("region")
+    )
+
+
 def select_area(
     trips: DataFrame, region: str | None, box: tuple[float | None, ...] | None
 ) -> tuple[DataFrame, dict]:
@@ -81,11 +133,7 @@ def weekly_average(
 ) -> DataFrame:
     """One row: mean trips per week over the weeks that have trips, weeks, total trips."""
     chosen, _ = select_area(trips, region, box)
-    return weekly_counts(chosen).agg(
-        F.coalesce(F.avg("trips"), F.lit(0.0)).alias("weekly_average"),
-        F.count(F.lit(1)).alias("num_weeks"),
-        F.coalesce(F.sum("trips"), F.lit(0)).alias("total_trips"),
-    )
+    return average_of_weeks(weekly_counts(chosen))
 
 
 def weekly_average_answer(
@@ -104,15 +152,4 @@ def weekly_average_answer(
 
 def weekly_average_by_region(trips: DataFrame) -> DataFrame:
     """Every region's average, rounded half up to two decimals on exact numbers."""
-    total = F.sum("trips")
-    exact = total.cast("decimal(20,0)") / F.count(F.lit(1)).cast("decimal(10,0)")
-    return (
-        weekly_counts(trips, "region")
-        .groupBy("region")
-        .agg(
-            F.round(exact, 2).alias("weekly_average"),
-            F.count(F.lit(1)).alias("num_weeks"),
-            total.alias("total_trips"),
-        )
-        .orderBy("region")
-    )
+    return averages_by_region(weekly_counts(trips, "region"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.cells import geohash
@@ -27,7 +27,7 @@ from tripweave.plans import event_trips as source
 from tripweave.plans import pipeline
 from tripweave.session import configure, fresh_dir
 from tripweave.sources.uploads import read_uploads, upload_files
-from tripweave.streaming import gold
+from tripweave.streaming import answers, gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,20 @@ REGION = "purchase"
 BOX = (-6.0, 10.0, 10.0, 25.0)
 NOWHERE = (100.0, 60.0, 110.0, 70.0)
 SOURCE = "src_3"
+#: Boxes across cells, with corners in another order, sides on cells' sides and on points, up to
+#: the ends of the world, of no width, and beyond all trips.
+BOXES = [
+    BOX,
+    (10.0, 25.0, -6.0, 10.0),
+    (-5.625, 11.25, 5.625, 22.5),
+    (-5.0, 13.0, 5.0, 21.0),
+    (-5.0, 13.0, 180.0, 90.0),
+    (-180.0, -90.0, 180.0, 90.0),
+    (-200.0, -95.0, 0.0, 13.0001),
+    (4.99999, 20.99999, 5.00001, 21.00001),
+    (5.0, 0.0, 5.0, 90.0),
+    NOWHERE,
+]
 HALF_TIME = "2024-01-16 00:00:00"
 
 
@@ -302,6 +316,30 @@ def weekly_counts_bbox(spark, sf):
     return counts.withColumn("week_start", text("week_start"))
 
 
+def _per_box(answer: Callable[[tuple], DataFrame]) -> DataFrame:
+    """One answer after the other, with the number of its box."""
+    rows = [answer(box).select(F.lit(n).alias("box"), "*") for n, box in enumerate(BOXES)]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query
+def weekly_average_cover(spark, sf):
+    """The averages of several boxes, by ranges of cells, of a table in geohash order."""
+    configure(spark)
+    path = fresh_dir(spark, "served")
+    rows = cl.add_geohashes(source.valid_trips(spark, sf))
+    rows.repartitionByRange("origin_geohash").sortWithinPartitions("origin_geohash").write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return _per_box(
+        lambda box: weekly.average_of_weeks(
+            weekly.weekly_counts(weekly.in_box_by_cells(stored, box))
+        )
+    )
+
+
 # --- regions and lookups ----------------------------------------------------------------
 
 
@@ -468,6 +506,40 @@ def csv_mixed_headers(spark, sf):
     )
 
 
+@query
+def csv_quoted_breaks(spark, sf):
+    """Whole document texts, with their line breaks, quotes and commas, as a field of CSV files
+    of three headers, read by many tasks: the text's digest, and whether rows are numbered in
+    the order in which each file holds them."""
+    configure(spark)
+    path = fresh_dir(spark, "uploads")
+    docs = source.table(spark, sf, "documents").select(
+        F.col("text").alias("region"), F.col("lang").alias("datasource"),
+        F.col("doc_id").cast("string").alias("datetime"), F.lit('POINT (1 2), "x"').alias("origin_coord"),
+    )
+    orders = [docs.columns, docs.columns[::-1], [*docs.columns[2:], *docs.columns[:2]]]
+    number = F.col("datetime").cast("long")
+    for part, columns in enumerate(orders):
+        (
+            docs.where(F.pmod(number, F.lit(len(orders))) == part)
+            .repartitionByRange(number)
+            .sortWithinPartitions(number)
+            .select(*columns)
+            .write.mode("append")
+            .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .csv(path)
+        )
+    rows = read_uploads(spark, path, multi_line=True)
+    in_file = Window.partitionBy("upload_file").orderBy(F.col("datetime").cast("long"))
+    return rows.select(
+        F.col("datetime").cast("long").alias("doc_id"),
+        F.col("datasource").alias("lang"),
+        "origin_coord",
+        F.sha2(F.coalesce("region", F.lit("")), 256).alias("text_sha256"),
+        (F.row_number().over(in_file) == F.col("row_number")).alias("in_order"),
+    )
+
+
 @query
 def csv_row_numbers(spark, sf):
     """Row numbers run from 1 to the number of rows in every file, none missing."""
@@ -572,6 +644,32 @@ def stream_status(spark, sf):
     )
 
 
+@query
+def stream_box_average(spark, sf):
+    """The same boxes from counts of whole cells and the served trips of border cells."""
+    lake = pipeline.run(spark, sf, "serving")
+    return _per_box(lambda box: answers.box_average(spark, lake, box))
+
+
+@query
+def stream_region_averages(spark, sf):
+    """Every region's average from the counts beside the served trips."""
+    averages = answers.region_averages(spark, pipeline.run(spark, sf, "serving"))
+    return averages.withColumn("weekly_average", F.col("weekly_average").cast("double"))
+
+
+@query
+def stream_compacted(spark, sf):
+    """What silver, serving and the roll-ups say when closed batches are merged after every
+    delivery, and whether the last merge changed it."""
+    return pipeline.run_compacted(spark, sf)
+
+
+@query
+def stream_tiered_rollup(spark, sf):
+    """Clusters from the tiers of forty batches, one of them counted again."""
+    lake = pipeline.run_batches(spark, sf, batches=40, replayed=5)
+    return gold.rolled_up_clusters(spark, lake).withColumn("time_bucket", text("time_bucket"))
 
 
 @query

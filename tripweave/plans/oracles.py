@@ -7,7 +7,7 @@ from the engine's own ``printf``, first deliveries from ranking.
 from __future__ import annotations
 
 from tripweave.functions.cells import ALPHABET
-from tripweave.plans.catalog import BOX, HALF_TIME, NOWHERE, REGION, SOURCE
+from tripweave.plans.catalog import BOX, BOXES, HALF_TIME, NOWHERE, REGION, SOURCE
 
 MARKED = "2024-06-01 00:00:00"
 
@@ -149,7 +149,8 @@ from (select date_trunc('week', ts) as week, count(*) as trips from valid where
 
 
 def _box(box: tuple[float, ...]) -> str:
-    west, south, east, north = box
+    west, east = sorted((box[0], box[2]))
+    south, north = sorted((box[1], box[3]))
     return (
         f"origin_lon > {west} and origin_lon < {east} "
         f"and origin_lat > {south} and origin_lat < {north}"
@@ -243,6 +244,17 @@ def _ids(names: str, name: str, id_name: str) -> str:
     return f"select cast(row_number() over (order by {order}) as bigint) as {id_name}, {name} from ({names})"
 
 
+BOX_AVERAGES = " union all ".join(
+    f"select cast({n} as integer) as box, * from ({WEEK_AVERAGE.format(area=_box(box))})"
+    for n, box in enumerate(BOXES)
+)
+
+REGION_AVERAGES = """
+select region, ((200 * sum(trips) + count(*)) // (2 * count(*))) / cast(100 as double) as weekly_average,
+       count(*) as num_weeks, cast(sum(trips) as bigint) as total_trips
+from (select region, date_trunc('week', ts) as week, count(*) as trips from valid group by all)
+group by region"""
+
 ORACLES: dict[str, str] = {
     "parse_points": _with(RAW)
     + """
@@ -313,12 +325,7 @@ select {CLUSTER_COLUMNS} from (
     "weekly_average_region": TRIPS + WEEK_AVERAGE.format(area=f"region = '{REGION}'"),
     "weekly_average_bbox": TRIPS + WEEK_AVERAGE.format(area=_box(BOX)),
     "weekly_average_none": TRIPS + WEEK_AVERAGE.format(area=_box(NOWHERE)),
-    "weekly_average_all": TRIPS
-    + """
-select region, ((200 * sum(trips) + count(*)) // (2 * count(*))) / cast(100 as double) as weekly_average,
-       count(*) as num_weeks, cast(sum(trips) as bigint) as total_trips
-from (select region, date_trunc('week', ts) as week, count(*) as trips from valid group by all)
-group by region""",
+    "weekly_average_all": TRIPS + REGION_AVERAGES,
     "weekly_average_answer": TRIPS
     + f"""
 select '{{"weekly_average":' || cast(weekly_average as varchar) || ',"num_weeks":' || num_weeks
@@ -383,6 +390,10 @@ from documents group by lang""",
     "csv_mixed_headers": TRIPS
     + """
 select trip_id, region, instant_text as datetime, datasource, true as numbered from valid""",
+    "csv_quoted_breaks": """
+select doc_id, lang, 'POINT (1 2), "x"' as origin_coord, sha256(coalesce(text, '')) as text_sha256,
+       true as in_order
+from documents""",
     "csv_row_numbers": "select count(*) as rows, true as numbered_from_1 from events",
     "stream_bronze": SPLIT_COUNTS,
     "stream_silver": TRIPS + f"select {SILVER_COLUMNS} from valid",
@@ -402,6 +413,20 @@ from ({_ids('select distinct region from valid', 'region', 'region_id')})
 union all
 select 'datasources', datasource_id, datasource
 from ({_ids('select distinct datasource from valid', 'datasource', 'datasource_id')})""",
+    "weekly_average_cover": TRIPS + BOX_AVERAGES,
+    "stream_box_average": TRIPS + BOX_AVERAGES,
+    "stream_region_averages": TRIPS + REGION_AVERAGES,
+    "stream_tiered_rollup": CLUSTERS + f"select {CLUSTER_COLUMNS} from clusters",
+    "stream_compacted": CLUSTERS
+    + f"""
+, kept as (select * from valid),
+weeks as ({_metrics('valid')})
+select 'silver' as answer, count(*) as rows, cast(sum(row_number) as bigint) as total,
+       true as unchanged from kept
+union all select 'serving', count(*), cast(sum(7) as bigint), true from kept
+union all select 'weeks', count(*), cast(sum(trip_count) as bigint), true from weeks
+union all select 'clusters', count(*), cast(sum(trip_count) as bigint), true from clusters
+union all select 'averages', count(distinct region), count(*), true from kept""",
     "stream_uploads": TRIPS
     + "select count(*) as announced, count(*) as stored, true as all_complete from valid",
     "stream_status": COMPLETION

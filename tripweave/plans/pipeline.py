@@ -6,13 +6,16 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripweave.operators import routing
+from tripweave.operators.clusters import instant_of
 from tripweave.plans import event_trips as source
 from tripweave.session import configure, fresh_dir
 from tripweave.sources.event_log import append_events, file_stream
-from tripweave.sources.lake import Lake
-from tripweave.sources.tables import write_batch
-from tripweave.streaming import gold
+from tripweave.sources.lake import COMPACTED, Lake
+from tripweave.sources.tables import overwrite_partitions, write_batch
+from tripweave.streaming import answers, gold
 from tripweave.streaming.ingest import first_deliveries, start_ingest
 from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start
@@ -51,6 +54,90 @@ def run(spark: SparkSession, sf_dir: str, *jobs: str) -> Lake:
     return lake
 
 
+def contents(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """What a reader gets of the lake, each as rows that add up and the number that does."""
+    silver, serving = lake.read(spark, "silver"), lake.read(spark, "serving")
+    return {
+        "silver": silver.select(F.col("row_number").alias("n")),
+        "serving": serving.select(F.length("origin_geohash").alias("n")),
+        "weeks": gold.rolled_up_weeks(spark, lake).select(F.col("trip_count").alias("n")),
+        "clusters": gold.rolled_up_clusters(spark, lake).select(F.col("trip_count").alias("n")),
+        "averages": answers.region_averages(spark, lake).select(F.col("total_trips").alias("n")),
+    }
+
+
+def summed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row for each answer: its rows and their sum."""
+    out = None
+    for name, rows in contents(spark, lake).items():
+        own = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total")).select(
+            F.lit(name).alias("answer"), "rows", "total"
+        )
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def compact_closed(spark: SparkSession, lake: Lake, margin: int) -> None:
+    """Merge all batches but the newest ``margin`` of the tables that can be merged."""
+    for table in COMPACTED:
+        newest = lake.newest_batch(spark, table)
+        if newest is not None:
+            lake.compacted(table).compact(spark, newest + 1 - margin)
+
+
+def run_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries in several batches; closed batches are merged in between, those of ended
+    jobs as well, and what is replaced is dropped. The answers before and after the last time."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    log = lake.path("log")
+    for delivery in deliveries(spark, sf_dir):
+        append_events(delivery.repartition(2), log)
+        finish(start_ingest(spark, file_stream(spark, log, 1), lake, available_now=True))
+        jobs = ("serving", "rollup", "weekly_rollup")
+        finish(*(GOLD_JOBS[job](spark, lake, available_now=True) for job in jobs))
+        compact_closed(spark, lake, margin=1)
+    before = {r.answer: (r.rows, r.total) for r in summed(spark, lake).collect()}
+    compact_closed(spark, lake, margin=0)
+    for table in COMPACTED:
+        lake.compacted(table).clean(spark)
+    same = F.lit(False)
+    for answer, (rows, total) in before.items():
+        same = same | (
+            (F.col("answer") == answer) & (F.col("rows") == rows) & (F.col("total") == total)
+        )
+    return summed(spark, lake).withColumn("unchanged", same)
+
+
+def run_batches(spark: SparkSession, sf_dir: str, batches: int, replayed: int) -> Lake:
+    """Silver as so many batches, one span of time each, rolled up a few at a time; then one of
+    them once more."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    trips = routing.with_trip_day(source.routed_first(spark, sf_dir)).where("route = 'trip'")
+    span = F.unix_seconds(instant_of(trips)) - F.lit(1704067200)
+    number = F.least(
+        F.floor(span * batches / F.lit(31 * 86400)), F.lit(batches - 1)
+    ).cast("long")
+    rows = trips.withColumn("batch_id", number).select(
+        *routing.SILVER_COLUMNS, "trip_day", "batch_id"
+    )
+
+    def land(some: DataFrame) -> None:
+        by_batch = some.repartition("batch_id")
+        overwrite_partitions(by_batch, lake.path("silver"), ("batch_id", "trip_day"))
+        arrived = some.groupBy("batch_id", "ingestion_id").agg(F.count(F.lit(1)).alias("received"))
+        overwrite_partitions(
+            arrived.repartition("batch_id"), lake.path("arrivals"), ("batch_id",)
+        )
+
+    land(rows)
+    finish(gold.start_cluster_rollup(spark, lake, max_files=9, available_now=True))
+    land(rows.where(F.col("batch_id") == replayed))
+    finish(gold.start_cluster_rollup(spark, lake, available_now=True))
+    return lake
+
+
 def run_uploads(spark: SparkSession, path: str) -> Lake:
     """CSV files all the way to the serving table."""
     configure(spark)

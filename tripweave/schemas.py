@@ -131,6 +131,14 @@ WEEKLY_DELTAS = T.StructType(
     [*_fields(("region", S), ("iso_week", I), ("trip_count", L)).fields, _BATCH]
 )
 
+#: Trips per geohash cell of the origin, region and week, of each serving batch.
+CELL_WEEKS = T.StructType(
+    [
+        *_fields(("cell", S), ("region", S), ("week_start", TS), ("trip_count", L)).fields,
+        _BATCH,
+    ]
+)
+
 # Columns of the serving table.
 SERVING_COLUMNS = [
     "trip_id",

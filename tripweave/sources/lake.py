@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave import schemas
+from tripweave.sources import compaction
 from tripweave.sources.tables import (
+    batch_numbers,
     ensure_table,
     overwrite_partitions,
     read_directories,
@@ -20,7 +22,7 @@ from tripweave.sources.tables import (
 TABLES = {
     "uploads": (schemas.SENT_TRIPS, ["load_id"]),
     "bronze": (schemas.BRONZE, ["batch_id", "route"]),
-    "silver": (schemas.SILVER, ["trip_day", "batch_id"]),
+    "silver": (schemas.SILVER, ["batch_id", "trip_day"]),
     "markers": (schemas.MARKERS, ["batch_id"]),
     "rejected": (schemas.REJECTED, ["batch_id"]),
     "arrivals": (schemas.ARRIVALS, ["batch_id"]),
@@ -28,11 +30,16 @@ TABLES = {
     "cluster_snapshots": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
     "cluster_deltas": (schemas.CLUSTER_SNAPSHOTS, ["batch_id"]),
     "weekly_deltas": (schemas.WEEKLY_DELTAS, ["batch_id"]),
-    "serving": (schemas.SERVING, ["trip_day", "batch_id"]),
+    "cell_weeks": (schemas.CELL_WEEKS, ["batch_id"]),
+    "serving": (schemas.SERVING, ["batch_id", "trip_day"]),
     "regions": (schemas.dimension("region_id", "region"), ["batch_id"]),
     "datasources": (schemas.dimension("datasource_id", "datasource"), ["batch_id"]),
 }
 
+#: Tables whose closed batches are merged into one set of files for each day, and the order of
+#: rows in these files.
+COMPACTED = {"silver": (), "serving": ("origin_geohash",)}
+
 STATUS_FIELDS = ("rows", "total_rows", "stored_rows")
 
 
@@ -51,20 +58,35 @@ class Lake:
             ensure_table(spark, self.path(table), schema, partitions)
         return self
 
+    def compacted(self, table: str) -> compaction.DayTable:
+        """A table of batches and days, whose closed batches are merged day by day."""
+        return compaction.DayTable(self.path(table), TABLES[table][0], COMPACTED[table])
+
     def read(self, spark: SparkSession, table: str, before: int | None = None) -> DataFrame:
         """A table, or only its batches before the given one."""
+        if table in COMPACTED:
+            return self.compacted(table).read(spark, before=before)
         rows = read_table(spark, self.path(table), TABLES[table][0])
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
     def read_days(
         self, spark: SparkSession, table: str, days: list[str], before: int | None = None
     ) -> DataFrame:
-        """Some days of a table stored by day, found by their own directories: the cost does
-        not grow with the other days or with the batches that wrote them."""
-        rows = read_directories(
-            spark, self.path(table), TABLES[table][0], [f"trip_day={day}" for day in days]
-        )
-        return rows if before is None else rows.where(F.col("batch_id") < before)
+        """Some days of a table of days: their merged files and, of the batches not merged yet,
+        these days' directories. The cost does not grow with the other days, nor with the
+        batches that are merged."""
+        return self.compacted(table).read(spark, days, before)
+
+    def read_batches(self, spark: SparkSession, table: str, batches: list[int]) -> DataFrame:
+        """Some batches of a table, found by their own directories. Batches that wrote nothing
+        have no rows."""
+        if table in COMPACTED:
+            return self.compacted(table).read_batches(spark, batches)
+        names = [f"batch_id={batch}" for batch in batches]
+        return read_directories(spark, self.path(table), TABLES[table][0], names)
+
+    def newest_batch(self, spark: SparkSession, table: str) -> int | None:
+        return max(batch_numbers(spark, self.path(table)), default=None)
 
     def landed(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """One bronze batch, found by its own directory and not by listing the table."""

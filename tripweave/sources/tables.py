@@ -7,11 +7,12 @@ a typed NULL.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.sources import files
+
 
 def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partitions: list[str]
@@ -27,23 +28,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_paths(
+    spark: SparkSession, base: str, schema: T.StructType, paths: list[str]
+) -> DataFrame:
+    """Partition directories of a table, given by their paths; no other is listed."""
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+
 def read_directories(
     spark: SparkSession, path: str, schema: T.StructType, names: list[str]
 ) -> DataFrame:
     """Partition directories of a table; those that do not exist have no rows.
 
     One listing of the table's first level finds them, and only they are listed further.
+    A table that is not there at all is an error.
     """
-    none = spark.createDataFrame([], schema)
-    if not names:
-        return none
-    reader = spark.read.schema(schema).option("basePath", path)
-    try:
-        return reader.parquet(f"{path}/{{{','.join(sorted(names))}}}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return none
+    there = set(files.directories(spark, path)) & set(names)
+    return read_paths(spark, path, schema, [f"{path}/{name}" for name in sorted(there)])
+
+
+def batch_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have directories of their own in a table: one listing."""
+    names = files.directories(spark, path)
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
 
 
 def table_stream(
@@ -74,14 +83,13 @@ def write_batch(
 def write_by_day(
     df: DataFrame, path: str, batch_id: int, ordered_by: tuple[str, ...] = ()
 ) -> None:
-    """Write one batch into a table of days, replacing what the batch has in them.
-
-    Days come first and batches inside them, so a look-up for a day lists that day alone.
-    """
-    stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    """Write one batch into its own directory, by day, replacing what the batch has of the days
+    it writes. Compaction later turns many batches into one set of files for each day."""
+    # The batch's directory is the target, not a column: a constant column in the writer's order
+    # would have it sort again and lose the order inside a day.
     if ordered_by:
-        stamped = stamped.sortWithinPartitions("trip_day", "batch_id", *ordered_by)
-    overwrite_partitions(stamped, path, ("trip_day", "batch_id"))
+        df = df.sortWithinPartitions("trip_day", *ordered_by)
+    overwrite_partitions(df, f"{path}/batch_id={batch_id}", ("trip_day",))
 
 
 def overwrite_partitions(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:

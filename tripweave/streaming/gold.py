@@ -1,8 +1,9 @@
 """Silver -> clusters and weekly metrics.
 
 Two ways to the same tables. The roll-ups keep nothing between batches: they store each
-silver batch's own counts, which add up, and a replay overwrites them. They are the ones to
-use at scale. The stateful queries keep every trip id and every group in the state store.
+silver batch's own counts, which add up in tiers, and a replay overwrites them. They are the ones
+to use at scale. The stateful queries keep every trip id and every group in the state store and
+read the files of silver as they come; they are for small tables.
 """
 
 from __future__ import annotations
@@ -14,19 +15,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave import schemas
-from tripweave.operators.clusters import cluster_counts, latest_clusters, merged_deltas
+from tripweave.operators.clusters import (
+    CLUSTER_KEY,
+    cluster_counts,
+    latest_clusters,
+    merged_deltas,
+)
 from tripweave.operators.weekly import merged_weeks, weekly_deltas, weekly_metrics
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import (
-    overwrite_partitions,
     partition_values,
     read_snapshot,
     table_stream,
     write_batch,
     write_snapshot,
 )
+from tripweave.streaming.rollup import RollUp
 from tripweave.streaming.runner import start
 
+CLUSTER_COUNTS = RollUp(
+    "cluster_deltas",
+    tuple(CLUSTER_KEY),
+    lambda trips: cluster_counts(trips, per=("batch_id",)),
+)
+WEEK_COUNTS = RollUp(
+    "weekly_deltas",
+    ("region", "iso_week"),
+    lambda trips: weekly_deltas(trips, per=("batch_id",)),
+)
+
 
 def silver_stream(
     spark: SparkSession, lake: Lake, max_files: int | None = None
@@ -34,17 +51,12 @@ def silver_stream(
     return table_stream(spark, lake.path("silver"), schemas.SILVER, max_files)
 
 
-def touched_batches(
+def landed_batches(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> DataFrame:
-    """Which silver batches have new files: a stream that reads no data column."""
-    return silver_stream(spark, lake, max_files).select("batch_id")
-
-
-def silver_of(spark: SparkSession, touched: DataFrame, lake: Lake) -> DataFrame:
-    """The whole silver batches named by ``touched``, read from the table as it is now."""
-    batches = partition_values(touched, "batch_id")
-    return lake.read(spark, "silver").where(F.col("batch_id").isin(batches))
+    """Which batches have landed, or landed again: the arrivals, the last that a batch writes."""
+    arrivals = table_stream(spark, lake.path("arrivals"), schemas.ARRIVALS, max_files)
+    return arrivals.select("batch_id")
 
 
 def distinct_trips(
@@ -102,39 +114,34 @@ def start_cluster_snapshots(
     )
 
 
-def start_cluster_rollup(
-    spark: SparkSession, lake: Lake, max_files: int | None = None, available_now: bool = False
+def start_rollup(
+    spark: SparkSession,
+    lake: Lake,
+    counts: RollUp,
+    name: str,
+    max_files: int | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
+    """Count each landed batch, from the silver rows that it has now."""
     return start(
-        touched_batches(spark, lake, max_files),
-        lambda batch, _: roll_up(spark, batch, lake),
-        "cluster_rollup",
-        lake.checkpoint("cluster_rollup"),
+        landed_batches(spark, lake, max_files),
+        lambda batch, _: counts.add(spark, lake, partition_values(batch, "batch_id")),
+        name,
+        lake.checkpoint(name),
         available_now=available_now,
     )
 
 
-def start_weekly_rollup(
+def start_cluster_rollup(
     spark: SparkSession, lake: Lake, max_files: int | None = None, available_now: bool = False
 ) -> StreamingQuery:
-    return start(
-        touched_batches(spark, lake, max_files),
-        lambda batch, _: roll_up_weeks(spark, batch, lake),
-        "weekly_rollup",
-        lake.checkpoint("weekly_rollup"),
-        available_now=available_now,
-    )
+    return start_rollup(spark, lake, CLUSTER_COUNTS, "cluster_rollup", max_files, available_now)
 
 
-def roll_up_weeks(spark: SparkSession, touched: DataFrame, lake: Lake) -> None:
-    deltas = weekly_deltas(silver_of(spark, touched, lake), per=("batch_id",))
-    overwrite_partitions(deltas, lake.path("weekly_deltas"), ("batch_id",))
-
-
-def roll_up(spark: SparkSession, touched: DataFrame, lake: Lake) -> None:
-    """Count again the silver batches whose files the stream has just seen."""
-    deltas = cluster_counts(silver_of(spark, touched, lake), per=("batch_id",))
-    overwrite_partitions(deltas, lake.path("cluster_deltas"), ("batch_id",))
+def start_weekly_rollup(
+    spark: SparkSession, lake: Lake, max_files: int | None = None, available_now: bool = False
+) -> StreamingQuery:
+    return start_rollup(spark, lake, WEEK_COUNTS, "weekly_rollup", max_files, available_now)
 
 
 def gold_clusters(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -150,8 +157,8 @@ def cluster_latest(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def rolled_up_weeks(spark: SparkSession, lake: Lake) -> DataFrame:
-    return merged_weeks(lake.read(spark, "weekly_deltas"))
+    return merged_weeks(WEEK_COUNTS.read(spark, lake))
 
 
 def rolled_up_clusters(spark: SparkSession, lake: Lake) -> DataFrame:
-    return merged_deltas(lake.read(spark, "cluster_deltas"))
+    return merged_deltas(CLUSTER_COUNTS.read(spark, lake))

@@ -15,12 +15,17 @@ from tripweave.operators.clusters import instant_of
 from tripweave.operators.completion import completion_report
 from tripweave.operators.dedup import insert_new
 from tripweave.operators.dimensions import extend_dimension, serving_rows
-from tripweave.sources.lake import Lake
-from tripweave.sources.tables import partition_values, table_stream, write_batch, write_by_day
-from tripweave.streaming.gold import silver_of, touched_batches
+from tripweave.sources.lake import COMPACTED, Lake
+from tripweave.sources.tables import partition_values, write_batch, write_by_day
+from tripweave.streaming.answers import CELL_COUNTS
+from tripweave.streaming.gold import landed_batches
 from tripweave.streaming.runner import start, with_retry
 from tripweave.streaming.status import watch_failures
 
+#: Foreign ids of one batch that a database is asked for by name, and ids in one question.
+MOST_IDS = 50_000
+IDS_PER_QUERY = 400
+
 LOOKUPS = {"regions": ("region", "region_id"), "datasources": ("datasource", "datasource_id")}
 
 
@@ -43,7 +48,8 @@ class LakeStore:
         return routing.insert_by_day(trips, lambda days: self.rows_of(spark, days, batch_id))
 
     def holding(self, spark: SparkSession, trips: DataFrame) -> DataFrame:
-        """The part of the store that can hold these trips."""
+        """The stored rows of these trips' ids: in the days that can have them, and for ids made
+        by another rule everywhere, which they alone are looked up in."""
         return routing.stored_of(trips, lambda days: self.rows_of(spark, days))
 
     def insert(self, rows: DataFrame, batch_id: int) -> None:
@@ -51,16 +57,21 @@ class LakeStore:
             rows.hint("rebalance", "trip_day"),
             self.lake.path("serving"),
             batch_id,
-            ordered_by=("origin_geohash",),
+            ordered_by=COMPACTED["serving"],
         )
 
+    def count(self, spark: SparkSession, batch_id: int) -> None:
+        """Keep the counts that box and region answers are made of."""
+        CELL_COUNTS.add(spark, self.lake, [batch_id])
+
 
 @dataclass(frozen=True)
 class JdbcStore:
     """The serving trips in a database. Executors write their own partitions.
 
-    Rows of an interrupted attempt are in the table when the batch runs again, so the
-    insert looks at the whole table and adds only what is missing.
+    Rows of an interrupted attempt are in the table when the batch runs again, so the insert adds
+    only what is missing. An id made from the trip's own fields is looked for in the hours that
+    the batch's trips touch; any other id by itself, wherever its row may be.
     """
 
     url: str
@@ -90,11 +101,38 @@ class JdbcStore:
             for row in parts.where("hour is not null").orderBy("hour").collect()
         ]
 
+    def foreign_ids(self, trips: DataFrame) -> list[str]:
+        """Conditions that find the trips whose ids say nothing of their instant: by id, a few
+        hundred at a time; or all ids, by their first character, where these are very many."""
+        foreign = trips.where(F.col("trip_day").startswith(routing.FOREIGN))
+        ids = [r.trip_id for r in foreign.select("trip_id").distinct().limit(MOST_IDS + 1).collect()]
+        if len(ids) > MOST_IDS:
+            edges = [None, *"123456789abcdefghijklmnopqrstuvwxyz", None]
+            return [
+                " and ".join(
+                    filter(None, [a and f"trip_id >= '{a}'", b and f"trip_id < '{b}'"])
+                )
+                for a, b in zip(edges, edges[1:])
+            ]
+        quoted = ["'" + i.replace("'", "''") + "'" for i in sorted(ids)]
+        groups = [quoted[i : i + IDS_PER_QUERY] for i in range(0, len(quoted), IDS_PER_QUERY)]
+        return [f"trip_id in ({', '.join(group)})" for group in groups]
+
     def holding(self, spark: SparkSession, trips: DataFrame) -> DataFrame:
-        """The part of the table that can hold these trips, one task per hour they touch."""
+        """The part of the table that can hold these trips: one task for each hour of trips with
+        ids of their own, and for each group of other ids."""
         url, properties = self.url, {k: str(v) for k, v in self.options().items()}
-        hours = self.hours(trips) or ["1 = 0"]
-        return spark.read.jdbc(url, self.table, predicates=hours, properties=properties)
+        own = trips.where(~F.col("trip_day").startswith(routing.FOREIGN))
+        hours = self.hours(own) or ["1 = 0"]
+        found = spark.read.jdbc(url, self.table, predicates=hours, properties=properties)
+        ids = self.foreign_ids(trips)
+        if not ids:
+            return found
+        others = spark.read.jdbc(url, self.table, predicates=ids, properties=properties)
+        return found.unionByName(others).dropDuplicates(["trip_id"])
+
+    def count(self, spark: SparkSession, batch_id: int) -> None:
+        """A database counts for itself."""
 
     def fresh(self, spark: SparkSession, trips: DataFrame, batch_id: int) -> DataFrame:
         return insert_new(trips, self.holding(spark, trips))
@@ -118,27 +156,16 @@ def jdbc_appender(store: JdbcStore):
     return append
 
 
-def serving_stream(spark: SparkSession, lake: Lake, max_files: int | None = None) -> DataFrame:
-    """Landed batches: those with new silver files, and all of them by their arrivals, since
-    a batch of duplicates or of a marker alone can complete an ingestion too."""
-    arrivals = table_stream(spark, lake.path("arrivals"), schemas.ARRIVALS, max_files)
-    return (
-        touched_batches(spark, lake, max_files)
-        .withColumn("table", F.lit("silver"))
-        .unionByName(arrivals.select("batch_id", F.lit("arrivals").alias("table")))
-    )
-
-
 def serve_batch(
     spark: SparkSession, touched: DataFrame, batch_id: int, lake: Lake, store
 ) -> None:
-    trips = silver_of(spark, touched.where("table = 'silver'").select("batch_id"), lake).drop(
-        "batch_id"
-    )
+    landed = partition_values(touched, "batch_id")
+    trips = lake.read_batches(spark, "silver", landed).drop("batch_id")
     rows = serving_rows(store.fresh(spark, trips, batch_id)).withColumn(
         "ingested_at", F.current_timestamp()
     )
     with_retry(lambda: store.insert(rows, batch_id))
+    store.count(spark, batch_id)
     for table, (column, id_name) in LOOKUPS.items():
         known = lake.read(spark, table, before=batch_id)
         write_batch(
@@ -151,8 +178,8 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     """Check every open marker and write the statuses of those now complete.
 
     A running count of arrivals says which ingestions can be complete at all. Only their
-    log rows are read, in the batches they arrived in, and only the days of these rows in
-    the store.
+    log rows are read, from the directories of the batches they arrived in, and of the store
+    only the ids that these rows have.
     """
     done = lake.read(spark, "status", before=batch_id).where(
         F.col("status") == schemas.TRIPS_PG_COMPLETED
@@ -170,8 +197,8 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
         return
     ids = ready.select("ingestion_id").distinct()
     batches = partition_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
-    log = lake.read(spark, "bronze").where("route in ('trip', 'rejected')")
-    sent = log.where(F.col("batch_id").isin(batches)).join(ids, "ingestion_id", "left_semi")
+    log = lake.read_batches(spark, "bronze", batches).where("route in ('trip', 'rejected')")
+    sent = log.join(ids, "ingestion_id", "left_semi")
     stored = store.holding(spark, sent.where("route = 'trip'"))
     report = completion_report(ready, sent, stored).where("complete")
     lake.write_status(report, schemas.TRIPS_PG_COMPLETED, "serving", batch_id)
@@ -187,7 +214,7 @@ def start_serving(
     target = store or LakeStore(lake)
     watch_failures(spark, lake)
     return start(
-        serving_stream(spark, lake, max_files),
+        landed_batches(spark, lake, max_files),
         lambda batch, batch_id: serve_batch(spark, batch, batch_id, lake, target),
         "serving",
         lake.checkpoint("serving"),

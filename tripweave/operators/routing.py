@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripweave.functions.once import with_computed
@@ -19,6 +19,11 @@ from tripweave.sources.tables import partition_values
 #: "other-00" to "other-ff".
 FOREIGN = "other-"
 StoredTrips = Callable[[list[str] | None], DataFrame]
+#: Foreign ids that a table is asked for by name. Scans then skip the row groups whose Bloom
+#: filters do not know them; with more ids nearly every row group would be read in any case.
+MOST_NAMED = 500
+#: Ids of one condition; longer lists would reach the scan as a range only.
+NAMED_AT_ONCE = 10
 
 
 def decode(events: DataFrame) -> DataFrame:
@@ -106,20 +111,30 @@ def days_of(trips: DataFrame) -> list[str]:
     return partition_values(trips, F.array("trip_day", foreign_part()))
 
 
+def rows_of_ids(ids: DataFrame, stored: StoredTrips) -> DataFrame:
+    """All stored rows that can have one of these ids, and perhaps others."""
+    rows = stored(None)
+    few = [r.trip_id for r in ids.select("trip_id").distinct().limit(MOST_NAMED + 1).collect()]
+    if len(few) > MOST_NAMED:
+        return rows
+    groups = (few[i : i + NAMED_AT_ONCE] for i in range(0, len(few), NAMED_AT_ONCE))
+    return rows.where(any_of(F.col("trip_id").isin(group) for group in groups))
+
+
 def known_trips(trips: DataFrame, stored: StoredTrips) -> DataFrame:
     """The stored ids that the trips have too. ``stored`` gives a table's rows of some days,
     or of all for None.
 
     Trips with an id of their own look into their partitions. The others, if there are any,
     look everywhere, since an id of that kind says nothing of where it could be; they alone
-    do, and their ids are first cut from the table.
+    do, by name as long as they are few.
     """
     foreign = F.col("trip_day").startswith(FOREIGN)
     own, others = trips.where(~foreign), trips.where(foreign)
     known = known_keys(own, stored(days_of(own)))
     if others.isEmpty():
         return known
-    return known.unionByName(known_keys(others, stored(None))).distinct()
+    return known.unionByName(known_keys(others, rows_of_ids(others, stored))).distinct()
 
 
 def stored_of(trips: DataFrame, stored: StoredTrips) -> DataFrame:
@@ -135,7 +150,7 @@ def stored_of(trips: DataFrame, stored: StoredTrips) -> DataFrame:
     found = rows_in(stored(days_of(own)), own)
     if others.isEmpty():
         return found
-    return found.unionByName(rows_in(stored(None), others)).distinct()
+    return found.unionByName(rows_in(rows_of_ids(others, stored), others)).distinct()
 
 
 def insert_by_day(trips: DataFrame, stored: StoredTrips) -> DataFrame:
@@ -143,11 +158,11 @@ def insert_by_day(trips: DataFrame, stored: StoredTrips) -> DataFrame:
     return first_wins(trips).join(known_trips(trips, stored), "trip_id", "left_anti")
 
 
-def expectations(routed: DataFrame) -> DataFrame:
-    """Contract rules with the number of rows that break each, in one pass."""
+def contract_rules() -> dict[str, Column]:
+    """Contract rules, each as whether a routed row breaks it."""
     like_trip = F.col("route").isin("trip", "rejected")
     is_marker = F.col("route") == "marker"
-    rules = {
+    return {
         "trip_row_number_from_1": like_trip & ~F.coalesce(F.col("row_number") >= 1, F.lit(False)),
         "trip_required_fields": like_trip
         & any_of(
@@ -161,8 +176,23 @@ def expectations(routed: DataFrame) -> DataFrame:
         & (F.col("ingestion_id").isNull() | F.col("control_id").isNull()),
         "known_record_type": F.col("route") == "unknown",
     }
+
+
+def expectations(routed: DataFrame) -> DataFrame:
+    """Contract rules with the number of rows that break each, in one pass."""
+    rules = contract_rules()
     counted = routed.agg(*(F.count_if(broken).alias(name) for name, broken in rules.items()))
     pairs = F.array(
         *(F.struct(F.lit(name).alias("rule"), F.col(name).alias("broken")) for name in rules)
     )
     return counted.select(F.inline(pairs))
+
+
+ROUTES = ("trip", "rejected", "marker", "unknown")
+
+
+def observed(routed: DataFrame, into: Observation) -> DataFrame:
+    """The routed rows, whose next write also counts them by route and by broken rule."""
+    counts = [F.count_if(F.col("route") == name).alias(name) for name in ROUTES]
+    broken = [F.count_if(rule).alias(name) for name, rule in contract_rules().items()]
+    return routed.observe(into, *counts, *broken)

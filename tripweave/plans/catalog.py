@@ -658,6 +658,21 @@ def stream_region_averages(spark, sf):
     return averages.withColumn("weekly_average", F.col("weekly_average").cast("double"))
 
 
+@query
+def stream_expectations(spark, sf):
+    """Rows that break each contract rule, as landing has counted them batch by batch."""
+    counts = pipeline.run(spark, sf).read(spark, "landed_counts").where("kind = 'rule'")
+    return counts.groupBy(F.col("name").alias("rule")).agg(F.sum("rows").alias("broken"))
+
+
+@query
+def foreign_redelivery(spark, sf):
+    """Trips whose ids were made by another rule, some of them sent again with another time
+    beside new ones: what is stored, and under which ingestion."""
+    lake = pipeline.run_foreign(spark, sf)
+    return lake.read(spark, "silver").select("trip_id", "ingestion_id", "row_number")
+
+
 @query
 def stream_compacted(spark, sf):
     """What silver, serving and the roll-ups say when closed batches are merged after every

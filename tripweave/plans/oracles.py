@@ -244,6 +244,17 @@ def _ids(names: str, name: str, id_name: str) -> str:
     return f"select cast(row_number() over (order by {order}) as bigint) as {id_name}, {name} from ({names})"
 
 
+BROKEN_RULES = """
+select 'trip_row_number_from_1' as rule, count(*) as broken from documents
+union all select 'trip_required_fields',
+  (select count(*) from delivered where trip_id is null or origin_lon is null)
+  + (select count(*) from documents)
+union all select 'marker_total_rows_from_0',
+  (select count(*) from announced where coalesce(total_rows, -1) < 0)
+union all select 'marker_required_fields',
+  (select count(*) from announced where ingestion_id is null)
+union all select 'known_record_type', count(*) from conversations"""
+
 BOX_AVERAGES = " union all ".join(
     f"select cast({n} as integer) as box, * from ({WEEK_AVERAGE.format(area=_box(box))})"
     for n, box in enumerate(BOXES)
@@ -289,15 +300,8 @@ from orders""",
     "silver_trips": TRIPS + f"select {SILVER_COLUMNS} from valid",
     "rejected_trips": REJECTED,
     "markers": MARKER_ROWS,
-    "contract_expectations": LOG
-    + """
-select 'trip_row_number_from_1' as rule, count(*) as broken from documents
-union all select 'trip_required_fields',
-  (select count(*) from delivered where trip_id is null or origin_lon is null)
-  + (select count(*) from documents)
-union all select 'marker_total_rows_from_0', 0
-union all select 'marker_required_fields', 0
-union all select 'known_record_type', count(*) from conversations""",
+    "contract_expectations": LOG + BROKEN_RULES,
+    "stream_expectations": LOG + BROKEN_RULES,
     "dedup_first_wins": LOG + f"select {KEYS} from first_delivered",
     "merge_insert": LOG
     + f"""
@@ -308,7 +312,8 @@ select {KEYS} from first_delivered where trip_id not in (
     + """
 select 'stored' as step, count(*) as trips from valid
 union all select 'delivered', count(*) from valid
-union all select 'added', 0""",
+union all select 'added', count(distinct again.trip_id) - count(distinct stored.trip_id)
+from valid again left join valid stored using (trip_id)""",
     "clusters": CLUSTERS + f"select {CLUSTER_COLUMNS} from clusters",
     "top_clusters": CLUSTERS
     + f"""
@@ -413,6 +418,11 @@ from ({_ids('select distinct region from valid', 'region', 'region_id')})
 union all
 select 'datasources', datasource_id, datasource
 from ({_ids('select distinct datasource from valid', 'datasource', 'datasource_id')})""",
+    "foreign_redelivery": TRIPS
+    + """
+select 'trip-' || row_number as trip_id, ingestion_id, row_number from valid
+union all select 'new-trip-' || row_number, 'ing-re', row_number from valid
+where row_number % 250 = 0""",
     "weekly_average_cover": TRIPS + BOX_AVERAGES,
     "stream_box_average": TRIPS + BOX_AVERAGES,
     "stream_region_averages": TRIPS + REGION_AVERAGES,

@@ -8,15 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.functions.times import instant_text
 from tripweave.operators import routing
 from tripweave.operators.clusters import instant_of
+from tripweave.operators.uploads import to_envelope
 from tripweave.plans import event_trips as source
+from tripweave.schemas import TRIP_FIELDS
 from tripweave.session import configure, fresh_dir
 from tripweave.sources.event_log import append_events, file_stream
 from tripweave.sources.lake import COMPACTED, Lake
 from tripweave.sources.tables import overwrite_partitions, write_batch
 from tripweave.streaming import answers, gold
-from tripweave.streaming.ingest import first_deliveries, start_ingest
+from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
 from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start
 from tripweave.streaming.serving import start_serving
@@ -138,6 +141,26 @@ def run_batches(spark: SparkSession, sf_dir: str, batches: int, replayed: int) -
     return lake
 
 
+def run_foreign(spark: SparkSession, sf_dir: str) -> Lake:
+    """Two batches of trips with ids of a producer's own. The second has every 400th trip again,
+    a day later, and every 250th under a new id."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    sent = source.sent_trips(spark, sf_dir)
+    own = F.concat(F.lit("trip-"), F.col("row_number").cast("string"))
+    first = sent.withColumn("trip_id", own)
+    later = F.col("instant") + F.expr("interval 1 day")
+    again = first.where("row_number % 400 = 0").withColumns(
+        {"instant": later, "datetime": instant_text(later)}
+    )
+    new = sent.where("row_number % 250 = 0").withColumn("trip_id", F.concat(F.lit("new-"), own))
+    second = again.unionByName(new).withColumn("ingestion_id", F.lit(source.REDELIVERY))
+    for batch_id, trips in enumerate((first, second)):
+        events = to_envelope(trips, TRIP_FIELDS, F.col("instant"))
+        land_batch(spark, routing.decode(events), batch_id, lake)
+    return lake
+
+
 def run_uploads(spark: SparkSession, path: str) -> Lake:
     """CSV files all the way to the serving table."""
     configure(spark)

@@ -131,6 +131,11 @@ WEEKLY_DELTAS = T.StructType(
     [*_fields(("region", S), ("iso_week", I), ("trip_count", L)).fields, _BATCH]
 )
 
+#: What a batch's landing counted: rows by route, and rows that break each contract rule.
+LANDED_COUNTS = T.StructType(
+    [*_fields(("kind", S), ("name", S), ("rows", L)).fields, _BATCH]
+)
+
 #: Trips per geohash cell of the origin, region and week, of each serving batch.
 CELL_WEEKS = T.StructType(
     [

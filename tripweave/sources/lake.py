@@ -22,6 +22,7 @@ from tripweave.sources.tables import (
 TABLES = {
     "uploads": (schemas.SENT_TRIPS, ["load_id"]),
     "bronze": (schemas.BRONZE, ["batch_id", "route"]),
+    "landed_counts": (schemas.LANDED_COUNTS, ["batch_id"]),
     "silver": (schemas.SILVER, ["batch_id", "trip_day"]),
     "markers": (schemas.MARKERS, ["batch_id"]),
     "rejected": (schemas.REJECTED, ["batch_id"]),

@@ -14,6 +14,14 @@ from pyspark.sql import types as T
 from tripweave.sources import files
 
 
+#: Row groups of the tables of days say which ids they may have.
+ID_FILTERS = {
+    "parquet.bloom.filter.enabled#trip_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(1 << 20),
+}
+
+
 def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partitions: list[str]
 ) -> None:
@@ -89,12 +97,15 @@ def write_by_day(
     # would have it sort again and lose the order inside a day.
     if ordered_by:
         df = df.sortWithinPartitions("trip_day", *ordered_by)
-    overwrite_partitions(df, f"{path}/batch_id={batch_id}", ("trip_day",))
+    overwrite_partitions(df, f"{path}/batch_id={batch_id}", ("trip_day",), ID_FILTERS)
 
 
-def overwrite_partitions(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, columns: tuple[str, ...], options: dict[str, str] | None = None
+) -> None:
     (
         df.write.mode("overwrite")
+        .options(**(options or {}))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,20 +20,28 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
     """Write the bronze batch, then derive every other table from what was written.
 
     The bronze files are the durable copy of the batch: the log is read and the JSON parsed
-    once, and a lost executor costs a re-read of columnar files. ``spark`` is the outer
-    session, whose adaptive execution a micro-batch's own session turns off.
+    once, and a lost executor costs a re-read of columnar files. The same pass counts rows by
+    route and broken rule, so that nothing is read, or written, for a route without rows.
+    ``spark`` is the outer session, whose adaptive execution a micro-batch's own turns off.
     """
-    if flat.isEmpty():
-        return
+    counted = Observation(f"landed-{batch_id}-{uuid.uuid4().hex}")
     routed = routing.with_trip_day(routing.route(flat)).drop("instant")
-    write_batch(routed, lake.path("bronze"), batch_id, ("route",))
+    write_batch(routing.observed(routed, counted), lake.path("bronze"), batch_id, ("route",))
+    counts = counted.get
+    if not any(counts[name] for name in routing.ROUTES):
+        return
     landed = lake.landed(spark, batch_id)
-    markers = routing.markers(landed)
-    lake.write_status(markers, BRONZE_COMPLETED, "bronze", batch_id)
-    merge_silver(spark, landed, batch_id, lake)
-    write_batch(markers, lake.path("markers"), batch_id)
-    lake.write_status(markers, SILVER_COMPLETED, "silver", batch_id)
-    write_batch(routing.rejected(landed), lake.path("rejected"), batch_id)
+    if counts["marker"]:
+        markers = routing.markers(landed)
+        lake.write_status(markers, BRONZE_COMPLETED, "bronze", batch_id)
+    if counts["trip"]:
+        merge_silver(spark, landed, batch_id, lake)
+    if counts["marker"]:
+        write_batch(markers, lake.path("markers"), batch_id)
+        lake.write_status(markers, SILVER_COMPLETED, "silver", batch_id)
+    if counts["rejected"]:
+        write_batch(routing.rejected(landed), lake.path("rejected"), batch_id)
+    write_batch(landed_counts(spark, counts), lake.path("landed_counts"), batch_id)
     # Last, because these rows tell the serving job that the batch is complete.
     write_batch(
         landed.groupBy("ingestion_id").agg(F.count(F.lit(1)).alias("received")),
@@ -40,6 +50,12 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
     )
 
 
+def landed_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """What the landing write counted on its way: ``kind`` is route or rule."""
+    rows = [("route" if n in routing.ROUTES else "rule", n, rows) for n, rows in counts.items()]
+    return spark.createDataFrame(rows, "kind string, name string, rows long").coalesce(1)
+
+
 def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: Lake) -> None:
     """Insert the trips whose id is new. Only earlier batches are looked at, so a replay
     decides the same; only the partitions of the batch's days are read."""

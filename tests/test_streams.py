@@ -1,5 +1,6 @@
 """Streaming jobs: several batches, restarts, replays, failures."""
 
+import hashlib
 import json
 
 import pytest
@@ -13,6 +14,7 @@ from tripweave.sources import event_log
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import partition_values, write_by_day
 from tripweave.streaming import gold
+from tripweave.streaming.bounded import start_bounded_silver
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
 from tripweave.streaming.publish import publish_uploads
 from tripweave.streaming.runner import finish, start, with_retry
@@ -362,3 +364,30 @@ def test_runs_live_in_the_shared_folder():
         fresh_dir(FakeSession(**{"spark.master": "local-cluster[2,1,1024]"}), "x")
     local = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/warehouse"}
     assert fresh_dir(FakeSession(**local), "x").startswith("file:/warehouse/tripweave/x-")
+
+
+def own_trip(n, day, **more):
+    """A trip under the id that its own fields give."""
+    base = trip(n, datetime=f"2018-05-{day:02d}T09:03:40Z", origin_lon=float(n % 90))
+    places = ("origin_lon", "origin_lat", "destination_lon", "destination_lat")
+    numbers = [f"{base[name]:.6f}" for name in places]
+    text = "|".join([base["region"].lower(), *numbers, base["datetime"], base["datasource"]])
+    return base | {"trip_id": hashlib.sha256(text.encode()).hexdigest()} | more
+
+
+def test_bounded_state_loses_nothing_and_stays_small(spark, lake):
+    days = {d: [own_trip(n, d) for n in range(10 * d, 10 * d + 6)] for d in range(1, 10)}
+    held = [days[d].pop() for d in (2, 4, 8)]
+    for d, trips in days.items():
+        publish(spark, lake, trips + trips[:3], d)  # with copies in time
+    publish(spark, lake, held, 30)  # first deliveries long after their time
+    publish(spark, lake, [t for d in (1, 5, 9) for t in days[d]] + held, 31)  # copies, early and late
+    publish(spark, lake, [own_trip(900, 9, trip_id="mine"), own_trip(901, 3, trip_id="mine")], 32)
+    publish(spark, lake, [own_trip(902, 1, trip_id="mine"), own_trip(903, 9, trip_id="mine")], 33)
+    events = event_log.file_stream(spark, lake.path("log"), 1)
+    query = start_bounded_silver(spark, events, lake, "2 days", available_now=True)
+    finish(query)
+    own = [t["trip_id"] for d in days for t in days[d]] + [t["trip_id"] for t in held]
+    assert ids(lake.read(spark, "silver")) == sorted([*own, "mine"])
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert len(sizes) >= 13 and max(sizes) <= 6 * 6

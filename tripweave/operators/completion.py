@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.operators.regions import stored_per_ingestion
-
 
 def sent_rows(routed: DataFrame) -> DataFrame:
     """The distinct rows each ingestion sent, however often the log delivered them.
@@ -23,8 +21,9 @@ def sent_rows(routed: DataFrame) -> DataFrame:
     )
 
 
-def accounted_per_ingestion(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Valid rows whose trip is stored, by this ingestion or an earlier one, and rejected rows.
+def accounted_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``ingestion_id, held, rejected``: counts, in parts, of valid rows whose trip is stored, by
+    this ingestion or an earlier one, and of rejected rows.
 
     Rows are counted per ingestion and trip before the join, so the many rows of an often
     repeated trip meet the stored ids as one row per ingestion. Rejected rows, which may
@@ -39,13 +38,8 @@ def accounted_per_ingestion(rows: DataFrame, stored: DataFrame) -> DataFrame:
     )
     rejected = per_trip.where("trip_id is null")
     none = F.lit(0).cast("long")
-    return (
-        held.select("ingestion_id", F.col("rows").alias("held"), none.alias("rejected"))
-        .unionByName(
-            rejected.select("ingestion_id", none.alias("held"), F.col("rows").alias("rejected"))
-        )
-        .groupBy("ingestion_id")
-        .agg(F.sum("held").alias("held_rows"), F.sum("rejected").alias("rejected_rows"))
+    return held.select("ingestion_id", F.col("rows").alias("held"), none.alias("rejected")).unionByName(
+        rejected.select("ingestion_id", none.alias("held"), F.col("rows").alias("rejected"))
     )
 
 
@@ -53,18 +47,32 @@ def completion_report(markers: DataFrame, routed: DataFrame, stored: DataFrame)
     """Per marker: announced, stored, duplicate and rejected rows, and whether complete.
 
     Complete means stored + duplicate + rejected >= announced, so a file delivered twice
-    completes as well. The sides joined at the end have one row per ingestion.
+    completes as well. Everything known of an ingestion meets in one aggregate, to which each
+    task sends a row for each ingestion it has seen.
     """
+    nothing = {name: F.lit(0).cast("long") for name in ("stored", "held", "rejected")}
+    nothing |= {"total_rows": F.lit(None).cast("long"), "announced": F.lit(False)}
+
+    def part(df: DataFrame, **known: Column) -> DataFrame:
+        return df.select("ingestion_id", *(c.alias(name) for name, c in (nothing | known).items()))
+
     parts = (
-        markers.groupBy("ingestion_id")
-        .agg(F.max("total_rows").cast("long").alias("total_rows"))
-        .join(stored_per_ingestion(stored), "ingestion_id", "left")
-        .join(accounted_per_ingestion(sent_rows(routed), stored), "ingestion_id", "left")
+        part(markers, total_rows=F.col("total_rows").cast("long"), announced=F.lit(True))
+        .unionByName(part(stored, stored=F.lit(1).cast("long")))
+        .unionByName(
+            part(
+                accounted_rows(sent_rows(routed), stored),
+                held=F.col("held"),
+                rejected=F.col("rejected"),
+            )
+        )
+    )
+    sums = parts.groupBy("ingestion_id").agg(
+        F.max("total_rows").alias("total_rows"),
+        F.max("announced").alias("announced"),
+        *(F.sum(name).alias(f"{name}_rows") for name in ("stored", "held", "rejected")),
     )
-    counts = ("stored_rows", "held_rows", "rejected_rows")
-    return parts.select(
-        "ingestion_id", "total_rows", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts)
-    ).select(
+    return sums.where("announced").select(
         "ingestion_id",
         "total_rows",
         "stored_rows",

@@ -17,14 +17,21 @@ def new_names(trips: DataFrame, column: str, known: DataFrame | None = None) ->
     return names if known is None else names.join(known.select(column), column, "left_anti")
 
 
-def number_names(names: DataFrame, column: str, id_name: str, after: int = 0) -> DataFrame:
-    """Consecutive ids for distinct names, the same each time they are computed.
+def number_names(
+    names: DataFrame, column: str, id_name: str, known: DataFrame | None = None
+) -> DataFrame:
+    """Consecutive ids for distinct names, after the largest of ``known`` if there is one; the
+    same each time they are computed.
 
     Names are ranked inside 4,096 digest buckets and shifted by the sizes of the buckets
-    before; only that table of at most 4,096 sizes goes through one task.
+    before; only that table of at most 4,097 sizes, in which the ids in use come first, goes
+    through one task.
     """
     bucketed = names.withColumn("_bucket", F.substring(F.md5(column), 1, BUCKET_DIGITS))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    if known is not None:
+        used = known.agg(F.coalesce(F.max(id_name), F.lit(0)).cast("long").alias("_size"))
+        sizes = sizes.unionByName(used.select(F.lit("").alias("_bucket"), "_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
@@ -33,7 +40,7 @@ def number_names(names: DataFrame, column: str, id_name: str, after: int = 0) ->
     return (
         bucketed.withColumn("_rank", rank)
         .join(F.broadcast(offsets), "_bucket")
-        .select((F.col("_offset") + F.col("_rank") + F.lit(after)).alias(id_name), column)
+        .select((F.col("_offset") + F.col("_rank")).alias(id_name), column)
     )
 
 
@@ -41,8 +48,7 @@ def extend_dimension(
     trips: DataFrame, column: str, id_name: str, known: DataFrame
 ) -> DataFrame:
     """Rows to add for names not yet known, numbered after the largest id in use."""
-    largest = known.agg(F.coalesce(F.max(id_name), F.lit(0)).alias("largest")).first()
-    return number_names(new_names(trips, column, known), column, id_name, largest["largest"])
+    return number_names(new_names(trips, column, known), column, id_name, known)
 
 
 def with_points(df: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from tripweave.operators import (
 from tripweave.plans import event_trips as source
 from tripweave.plans import pipeline
 from tripweave.session import configure, fresh_dir
+from tripweave.sources.tables import read_table, write_batch
 from tripweave.sources.uploads import read_uploads, upload_files
 from tripweave.streaming import answers, gold
 
@@ -673,6 +674,73 @@ def foreign_redelivery(spark, sf):
     return lake.read(spark, "silver").select("trip_id", "ingestion_id", "row_number")
 
 
+@query
+def stream_rate_limited(spark, sf):
+    """Five files of events, one a trigger, by a query that keeps running until another ends:
+    the events of each batch."""
+    lake, ended = pipeline.run_limited(spark, sf, files=5)
+    bronze = lake.read(spark, "bronze")
+    return bronze.groupBy("batch_id").agg(F.count(F.lit(1)).alias("events")).select(
+        "events", F.lit(ended).alias("ended")
+    )
+
+
+@query
+def stream_guards(spark, sf):
+    """A batch of trips and one of nothing, served by a store whose first writes fail: stored
+    trips, those with a time of insertion, and the batches that have rows."""
+    lake = pipeline.run_guarded(spark, sf)
+    served = lake.read(spark, "serving").agg(
+        F.count(F.lit(1)).alias("served"), F.count("ingested_at").alias("stamped")
+    )
+    landed = lake.read(spark, "bronze").agg(F.count_distinct("batch_id").alias("batches"))
+    return served.join(F.broadcast(landed))
+
+
+@query
+def upload_ingestions(spark, sf):
+    """Every file of a load is an ingestion with an id of its own, the same each time."""
+    path = _written_uploads(spark, sf)
+    rows = read_uploads(spark, path).select("upload_file", "row_number")
+    ids = [
+        uploads.assign_ingestions(rows, load).withColumnRenamed("ingestion_id", name)
+        for load, name in (("load-1", "first"), ("load-1", "again"), ("load-2", "other"))
+    ]
+    on = ["upload_file", "row_number"]
+    both = ids[0].join(ids[1], on).join(ids[2], on)
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return both.agg(
+        F.count_if(F.col("first").rlike(form)).alias("rows"),
+        F.count_if((F.col("first") != F.col("again")) | (F.col("first") == F.col("other"))).alias("wrong"),
+        (F.count_distinct("first") - F.count_distinct("upload_file")).alias("too_many"),
+    )
+
+
+@query
+def table_additive_column(spark, sf):
+    """A table whose first half was written before ``ingestion_id`` was a column."""
+    configure(spark)
+    trips = source.valid_trips(spark, sf).select("trip_id", "ingestion_id", "datetime")
+    path = fresh_dir(spark, "additive")
+    old = F.col("datetime") < HALF_TIME
+    write_batch(trips.where(old).drop("ingestion_id"), path, 0)
+    write_batch(trips.where(~old), path, 1)
+    schema = trips.schema.add("batch_id", "long")
+    return (
+        read_table(spark, path, schema)
+        .groupBy("ingestion_id")
+        .agg(F.count(F.lit(1)).alias("trips"))
+    )
+
+
+@query
+def stream_bounded_dedup(spark, sf):
+    """Silver kept by a state of three days: trips that come first long after their time, and
+    copies of all of them at the end."""
+    lake = pipeline.run_bounded(spark, sf, "3 days")
+    return lake.read(spark, "silver").select("trip_id", "region", "datetime", "datasource")
+
+
 @query
 def stream_compacted(spark, sf):
     """What silver, serving and the roll-ups say when closed batches are merged after every

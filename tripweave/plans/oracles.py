@@ -418,6 +418,23 @@ from ({_ids('select distinct region from valid', 'region', 'region_id')})
 union all
 select 'datasources', datasource_id, datasource
 from ({_ids('select distinct datasource from valid', 'datasource', 'datasource_id')})""",
+    "stream_rate_limited": """
+select count(*) as events, true as ended from events group by event_id % 5""",
+    "stream_guards": TRIPS
+    + """
+select count(*) as served, count(ts) as stamped, count(distinct case when ts is not null then 1 end)
+       as batches from valid""",
+    "upload_ingestions": """
+select count(*) as rows, count(*) filter (event_id is null) as wrong,
+       count(distinct event_type) - count(distinct event_type) as too_many
+from events""",
+    "table_additive_column": TRIPS
+    + f"""
+select case when ts >= timestamp '{HALF_TIME}' then ingestion_id end as ingestion_id,
+       count(*) as trips
+from valid group by 1""",
+    "stream_bounded_dedup": TRIPS
+    + "select trip_id, region, instant_text as datetime, datasource from valid",
     "foreign_redelivery": TRIPS
     + """
 select 'trip-' || row_number as trip_id, ingestion_id, row_number from valid

@@ -19,10 +19,11 @@ from tripweave.sources.event_log import append_events, file_stream
 from tripweave.sources.lake import COMPACTED, Lake
 from tripweave.sources.tables import overwrite_partitions, write_batch
 from tripweave.streaming import answers, gold
+from tripweave.streaming.bounded import start_bounded_silver
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
 from tripweave.streaming.publish import publish_uploads
-from tripweave.streaming.runner import finish, start
-from tripweave.streaming.serving import start_serving
+from tripweave.streaming.runner import finish, run_until_any_ends, start
+from tripweave.streaming.serving import LakeStore, start_serving
 from tripweave.streaming.status import all_statuses
 
 GOLD_JOBS: dict[str, Callable] = {
@@ -161,6 +162,65 @@ def run_foreign(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
+def run_bounded(spark: SparkSession, sf_dir: str, delay: str) -> Lake:
+    """The trips of the month's halves, all but every 50th; then those; then all once more. Each
+    is a delivery of its own, with a restart in between."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    log, held = lake.path("log"), F.col("row_number") % 50 == 0
+    sent = source.sent_trips(spark, sf_dir)
+    half = F.col("instant") < F.lit("2024-01-16").cast("timestamp")
+    parts = [sent.where(half & ~held), sent.where(~half & ~held), sent.where(held)]
+    for part in [*parts, source.redelivered(sent).drop("log_time")]:
+        append_events(to_envelope(part, TRIP_FIELDS, F.col("instant")), log)
+        events = file_stream(spark, log)
+        finish(start_bounded_silver(spark, events, lake, delay, available_now=True))
+    return lake
+
+
+def run_limited(spark: SparkSession, sf_dir: str, files: int) -> tuple[Lake, bool]:
+    """Land one file a trigger with a running query, and wait until another query ends."""
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    log = lake.path("log")
+    sent = source.sent_trips(spark, sf_dir)
+    for part in range(files):
+        trips = sent.where(F.col("row_number") % files == part)
+        append_events(to_envelope(trips, TRIP_FIELDS, F.col("instant")).coalesce(1), log)
+    query = start_ingest(spark, file_stream(spark, log, max_files=1), lake, every=0.5)
+    try:
+        query.processAllAvailable()
+        spark.streams.resetTerminated()
+        gold.start_weekly_rollup(spark, lake, available_now=True)
+        ended = run_until_any_ends(spark, 300)
+    finally:
+        query.stop()
+    return lake, bool(ended)
+
+
+class FlakyStore(LakeStore):
+    """A store whose first writes fail after they have written."""
+
+    failures = 2
+
+    def insert(self, rows: DataFrame, batch_id: int) -> None:
+        super().insert(rows, batch_id)
+        if FlakyStore.failures:
+            FlakyStore.failures -= 1
+            raise OSError("the connection was lost")
+
+
+def run_guarded(spark: SparkSession, sf_dir: str) -> Lake:
+    configure(spark)
+    lake = Lake(fresh_dir(spark, "lake")).create(spark)
+    flat = routing.decode(source.first_delivery(spark, sf_dir))
+    for batch_id, rows in enumerate((flat, flat.where("false"))):
+        land_batch(spark, rows, batch_id, lake)
+    FlakyStore.failures = 2
+    finish(start_serving(spark, lake, FlakyStore(lake), available_now=True))
+    return lake
+
+
 def run_uploads(spark: SparkSession, path: str) -> Lake:
     """CSV files all the way to the serving table."""
     configure(spark)

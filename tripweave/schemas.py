@@ -136,6 +136,19 @@ LANDED_COUNTS = T.StructType(
     [*_fields(("kind", S), ("name", S), ("rows", L)).fields, _BATCH]
 )
 
+#: A batch of the bounded job as its state has passed it on: all trips sent, and those kept.
+BOUNDED_BATCHES = T.StructType(
+    [
+        *(field for field in SILVER.fields if field.name != "batch_id"),
+        *_fields(("instant", TS)).fields,
+        T.StructField("kept", T.BooleanType()),
+        _BATCH,
+    ]
+)
+
+#: The latest instant of all trips up to a batch.
+HIGH_WATER = T.StructType([*_fields(("latest", TS)).fields, _BATCH])
+
 #: Trips per geohash cell of the origin, region and week, of each serving batch.
 CELL_WEEKS = T.StructType(
     [

@@ -24,6 +24,8 @@ TABLES = {
     "bronze": (schemas.BRONZE, ["batch_id", "route"]),
     "landed_counts": (schemas.LANDED_COUNTS, ["batch_id"]),
     "silver": (schemas.SILVER, ["batch_id", "trip_day"]),
+    "bounded_batches": (schemas.BOUNDED_BATCHES, ["batch_id"]),
+    "high_water": (schemas.HIGH_WATER, ["batch_id"]),
     "markers": (schemas.MARKERS, ["batch_id"]),
     "rejected": (schemas.REJECTED, ["batch_id"]),
     "arrivals": (schemas.ARRIVALS, ["batch_id"]),

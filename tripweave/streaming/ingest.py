@@ -12,7 +12,7 @@ from tripweave.operators import routing
 from tripweave.schemas import BRONZE_COMPLETED, SILVER_COMPLETED
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import write_batch, write_by_day
-from tripweave.streaming.runner import start
+from tripweave.streaming.runner import TRIGGER_SECONDS, start
 from tripweave.streaming.status import watch_failures
 
 
@@ -74,7 +74,11 @@ def merge_silver(spark: SparkSession, landed: DataFrame, batch_id: int, lake: La
 
 
 def start_ingest(
-    spark: SparkSession, events: DataFrame, lake: Lake, available_now: bool = False
+    spark: SparkSession,
+    events: DataFrame,
+    lake: Lake,
+    available_now: bool = False,
+    every: float = TRIGGER_SECONDS,
 ) -> StreamingQuery:
     watch_failures(spark, lake)
     return start(
@@ -83,6 +87,7 @@ def start_ingest(
         "ingest",
         lake.checkpoint("ingest"),
         available_now=available_now,
+        every=every,
     )
 
 

@@ -18,7 +18,10 @@ def start(
     checkpoint: str,
     output: str = "append",
     available_now: bool = False,
+    every: float = TRIGGER_SECONDS,
 ) -> StreamingQuery:
+    """Start a query that looks for new rows ``every`` so many seconds, or, with
+    ``available_now``, ends when it has seen all there are."""
     writer = (
         df.writeStream.foreachBatch(each_batch)
         .queryName(name)
@@ -27,7 +30,7 @@ def start(
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds").start()
+    return writer.trigger(processingTime=f"{round(every * 1000)} milliseconds").start()
 
 
 def finish(*queries: StreamingQuery) -> None:

@@ -151,9 +151,12 @@ def test_languages_of_odd_rows(spark, samples):
     assert [r[1:] for r in got if r[0] in (2, 3, 4)] == [("und", 0.0)] * 3
     assert (1, "und", 0.0) in got
     assert all(0.5 <= r[2] <= 1 for r in got if r[1] != "und")
-    kept = language_id.keep_known(odd(spark), samples)
+    # Without a limit all texts with letters stay; these few words are in no learned language.
+    kept = language_id.keep_known(odd(spark), samples, most_bits=99.0)
     assert kept.columns == odd(spark).columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None"]
+    learned = spark.createDataFrame([(1, samples["en"][:80]), (2, "Ünïted " * 9)], "doc_id long, text string")
+    assert [r.doc_id for r in language_id.keep_known(learned, samples).collect()] == [1]
 
 
 def test_no_samples_and_no_rows(spark, samples):

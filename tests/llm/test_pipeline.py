@@ -45,7 +45,7 @@ def test_language_stage_keeps_the_languages_that_it_knows(stages):
     _, before, after = stages[1]
     dropped = before.join(after, "doc_id", "left_anti").collect()
     assert all(sum(map(str.isalpha, r.text or "")) < 6 for r in dropped)
-    assert before.where("text rlike '\\p{L}{6}'").join(after, "doc_id", "left_anti").count() == 0
+    assert before.where("text rlike '\\\\p{L}{6}'").join(after, "doc_id", "left_anti").count() == 0
 
 
 # The same sentence in languages of none of the given documents.
@@ -65,7 +65,7 @@ def test_language_stage_drops_other_languages(spark):
     more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
     kept = corpus_pipeline.language_stage(spark, more, SF_DIR)
     assert kept.where("doc_id >= 1000000000").count() == 0
-    assert kept.join(some, "doc_id", "left_semi").count() == some.where("text rlike '\\p{L}{6}'").count()
+    assert kept.join(some, "doc_id", "left_semi").count() == some.where("text rlike '\\\\p{L}{6}'").count()
 
 
 def test_exact_stage_keeps_one_of_each(stages):

@@ -202,9 +202,9 @@ class Codec:
         if missing:
             if len(self._met) + len(missing) > most // 2:
                 self._before, self._met, missing = self._met, {}, wanted
-            again = missing.intersection(self._before)
-            self._met.update((word, self._before[word]) for word in again)
-            self._encode_new(list(missing.difference(again)))
+            before = self._before  # an intersection would go through all of it
+            self._met.update((word, before[word]) for word in missing if word in before)
+            self._encode_new(list(missing.difference(self._met)))
         return self._met
 
     def encode_many(self, texts: list[str], most: int) -> list[bytes]:

@@ -12,7 +12,7 @@ from tripweave.schemas import ENVELOPE
 from tripweave.session import fresh_dir
 from tripweave.sources import event_log
 from tripweave.sources.lake import Lake
-from tripweave.sources.tables import partition_values, write_by_day
+from tripweave.sources.tables import ID_FILTERS, partition_values, write_by_day
 from tripweave.streaming import gold
 from tripweave.streaming.bounded import start_bounded_silver
 from tripweave.streaming.ingest import first_deliveries, land_batch, start_ingest
@@ -265,6 +265,36 @@ def test_jdbc_and_kafka_options(spark):
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10"
 
 
+def test_a_database_is_asked_for_foreign_ids_by_name(spark, monkeypatch):
+    store = JdbcStore("jdbc:db:x", "trips", "some.Driver")
+    rows = [("2018-05-28", "own"), ("other-0b", "b'x"), ("other-aa", "a"), ("other-aa", "a")]
+    trips = spark.createDataFrame(rows, "trip_day string, trip_id string")
+    assert store.foreign_ids(trips) == ["trip_id in ('a', 'b''x')"]
+    assert store.foreign_ids(trips.where("trip_id = 'own'")) == []
+    monkeypatch.setattr("tripweave.streaming.serving.MOST_IDS", 1)
+    parts = store.foreign_ids(trips)
+    # Every id lies in one part.
+    assert parts[0] == "trip_id < '1'" and parts[-1] == "trip_id >= 'z'" and len(parts) == 36
+    monkeypatch.setattr("tripweave.streaming.serving.MOST_IDS", 10)
+    monkeypatch.setattr("tripweave.streaming.serving.IDS_PER_QUERY", 1)
+    assert store.foreign_ids(trips) == ["trip_id in ('a')", "trip_id in ('b''x')"]
+
+
+def test_foreign_ids_skip_row_groups(spark, lake):
+    """A look-up by name reads fewer rows than the table has, though ids are in no order."""
+    rows = spark.range(60_000).selectExpr("'other-00' as trip_day", "concat('f', md5(cast(id as string))) as trip_id")
+    rows.write.options(**ID_FILTERS, **{"parquet.block.size": 65_536, "parquet.block.size.row.check.min": 100}).mode(
+        "overwrite"
+    ).partitionBy("trip_day").parquet(f"{lake.path('silver')}/batch_id=0")
+    wanted = rows.where("trip_id in ('f' || md5('17'), 'f' || md5('42000'))").select("trip_id")
+    found = routing.rows_of_ids(wanted, lambda _: lake.read(spark, "silver"))
+    assert len(found.collect()) == wanted.count() == 2
+    plan = found._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    assert plan.metrics().apply("numOutputRows").value() < 60_000 / 2
+
+
 def test_a_batch_reads_only_the_days_it_asks_for(spark, lake):
     days = [f"2018-05-{n:02d}" for n in range(1, 13)]
     rows = spark.createDataFrame([(day,) for day in days], "trip_day string").selectExpr("trip_day", "trip_day as trip_id")

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tripweave.operators import routing
+from tripweave.operators import completion, routing
 from tripweave.operators.clusters import cluster_counts
 from tripweave.schemas import ENVELOPE
 from tripweave.session import fresh_dir
@@ -421,3 +421,30 @@ def test_bounded_state_loses_nothing_and_stays_small(spark, lake):
     assert ids(lake.read(spark, "silver")) == sorted([*own, "mine"])
     sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
     assert len(sizes) >= 13 and max(sizes) <= 6 * 6
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_an_ingestion_s_rows_are_counted_by_many_tasks(spark, monkeypatch, most):
+    monkeypatch.setattr(completion, "MOST_BROADCAST", most)
+    log = spark.range(0, 20_000, 1, 8).select(
+        F.lit("i1").alias("ingestion_id"),
+        F.col("id").alias("row_number"),
+        F.concat(F.lit("t"), "id").alias("trip_id"),
+        F.lit("trip").alias("route"),
+    )
+    ids = spark.createDataFrame([("i1",), ("i2",)], "ingestion_id string")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        sent = completion.sent_rows(completion.rows_of_ingestions(log, ids))
+        per_task = sent.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert sum(row[1] for row in per_task) == 20_000
+    assert max(row[1] for row in per_task) < 10_000

@@ -6,6 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Ingestions whose rows are picked by a broadcast of their ids.
+MOST_BROADCAST = 10_000
+
+
+def rows_of_ingestions(log: DataFrame, ids: DataFrame) -> DataFrame:
+    """The log rows of these ingestions, dealt over tasks as the log is.
+
+    Joined by a shuffle, all rows of an ingestion would meet in one task, and the aggregates that
+    follow, whose keys have the ingestion in them, would be content with that and stay there. So
+    the ids are broadcast; where they are very many, the joined rows are dealt anew.
+    """
+    if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        return log.join(F.broadcast(ids), "ingestion_id", "left_semi")
+    return log.join(ids, "ingestion_id", "left_semi").hint("rebalance")
+
+
 def sent_rows(routed: DataFrame) -> DataFrame:
     """The distinct rows each ingestion sent, however often the log delivered them.
 

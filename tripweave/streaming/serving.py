@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripweave import schemas
 from tripweave.operators import routing
 from tripweave.operators.clusters import instant_of
-from tripweave.operators.completion import completion_report
+from tripweave.operators.completion import completion_report, rows_of_ingestions
 from tripweave.operators.dedup import insert_new
 from tripweave.operators.dimensions import extend_dimension, serving_rows
 from tripweave.sources.lake import COMPACTED, Lake
@@ -198,7 +198,7 @@ def report_completion(spark: SparkSession, lake: Lake, store, batch_id: int) ->
     ids = ready.select("ingestion_id").distinct()
     batches = partition_values(arrivals.join(ids, "ingestion_id", "left_semi"), "batch_id")
     log = lake.read_batches(spark, "bronze", batches).where("route in ('trip', 'rejected')")
-    sent = log.join(ids, "ingestion_id", "left_semi")
+    sent = rows_of_ingestions(log, ids)
     stored = store.holding(spark, sent.where("route = 'trip'"))
     report = completion_report(ready, sent, stored).where("complete")
     lake.write_status(report, schemas.TRIPS_PG_COMPLETED, "serving", batch_id)

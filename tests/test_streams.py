@@ -448,3 +448,31 @@ def test_an_ingestion_s_rows_are_counted_by_many_tasks(spark, monkeypatch, most)
             spark.conf.unset(name)
     assert sum(row[1] for row in per_task) == 20_000
     assert max(row[1] for row in per_task) < 10_000
+
+
+def test_a_merge_into_nothing_asks_for_nothing(spark, lake, plan_of):
+    lake.create(spark)
+    trips = spark.range(10).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("trip_id"),
+        F.lit("2024-01-01").alias("trip_day"),
+        F.current_timestamp().alias("kafka_timestamp"),
+        F.col("id").alias("row_number"),
+        F.lit("i1").alias("ingestion_id"),
+    )
+    fresh = routing.insert_by_day(trips, lambda days: lake.read_days(spark, "silver", days or []))
+    assert "Join" not in plan_of(fresh)
+    assert fresh.count() == 10
+
+
+def test_a_large_log_file_has_many_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    digits = F.concat(*(F.sha2(F.concat("id", F.lit(f"-{n}")), 512) for n in range(8)))
+    events = spark.range(0, 60_000, 1, 1).select(
+        F.lit("i1").alias("key"), digits.alias("value"), F.current_timestamp().alias("timestamp")
+    )
+    event_log.append_events(events, str(tmp_path / "log"))
+    (file,) = (tmp_path / "log").glob("*.parquet")
+    metadata = pq.ParquetFile(file).metadata
+    assert metadata.num_row_groups > 1
+    assert metadata.row_group(0).column(1).compression == "ZSTD"

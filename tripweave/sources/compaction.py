@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tripweave.sources import files
 from tripweave.sources.tables import (
+    CODEC,
     ID_FILTERS,
     batch_numbers,
     partition_values,
@@ -154,7 +155,7 @@ class DayTable:
             rows = self._rewritten(spark, before, added, touched).hint("rebalance", "trip_day")
             if self.ordered_by:
                 rows = rows.sortWithinPartitions("trip_day", *self.ordered_by)
-            rows.write.mode("overwrite").options(**ID_FILTERS).partitionBy("trip_day").parquet(
+            rows.write.mode("overwrite").options(**CODEC, **ID_FILTERS).partitionBy("trip_day").parquet(
                 f"{self.merged_path}/generation={generation}"
             )
         after = State(upto, generation, before.days | dict.fromkeys(touched, generation))

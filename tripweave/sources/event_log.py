@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.schemas import ENVELOPE
+from tripweave.sources.tables import CODEC
+
+#: A task reads whole row groups: small ones spread a large file over many tasks.
+LOG_ROW_GROUPS = {"parquet.block.size": str(16 << 20)}
 
 
 def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
@@ -53,7 +57,8 @@ def text_stream(
 
 def append_events(events: DataFrame, path: str) -> None:
     """Publish (key, value, timestamp) rows as files of the log."""
-    events.select(*ENVELOPE.names).write.mode("append").parquet(path)
+    log = events.select(*ENVELOPE.names).write.mode("append")
+    log.options(**CODEC, **LOG_ROW_GROUPS).parquet(path)
 
 
 def append_events_to_kafka(events: DataFrame, servers: str, topic: str) -> None:

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from tripweave.sources import files
 
 
+#: Payloads and hexadecimal ids take about a third less than with the default codec.
+CODEC = {"compression": "zstd"}
 #: Row groups of the tables of days say which ids they may have.
 ID_FILTERS = {
     "parquet.bloom.filter.enabled#trip_id": "true",
@@ -41,7 +43,8 @@ def read_paths(
 ) -> DataFrame:
     """Partition directories of a table, given by their paths; no other is listed."""
     if not paths:
-        return spark.createDataFrame([], schema)
+        # The condition tells the optimizer that there is nothing: joins with it fall away.
+        return spark.createDataFrame([], schema).where("false")
     return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
@@ -105,7 +108,7 @@ def overwrite_partitions(
 ) -> None:
     (
         df.write.mode("overwrite")
-        .options(**(options or {}))
+        .options(**CODEC, **(options or {}))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)

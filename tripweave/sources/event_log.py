@@ -9,7 +9,7 @@ from tripweave.schemas import ENVELOPE
 from tripweave.sources.tables import CODEC
 
 #: A task reads whole row groups: small ones spread a large file over many tasks.
-LOG_ROW_GROUPS = {"parquet.block.size": str(16 << 20)}
+LOG_ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
 
 
 def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:

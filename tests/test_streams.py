@@ -476,3 +476,22 @@ def test_a_large_log_file_has_many_row_groups(spark, tmp_path):
     metadata = pq.ParquetFile(file).metadata
     assert metadata.num_row_groups > 1
     assert metadata.row_group(0).column(1).compression == "ZSTD"
+
+
+def test_landing_counts_apart_from_its_writing_pass(spark, lake, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(*_):
+        raise AssertionError("counted row by row, without generated code")
+
+    monkeypatch.setattr(DataFrame, "observe", refused)
+    lake.create(spark)
+    records = [trip(1), trip(2, origin_lon=999.0), marker("i1", -1), {"record_type": "other"}]
+    flat = routing.decode(log_rows(spark, records))
+    for batch_id, rows in enumerate((flat, flat.where("false"))):
+        land_batch(spark, rows, batch_id, lake)
+    counts = {r.name: r.rows for r in lake.read(spark, "landed_counts").collect()}
+    assert {name: counts[name] for name in routing.ROUTES} == {
+        "trip": 1, "rejected": 1, "marker": 1, "unknown": 1
+    }
+    assert counts["marker_total_rows_from_0"] == counts["known_record_type"] == 1

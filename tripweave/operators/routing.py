@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.once import with_computed
@@ -191,8 +191,8 @@ def expectations(routed: DataFrame) -> DataFrame:
 ROUTES = ("trip", "rejected", "marker", "unknown")
 
 
-def observed(routed: DataFrame, into: Observation) -> DataFrame:
-    """The routed rows, whose next write also counts them by route and by broken rule."""
+def counts_of(routed: DataFrame) -> dict[str, int]:
+    """Routed rows by route and by broken rule, in one aggregate."""
     counts = [F.count_if(F.col("route") == name).alias(name) for name in ROUTES]
     broken = [F.count_if(rule).alias(name) for name, rule in contract_rules().items()]
-    return routed.observe(into, *counts, *broken)
+    return routed.agg(*counts, *broken).first().asDict()

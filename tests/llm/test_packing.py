@@ -129,3 +129,21 @@ def test_documents(spark, capacity):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(empty, word_bpe()).collect() == []
+
+
+def test_a_worker_holds_few_texts_at_a_time(spark, monkeypatch):
+    from tripweave.llm import packing
+    from tripweave.llm.queries import word_bpe
+
+    name, seen, real = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.written
+
+    def noted(df, label):
+        seen.append(int(spark.conf.get(name)))
+        return real(df, label)
+
+    monkeypatch.setattr(packing, "written", noted)
+    before = spark.conf.get(name)
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    assert packing.pack(docs, word_bpe()).count() == 3_000
+    assert seen == [packing.BATCH_ROWS] and packing.BATCH_ROWS < int(before)
+    assert spark.conf.get(name) == before

@@ -29,11 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.bpe import FLUSH_CHARS, broadcast_file, codec
-from tripweave.llm.common import written
+from tripweave.llm.bpe import broadcast_file, codec
+from tripweave.llm.common import arrow_rows, written
 
 #: Words a Python worker remembers before it drops those not met of late (about 160 MB).
 MEMO_WORDS = 800_000
+#: Characters of text that are cut into words at a time.
+FLUSH_CHARS = 400_000
+#: Rows of an Arrow batch: with Spark's 10,000 a worker holds about 130 MB more of texts.
+BATCH_ROWS = 1_000
 #: Slices that the pieces of one length are counted in, to rank them without sorting them all.
 SLICES = 4096
 
@@ -269,12 +273,9 @@ def pack(
     # A row number gives each piece its slice and its place there. It may be another one when
     # a task runs again, so the pieces are written with it before anything is ranked.
     numbered = pieces.withColumn("number", F.monotonically_increasing_id())
-    pieces = written(
-        numbered.withColumn("slice", F.pmod(F.xxhash64("number"), F.lit(SLICES)).cast("int")).drop(
-            *([] if with_ids else ["ids"])
-        ),
-        "packing-pieces",
-    )
+    sliced = numbered.withColumn("slice", F.pmod(F.xxhash64("number"), F.lit(SLICES)).cast("int"))
+    with arrow_rows(spark, BATCH_ROWS):
+        pieces = written(sliced.drop(*([] if with_ids else ["ids"])), "packing-pieces")
     counts = pieces.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("pieces"))
     histogram = {r.length: r.pieces for r in counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()}
     rows = plan(histogram, capacity)

@@ -1,11 +1,16 @@
 """The pipeline: each stage against what its input says should stay."""
 
+import gc
+import json
+import weakref
 from pathlib import Path
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tripweave.llm import queries
+from tripweave.llm import bpe, language_id, queries
 from tripweave.llm.common import table, written
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -105,3 +110,23 @@ def test_nothing_else_imports_the_subpackage():
     for path in [*root.glob("tripweave/**/*.py"), root / "bench.py"]:
         if path.parent.name != "llm":
             assert "llm" not in path.read_text()
+
+
+def test_a_worker_keeps_the_model_of_its_stage_only(monkeypatch):
+    made = []
+
+    class Watched(language_id.Languages):
+        def __init__(self, samples):
+            super().__init__(samples)
+            made.append(weakref.ref(self))
+
+    monkeypatch.setattr(language_id, "Languages", Watched)
+    samples = SimpleNamespace(value=json.dumps({"xx": "a sample of its own"}).encode())
+    for _ in range(2):
+        batch = pa.RecordBatch.from_pydict({"text": ["a sample"]})
+        list(language_id._predict_batches(iter([batch]), samples, 0, ["text", "a", "b", "c"]))
+        assert len(made) == 1 and made[0]() is not None
+    with open(queries.word_bpe(), "rb") as file:
+        bpe.codec(file.read())
+    gc.collect()
+    assert made[0]() is None

@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm.common import worker_model
+
 #: Words a Python worker remembers before it starts afresh (about 80 MB).
 MEMO_WORDS = 400_000
 #: Characters of text after which a result batch is handed on.
@@ -141,16 +143,6 @@ class Vocabulary:
                 yield at % 2 == 1, part
 
 
-@lru_cache(maxsize=4)
-def _vocabulary(digest: bytes, file: bytes) -> Vocabulary:
-    return Vocabulary(file)
-
-
-def vocabulary(file: bytes) -> Vocabulary:
-    """One vocabulary per Python worker and file content."""
-    return _vocabulary(hashlib.md5(file).digest(), file)
-
-
 class _Ids(dict):
     """word -> its ids as little-endian 32-bit integers."""
 
@@ -260,14 +252,9 @@ class Codec:
         return " ".join(map(self.vocab.strings.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
-def _codec(digest: bytes, file: bytes) -> Codec:
-    return Codec(_vocabulary(digest, file))
-
-
 def codec(file: bytes) -> Codec:
     """One codec per Python worker and file content."""
-    return _codec(hashlib.md5(file).digest(), file)
+    return worker_model(("codec", hashlib.md5(file).digest()), lambda: Codec(Vocabulary(file)))
 
 
 def id_lists(blobs: list[bytes]) -> pa.Array:

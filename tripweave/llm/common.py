@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,20 @@ from tripweave.session import fresh_dir
 BROADCAST_IDS = 2_000_000
 
 
+#: The model that this Python worker works with: its key, and the model.
+_model: list = [None, None]
+
+
+def worker_model(key: tuple, build: Callable[[], Any]) -> Any:
+    """What a Python worker builds once and keeps between tasks. It keeps one: workers live on,
+    and the next stage must not find the models and buffers of those before beside its own."""
+    if _model[0] != key:
+        _model[:] = None, None
+        pa.default_memory_pool().release_unused()
+        _model[:] = key, build()
+    return _model[1]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as Parquet in the shared folder: lineage ends there, and a lost executor
     costs a read and not the work before it."""

@@ -16,7 +16,7 @@ import hashlib
 import json
 import math
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 from itertools import groupby
 
 import numpy as np
@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.llm.common import worker_model
+
 #: Labelled documents per language, those of smallest id hash, and symbols of them at most.
 SAMPLE_DOCS = 60
 SAMPLE_SYMBOLS = 24_000
@@ -163,15 +165,11 @@ class Languages:
         return answers
 
 
-@lru_cache(maxsize=1)
-def _languages(digest: bytes, samples: bytes) -> Languages:
-    return Languages(json.loads(samples))
-
-
 def _predict_batches(
     batches: Iterator[pa.RecordBatch], samples, text_at: int, names: list[str]
 ) -> Iterator[pa.RecordBatch]:
-    languages = _languages(hashlib.md5(samples.value).digest(), samples.value)
+    key = "languages", hashlib.md5(samples.value).digest()
+    languages = worker_model(key, lambda: Languages(json.loads(samples.value)))
     for batch in batches:
         start, texts, size = 0, [], 0
         for at, text in enumerate(batch.column(text_at)):

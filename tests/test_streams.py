@@ -10,7 +10,7 @@ from tripweave.operators import completion, routing
 from tripweave.operators.clusters import cluster_counts
 from tripweave.schemas import ENVELOPE
 from tripweave.session import fresh_dir
-from tripweave.sources import event_log
+from tripweave.sources import event_log, tables
 from tripweave.sources.lake import Lake
 from tripweave.sources.tables import ID_FILTERS, partition_values, write_by_day
 from tripweave.streaming import gold
@@ -495,3 +495,25 @@ def test_landing_counts_apart_from_its_writing_pass(spark, lake, monkeypatch):
         "trip": 1, "rejected": 1, "marker": 1, "unknown": 1
     }
     assert counts["marker_total_rows_from_0"] == counts["known_record_type"] == 1
+
+
+def test_bronze_is_written_without_a_sort_by_route(spark, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", {}
+    overwrite = tables.overwrite_partitions
+
+    def watched(df, path, columns, options=None):
+        if columns == ("route",):
+            seen[path] = df.sparkSession.conf.get(name)
+        overwrite(df, path, columns, options)
+
+    monkeypatch.setattr(tables, "overwrite_partitions", watched)
+    lake = Lake(fresh_dir(spark, "routes")).create(spark)
+    records = [trip(n) if n % 2 else trip(n, origin_lat=95.0) for n in range(20)]
+    records += [marker("i1", 20), {"record_type": "other"}]
+    before = spark.conf.get(name)
+    land_batch(spark, routing.decode(log_rows(spark, records)).coalesce(1), 0, lake)
+    assert seen == {lake.path("bronze") + "/batch_id=0": str(len(routing.ROUTES))}
+    assert spark.conf.get(name) == before
+    routes = lake.read(spark, "bronze").groupBy("route").count().collect()
+    assert {r.route: r["count"] for r in routes} == {"trip": 10, "rejected": 10, "marker": 1, "unknown": 1}
+    assert lake.read(spark, "rejected").count() == 10

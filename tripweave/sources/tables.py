@@ -7,6 +7,9 @@ a typed NULL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,18 +80,34 @@ def table_stream(
     return reader.parquet(path)
 
 
+@contextmanager
+def files_side_by_side(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is written meanwhile keeps the files of so many partitions open in a task, which then
+    need not sort its rows, payloads and all, by partition. With more partitions it sorts."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_batch(
     df: DataFrame,
     path: str,
     batch_id: int,
     also_by: tuple[str, ...] = (),
+    values: int = 0,
 ) -> None:
-    """Write one batch's partitions in the batch's own directory, replacing what is there."""
+    """Write one batch's partitions in the batch's own directory, replacing what is there.
+    ``values`` is how many the columns ``also_by`` have, where that is known to be few."""
     if not also_by:
         stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         overwrite_partitions(stamped, path, ("batch_id",))
         return
-    overwrite_partitions(df, f"{path}/batch_id={batch_id}", also_by)
+    with files_side_by_side(df.sparkSession, values):
+        overwrite_partitions(df, f"{path}/batch_id={batch_id}", also_by)
 
 
 def write_by_day(

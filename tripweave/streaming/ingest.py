@@ -25,7 +25,7 @@ def land_batch(spark: SparkSession, flat: DataFrame, batch_id: int, lake: Lake)
     ``spark`` is the outer session, whose adaptive execution a micro-batch's own turns off.
     """
     routed = routing.with_trip_day(routing.route(flat)).drop("instant")
-    write_batch(routed, lake.path("bronze"), batch_id, ("route",))
+    write_batch(routed, lake.path("bronze"), batch_id, ("route",), len(routing.ROUTES))
     landed = lake.landed(spark, batch_id)
     counts = routing.counts_of(landed)
     if not any(counts[name] for name in routing.ROUTES):

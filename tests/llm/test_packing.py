@@ -3,6 +3,7 @@
 import bisect
 import itertools
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripweave.llm import packing
+from tripweave.llm import bpe, common, packing
 from tripweave.llm.common import table
 from tripweave.llm.queries import word_bpe
 
@@ -147,3 +148,26 @@ def test_a_worker_holds_few_texts_at_a_time(spark, monkeypatch):
     assert packing.pack(docs, word_bpe()).count() == 3_000
     assert seen == [packing.BATCH_ROWS] and packing.BATCH_ROWS < int(before)
     assert spark.conf.get(name) == before
+
+
+def test_remembered_words_take_little_memory():
+    with open(word_bpe(), "rb") as file:
+        coder = bpe.Codec(bpe.Vocabulary(file.read()))
+    own = packing.MEMO_WORDS // 2
+    for batch in range(3):
+        coder.met({f"w{batch}x{word:x}" for word in range(own)}, packing.MEMO_WORDS)
+    kept = [coder._met, coder._before]
+    assert [len(words) for words in kept] == [own, own]
+    held = sum(sys.getsizeof(x) for words in kept for pair in words.items() for x in pair)
+    assert held + sum(map(sys.getsizeof, kept)) < 80_000_000
+
+
+def test_a_new_model_finds_the_memory_of_the_last_given_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_model", [("last",), "a model"])
+    monkeypatch.setattr(common, "release_memory", lambda: calls.append(list(common._model)))
+    for _ in range(2):
+        assert common.worker_model(("next",), lambda: "the next") == "the next"
+    assert calls == [[None, None]]
+    monkeypatch.undo()
+    common.release_memory()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -20,12 +22,22 @@ BROADCAST_IDS = 2_000_000
 _model: list = [None, None]
 
 
+def release_memory() -> None:
+    """Give back what this Python worker holds free: Arrow's pool, and the heap of the C library
+    where that has a call for it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_model(key: tuple, build: Callable[[], Any]) -> Any:
     """What a Python worker builds once and keeps between tasks. It keeps one: workers live on,
     and the next stage must not find the models and buffers of those before beside its own."""
     if _model[0] != key:
         _model[:] = None, None
-        pa.default_memory_pool().release_unused()
+        release_memory()
         _model[:] = key, build()
     return _model[1]
 

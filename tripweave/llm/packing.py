@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from tripweave.llm.bpe import broadcast_file, codec
 from tripweave.llm.common import arrow_rows, written
 
-#: Words a Python worker remembers before it drops those not met of late (about 160 MB).
-MEMO_WORDS = 800_000
+#: Words a Python worker remembers before it drops those not met of late (about 80 MB).
+MEMO_WORDS = 400_000
 #: Characters of text that are cut into words at a time.
 FLUSH_CHARS = 400_000
 #: Rows of an Arrow batch: with Spark's 10,000 a worker holds about 130 MB more of texts.

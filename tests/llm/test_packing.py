@@ -4,6 +4,7 @@ import bisect
 import itertools
 import random
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripweave.llm import bpe, common, packing
+from tripweave.llm import bpe, common, language_id, ngram_join, packing
 from tripweave.llm.common import table
 from tripweave.llm.queries import word_bpe
 
@@ -171,3 +172,27 @@ def test_a_new_model_finds_the_memory_of_the_last_given_back(monkeypatch):
     assert calls == [[None, None]]
     monkeypatch.undo()
     common.release_memory()
+
+
+def test_a_worker_without_a_task_gives_its_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_model", [("own",), "a model"])
+    monkeypatch.setattr(common, "release_memory", lambda: calls.append(list(common._model)))
+    monkeypatch.setattr(common, "IDLE_SECONDS", 0.05)
+    monkeypatch.setattr(common, "_tasks", [0, 10**6])  # timers of other tests find another number
+    work = common.gives_back(lambda batches: iter(batches))
+    first, second = work([1, 2]), work([3])
+    assert next(first) == 1 and list(second) == [3]
+    time.sleep(0.5)
+    assert not calls and common._model[1] == "a model"  # the first still runs
+    assert list(first) == [2]
+    until = time.time() + 20
+    while not calls and time.time() < until:
+        time.sleep(0.05)
+    assert calls == [[None, None]]
+    monkeypatch.undo()
+
+
+def test_the_work_of_packing_gives_its_memory_back():
+    for work in (packing._piece_batches, language_id._predict_batches, ngram_join._sketch_batches):
+        assert work.__wrapped__.__name__ == work.__name__

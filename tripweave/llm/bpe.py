@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import worker_model
+from tripweave.llm.common import gives_back, worker_model
 
 #: Words a Python worker remembers before it starts afresh (about 80 MB).
 MEMO_WORDS = 400_000
@@ -266,6 +266,7 @@ def id_lists(blobs: list[bytes]) -> pa.Array:
     )
 
 
+@gives_back
 def _encode_batches(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.RecordBatch]:
     coder = codec(file.value)
     for batch in batches:
@@ -280,6 +281,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.Reco
                 start, chars, blobs = at + 1, 0, []
 
 
+@gives_back
 def _decode_batches(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.RecordBatch]:
     coder = codec(file.value)
     for batch in batches:

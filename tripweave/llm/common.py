@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from typing import Any
 
 import pyarrow as pa
@@ -42,6 +44,42 @@ def worker_model(key: tuple, build: Callable[[], Any]) -> Any:
     return _model[1]
 
 
+#: Seconds without a task after which a Python worker gives its memory back.
+IDLE_SECONDS = 2.0
+#: Tasks that run in this worker, and those that have begun so far. Reentrant, since collecting
+#: garbage may end a task that was not read to its end.
+_tasks = [0, 0]
+_lock = threading.RLock()
+
+
+def _rest(begun: int) -> None:
+    with _lock:
+        if _tasks == [0, begun]:
+            _model[:] = None, None
+            release_memory()
+
+
+def gives_back(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A task's work on Arrow batches, after which the worker drops its model and frees its memory
+    unless another task comes soon. Spark keeps workers that have nothing to do for a minute, as
+    many as a stage with several passes needed, beside those that the next stage works with."""
+
+    @wraps(work)
+    def task(*args, **named) -> Iterator[pa.RecordBatch]:
+        with _lock:
+            _tasks[:] = _tasks[0] + 1, _tasks[1] + 1
+        try:
+            yield from work(*args, **named)
+        finally:
+            with _lock:
+                _tasks[0] -= 1
+                timer = threading.Timer(IDLE_SECONDS, _rest, [_tasks[1]])
+            timer.daemon = True
+            timer.start()
+
+    return task
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as Parquet in the shared folder: lineage ends there, and a lost executor
     costs a read and not the work before it."""

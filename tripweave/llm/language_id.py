@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.common import worker_model
+from tripweave.llm.common import gives_back, worker_model
 
 #: Labelled documents per language, those of smallest id hash, and symbols of them at most.
 SAMPLE_DOCS = 60
@@ -165,6 +165,7 @@ class Languages:
         return answers
 
 
+@gives_back
 def _predict_batches(
     batches: Iterator[pa.RecordBatch], samples, text_at: int, names: list[str]
 ) -> Iterator[pa.RecordBatch]:

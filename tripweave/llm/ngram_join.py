@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import among, written
+from tripweave.llm.common import among, gives_back, written
 from tripweave.llm.components import components
 
 #: Word hashes that a Python worker remembers before it starts afresh (about 60 MB).
@@ -155,6 +155,7 @@ _SKETCHED_DDL = (
 )
 
 
+@gives_back
 def _sketch_batches(
     batches: Iterator[pa.RecordBatch], width: int, percent: int
 ) -> Iterator[pa.RecordBatch]:
@@ -198,6 +199,7 @@ def _sketch_batches(
     _words.clear()  # a worker lives on: leave its memory to what it does next
 
 
+@gives_back
 def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key and print those whose key has another print too.
 
@@ -225,6 +227,7 @@ def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
+@gives_back
 def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -236,6 +239,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
     _words.clear()
 
 
+@gives_back
 def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets reach the threshold, by exact counts."""
     for batch in batches:
@@ -248,6 +252,7 @@ def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+@gives_back
 def _near_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches allow the threshold: columns a, b, sizes and sketches of both."""
     for batch in batches:
@@ -339,6 +344,7 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[t
 _TRIED = pa.schema([(name, pa.int64()) for name in ("key", "i", "j", "a", "b")])
 
 
+@gives_back
 def _tried_batches(
     batches: Iterator[pa.RecordBatch], percent: int, most: int
 ) -> Iterator[pa.RecordBatch]:
@@ -348,6 +354,7 @@ def _tried_batches(
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=_TRIED)
 
 
+@gives_back
 def _dense_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for _, rows in _by_block(batches):
         links = _dense_links(rows, percent)

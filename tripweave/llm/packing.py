@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm.bpe import broadcast_file, codec
-from tripweave.llm.common import arrow_rows, written
+from tripweave.llm.common import arrow_rows, gives_back, written
 
 #: Words a Python worker remembers before it drops those not met of late (about 80 MB).
 MEMO_WORDS = 400_000
@@ -195,6 +195,7 @@ _PIECES = pa.schema(
 )
 
 
+@gives_back
 def _piece_batches(
     batches: Iterator[pa.RecordBatch], file, capacity: int, end_id: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:

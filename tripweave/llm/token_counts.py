@@ -27,6 +27,7 @@ from tripweave.llm.bpe import (
     codec,
     lower_case,
 )
+from tripweave.llm.common import gives_back
 
 #: Words a Python worker remembers before it starts afresh (about 80 MB).
 MEMO_WORDS = 400_000
@@ -129,6 +130,7 @@ def attribute(spans: Spans, sections: list[tuple[int, int]], rule: str) -> list[
     return answers
 
 
+@gives_back
 def _count_batches(
     batches: Iterator[pa.RecordBatch], file, rule: str, cut: Callable | None
 ) -> Iterator[pa.RecordBatch]:
